@@ -108,18 +108,25 @@ def _score(profile, norm_p, idx, n_genres) -> "F.Column":
     return V.scaled_cosine(dot, norm_p, F.sqrt(n_genres.cast("double")), SCORE_SCALE)
 
 
-def _kept_signatures(profiles: DataFrame, seen: DataFrame, matrix: DataFrame, n: int,
+def _kept_signatures(profiles: DataFrame, seen: DataFrame, matrix: DataFrame, n: int, k: int,
                      salt: int | None = None) -> DataFrame:
     """Steps 1-2: ``(userId, mask, score, rscore, k_take)`` per kept signature."""
     spark = profiles.sparkSession
     sigs = _signatures(matrix)
-    # size check of the side that travels to every user row (one small job)
-    n_sig = sigs.count()
-    chunks = max(1, math.ceil(n_sig / CHUNK_SIGNATURES))
-    broadcast_ok = n_sig <= MAX_BROADCAST_SIGNATURES
+    if (1 << k) <= MAX_BROADCAST_SIGNATURES:
+        # proven bound: k names give at most 2**k distinct genre sets; the
+        # chunk count is computed inside the query (scalar subquery)
+        broadcast_ok = True
+        n_sig = sigs.agg(F.count(F.lit(1))).scalar()
+        chunks = F.greatest(F.lit(1), F.ceil(n_sig / F.lit(CHUNK_SIGNATURES))).cast("int")
+    else:
+        # no static bound: check the size with one small job before broadcasting
+        n_sig = sigs.count()
+        broadcast_ok = n_sig <= MAX_BROADCAST_SIGNATURES
+        chunks = F.lit(max(1, math.ceil(n_sig / CHUNK_SIGNATURES)))
     if salt is None:
         salt = 1 if broadcast_ok else max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    chunk_id = F.pmod(F.xxhash64("mask"), F.lit(chunks)).cast("int")
+    chunk_id = F.pmod(F.xxhash64("mask"), chunks).cast("int")
     catalogue = (sigs.withColumn("chunk", chunk_id)
                  .groupBy("chunk").agg(F.collect_list(F.struct("mask", "size", "idx", "n_genres"))
                                        .alias("sigs")))
@@ -138,7 +145,7 @@ def _kept_signatures(profiles: DataFrame, seen: DataFrame, matrix: DataFrame, n:
 
     users = (profiles.join(seen_map, "userId", "left")
              .withColumn("norm_p", V.norm(F.col("profile")))
-             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+             .withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
              .withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(salt)).cast("int")))
     x = users.join(catalogue, ["chunk", "salt"])
 
@@ -184,7 +191,7 @@ def content_scores(ratings: DataFrame, movies: DataFrame, *, vocabulary: Sequenc
     if users is not None:
         profiles = profiles.join(users.select("userId").distinct(), "userId", "left_semi")
     seen = seen_items(ratings)
-    kept = _kept_signatures(profiles, seen, matrix, n, salt)
+    kept = _kept_signatures(profiles, seen, matrix, n, len(vocabulary), salt)
     positions = rank_within(matrix.select("mask", "movieId"), "mask", "movieId", "pos")
     cand = (kept.withColumn("pos", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k_take"))))
             .join(positions, ["mask", "pos"])

@@ -20,13 +20,23 @@ from marquee.operators import feedback as FB
 from marquee.operators import neighbours as N
 from marquee.operators import popularity as P
 from marquee.sources import testdata as TD
+from marquee.sources.tables import materialize, memoize
 
 TARGET_USER = 0
 VOCAB = TD.ADAPTER_GENRES
 
 
+def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adapter ratings, derived once per application (see sources.tables)."""
+    return materialize(TD.ratings(spark, sf_dir), f"ratings@{sf_dir}")
+
+
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(TD.answers(spark, sf_dir), f"answers@{sf_dir}")
+
+
 def _data(spark: SparkSession, sf_dir: str):
-    return TD.ratings(spark, sf_dir), TD.movies(spark, sf_dir)
+    return _ratings(spark, sf_dir), TD.movies(spark, sf_dir)
 
 
 def _r6(c: str) -> F.Column:
@@ -34,7 +44,7 @@ def _r6(c: str) -> F.Column:
 
 
 def o01_ratings(spark, sf_dir):
-    return TD.ratings(spark, sf_dir)
+    return _ratings(spark, sf_dir)
 
 
 def o02_movies(spark, sf_dir):
@@ -67,21 +77,23 @@ def o07_random_candidates(spark, sf_dir):
 
 
 def o08_accepted_ratings(spark, sf_dir):
-    return FB.accepted_ratings(TD.answers(spark, sf_dir))
+    return FB.accepted_ratings(_answers(spark, sf_dir))
 
 
 def o08_answer_log(spark, sf_dir):
-    return FB.answer_log(TD.answers(spark, sf_dir))
+    return FB.answer_log(_answers(spark, sf_dir))
 
 
 def o09_appended_ratings(spark, sf_dir):
-    r = TD.ratings(spark, sf_dir)
-    return FB.append_ratings(r, FB.accepted_ratings(TD.answers(spark, sf_dir)))
+    r = _ratings(spark, sf_dir)
+    return FB.append_ratings(r, FB.accepted_ratings(_answers(spark, sf_dir)))
 
 
 def _model(spark, sf_dir):
+    """The model is trained once per application and shared by O10-O14, as
+    the original trains once and then scores, evaluates and recommends."""
     r, m = _data(spark, sf_dir)
-    return r, m, FA.train_als(r)
+    return r, m, memoize(spark, f"als@{sf_dir}", lambda: FA.train_als(r))
 
 
 def o10_als_user_factors(spark, sf_dir):
@@ -177,7 +189,7 @@ def o26_content_report(spark, sf_dir):
 
 def o27_refresh_top20(spark, sf_dir):
     r, m = _data(spark, sf_dir)
-    new = FB.accepted_ratings(TD.answers(spark, sf_dir))
+    new = FB.accepted_ratings(_answers(spark, sf_dir))
     _, model = FA.refresh(r, new)
     return FA.top_for_users(model, new.select("userId"), m)
 
