@@ -29,7 +29,9 @@ mov AS (
 _ANS = """
 ans_base AS (
   SELECT -1 - o_custkey AS userId,
-         CAST('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 15)
+         CAST('0x' || substr(md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                                           CAST(trunc(l_quantity) AS BIGINT),
+                                           CAST(epoch(l_shipdate) AS BIGINT))), 1, 15)
               AS BIGINT) AS candidate_rank,
          l_partkey AS movieId, CAST(trunc(l_quantity) AS BIGINT) % 9 AS q9, l_partkey AS pk
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
@@ -48,21 +50,26 @@ ans_cls AS (
   FROM (SELECT *, CASE WHEN regexp_full_match(answer, '[+-]?[0-9]+')
                        THEN TRY_CAST(answer AS INTEGER) END AS value FROM ans) a),
 ans_dec AS (
-  SELECT userId, candidate_rank, min(attempt) AS decision_attempt, arg_min(cls, attempt) AS decision
-  FROM ans_cls WHERE cls IN ('accepted', 'skipped') GROUP BY userId, candidate_rank),
+  SELECT userId, candidate_rank, attempt AS decision_attempt, answer AS decision_answer,
+         cls AS decision, value AS dvalue, movieId AS dmovie FROM (
+    SELECT *, row_number() OVER (PARTITION BY userId, candidate_rank ORDER BY attempt, answer) AS k
+    FROM ans_cls WHERE cls IN ('accepted', 'skipped')) WHERE k = 1),
+ans_first AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY userId ORDER BY candidate_rank) AS k
+    FROM ans_dec WHERE decision = 'accepted') WHERE k <= 20),
 ans_cut AS (
-  SELECT userId, candidate_rank AS last_rank FROM (
-    SELECT userId, candidate_rank,
-           row_number() OVER (PARTITION BY userId ORDER BY candidate_rank) AS k
-    FROM ans_dec WHERE decision = 'accepted') WHERE k = 20),
+  SELECT userId, max(candidate_rank) AS last_rank FROM ans_first GROUP BY userId HAVING count(*) >= 20),
 ans_log AS (
   SELECT c.userId, c.candidate_rank, c.attempt, c.movieId, c.answer, c.value,
          CASE WHEN u.last_rank IS NOT NULL AND c.candidate_rank > u.last_rank THEN 'unused_after_limit'
-              WHEN d.decision_attempt IS NOT NULL AND c.attempt > d.decision_attempt
+              WHEN d.decision_attempt IS NOT NULL
+                   AND (c.attempt > d.decision_attempt
+                        OR (c.attempt = d.decision_attempt AND c.answer IS DISTINCT FROM d.decision_answer))
                    THEN 'unused_after_decision'
               ELSE c.cls END AS status
   FROM ans_cls c LEFT JOIN ans_dec d USING (userId, candidate_rank) LEFT JOIN ans_cut u USING (userId)),
-acc AS (SELECT userId, movieId, CAST(value AS DOUBLE) AS rating FROM ans_log WHERE status = 'accepted')"""
+acc AS (SELECT userId, dmovie AS movieId, CAST(dvalue AS DOUBLE) AS rating FROM ans_first)"""
 
 _SIM = f"""
 t AS (SELECT DISTINCT userId, movieId, rating FROM rat WHERE userId = {TARGET_USER}),

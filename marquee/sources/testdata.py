@@ -72,8 +72,9 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(userId, candidate_rank, attempt, movieId, answer)`` for cold-start users."""
     base = _lines(spark, sf_dir).select(
         (F.lit(-1) - F.col("o_custkey")).alias("userId"),
-        F.conv(F.substring(F.md5(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey",
-                                             "l_suppkey")), 1, 15), 16, 10)
+        F.conv(F.substring(F.md5(F.concat_ws(
+            ":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            F.col("l_quantity").cast("bigint"), F.unix_timestamp("l_shipdate"))), 1, 15), 16, 10)
         .cast("bigint").alias("candidate_rank"),
         F.col("l_partkey").alias("movieId"),
         (F.col("l_quantity").cast("bigint") % 9).alias("q9"),
