@@ -70,10 +70,13 @@ def answer_log(answers: DataFrame, max_accepted: int = MAX_ACCEPTED) -> DataFram
                     status.alias("status"))
 
 
-def accepted_ratings(answers: DataFrame, max_accepted: int = MAX_ACCEPTED) -> DataFrame:
-    """``(userId, movieId, rating)``, one row per accepted candidate."""
+def accepted_ratings(answers: DataFrame, max_accepted: int = MAX_ACCEPTED,
+                     keep_rank: bool = False) -> DataFrame:
+    """``(userId, movieId, rating)``, one row per accepted candidate
+    (``keep_rank`` adds ``candidate_rank``: a movie can be offered twice)."""
     first = _first_accepted(_decisions(_classified(answers)), max_accepted)
-    return first.select("userId", F.col("dmovie").alias("movieId"),
+    cols = ["userId"] + (["candidate_rank"] if keep_rank else [])
+    return first.select(*cols, F.col("dmovie").alias("movieId"),
                         F.col("dvalue").cast("double").alias("rating"))
 
 

@@ -1,0 +1,75 @@
+"""Streaming intake of cold-start answers (the original's console loop).
+
+Answers arrive as files ``(userId, candidate_rank, attempt, movieId, answer)``;
+each micro-batch
+
+1. appends its answers to ``<table_dir>/answers`` (partition ``batch_id``,
+   overwritten on a retry, so a replayed batch writes the same rows once);
+2. re-applies the batch rules of O8 to every answer of the users present in
+   the batch (a semi join: work grows with those users' answers only);
+3. appends the ratings not emitted by earlier batches to
+   ``<table_dir>/ratings`` (partition ``batch_id``), ready for O9/O27.
+
+Answers are expected in the order they were given (by candidate, then
+attempt).  The stream's offsets live in the checkpoint folder, which defaults
+to the cluster's shared ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
+
+from marquee.operators.feedback import accepted_ratings
+from marquee.schema import ANSWERS, MAX_ACCEPTED
+from marquee.sources.tables import shared_folder
+
+
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def process_batch(batch: DataFrame, batch_id: int, table_dir: str,
+                  max_accepted: int = MAX_ACCEPTED) -> None:
+    spark = batch.sparkSession
+    answers_path = os.path.join(table_dir, "answers")
+    ratings_path = os.path.join(table_dir, "ratings")
+    (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(answers_path))
+    answers = spark.read.parquet(answers_path).where(F.col("batch_id") <= batch_id)
+    users = batch.select("userId").distinct()
+    mine = answers.join(users, "userId", "left_semi").drop("batch_id")
+    accepted = accepted_ratings(mine, max_accepted, keep_rank=True)
+    prior = _read_or_none(spark, ratings_path)
+    if prior is not None:
+        earlier = prior.where(F.col("batch_id") < batch_id).select("userId", "candidate_rank")
+        accepted = accepted.join(earlier, ["userId", "candidate_rank"], "left_anti")
+    (accepted.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(ratings_path))
+
+
+def start_feedback_stream(spark: SparkSession, source_dir: str, table_dir: str, *,
+                          checkpoint: str | None = None, available_now: bool = False,
+                          processing_time: str | None = None,
+                          max_accepted: int = MAX_ACCEPTED) -> StreamingQuery:
+    """Start the intake; ``available_now=True`` processes what is there and stops."""
+    if checkpoint is None:
+        base = shared_folder(spark)
+        if not base:
+            raise RuntimeError("no checkpoint folder: pass one or set spark.checkpoint.dir")
+        checkpoint = os.path.join(base, "marquee-streams", "feedback")
+    stream = spark.readStream.schema(ANSWERS).parquet(source_dir)
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda df, bid: process_batch(df, bid, table_dir, max_accepted))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()

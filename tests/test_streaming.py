@@ -1,0 +1,38 @@
+"""Streaming answer intake equals the batch operator over all answers."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL, rows
+from marquee.operators.feedback import accepted_ratings
+from marquee.sources import testdata as TD
+from marquee.streaming.feedback import process_batch, start_feedback_stream
+
+
+def test_stream_matches_batch(spark):
+    work = tempfile.mkdtemp(prefix="marquee-stream-")
+    src, out, ckpt = (os.path.join(work, d) for d in ("src", "out", "ckpt"))
+    answers = TD.answers(spark, SF_SMALL)
+    # two arrivals in the order the answers were given: earlier candidates first
+    mid = answers.agg(F.percentile_approx("candidate_rank", 0.5)).first()[0]
+    answers.where(F.col("candidate_rank") < mid).write.parquet(os.path.join(src, "part1"))
+    q = start_feedback_stream(spark, src + "/*", out, checkpoint=ckpt, available_now=True)
+    q.awaitTermination()
+    answers.where(F.col("candidate_rank") >= mid).write.parquet(os.path.join(src, "part2"))
+    q = start_feedback_stream(spark, src + "/*", out, checkpoint=ckpt, available_now=True)
+    q.awaitTermination()
+    got = spark.read.parquet(os.path.join(out, "ratings")).drop("batch_id", "candidate_rank")
+    assert rows(got) == rows(accepted_ratings(answers))
+
+
+def test_replayed_batch_is_idempotent(spark):
+    work = tempfile.mkdtemp(prefix="marquee-replay-")
+    answers = TD.answers(spark, SF_SMALL).where(F.col("userId") > -50)
+    process_batch(answers, 0, work)
+    process_batch(answers, 0, work)  # a retry of the same batch
+    got = spark.read.parquet(os.path.join(work, "ratings")).drop("batch_id", "candidate_rank")
+    assert rows(got) == rows(accepted_ratings(answers))
