@@ -11,7 +11,7 @@ TPC-H-like tables, so every query reads (and scales with) the given data.
   candidate order is a hash of the line (a shuffled list), the answer tokens
   come from the quantity and the part key and cover every answer class.
 
-The same definitions are written as DuckDB SQL in ``__spark_entry__.py``.
+The same definitions are written as DuckDB SQL in ``marquee/plans/oracle.py``.
 """
 
 from __future__ import annotations
