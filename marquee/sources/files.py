@@ -40,15 +40,21 @@ def read_ratings(spark: SparkSession, path: str | list[str], *, header: bool = F
 
 
 def read_movies(spark: SparkSession, path: str | list[str], *, header: bool = True,
-                fmt: str = "csv") -> DataFrame:
-    """O2: movies as ``(movieId, title, genres)``; quoted titles are kept whole."""
+                fmt: str = "csv", check_unique: bool = True) -> DataFrame:
+    """O2: movies as ``(movieId, title, genres)``; quoted titles are kept whole.
+
+    ``check_unique`` fails on a repeated movie id (one aggregation job) instead
+    of letting one copy silently win.
+    """
     if fmt == "parquet":
         df = spark.read.parquet(*([path] if isinstance(path, str) else path))
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
-                           else F.lit(None).cast(f.dataType).alias(f.name)
-                           for f in MOVIES.fields])
-    return (spark.read.schema(MOVIES).option("header", header).option("quote", '"')
-            .option("escape", '"').option("mode", "FAILFAST").csv(path))
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
+                         else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in MOVIES.fields])
+    else:
+        df = (spark.read.schema(MOVIES).option("header", header).option("quote", '"')
+              .option("escape", '"').option("mode", "FAILFAST").csv(path))
+    return assert_unique(df, "movieId") if check_unique else df
 
 
 def duplicate_ids(df: DataFrame, key: str = "movieId") -> DataFrame:

@@ -53,6 +53,10 @@ def test_unique_movie_ids_checked(spark):
     with pytest.raises(ValueError, match="not unique"):
         S.assert_unique(m)
     S.assert_unique(TD.movies(spark, SF_SMALL))
+    mp = _write("movieId,title,genres\n1,a,x\n1,b,y\n", "dup.csv")
+    with pytest.raises(ValueError, match="not unique"):
+        S.read_movies(spark, mp)
+    assert S.read_movies(spark, mp, check_unique=False).count() == 2
 
 
 def test_adapter_shapes(spark):
