@@ -182,6 +182,8 @@ UNION ALL SELECT userId, movieId, rating, CAST(NULL AS BIGINT) FROM acc""",
     "o15_co_rated": _with(_RAT, _SIM) + "SELECT userId1, movieId, rat1, userId2, rat2 FROM co",
     "o16_user_cosine": _with(_RAT, _SIM) + """
 SELECT userId1, userId2, round(cosineSim, 6) AS cosineSim FROM sim""",
+    "o16_user_cosine_corated": _with(_RAT, _SIM) + """
+SELECT userId1, userId2, round(coalesce(dot / (sqrt(n1) * sqrt(n2)), 0), 6) AS cosineSim FROM g""",
     "o17_neighbour_predictions": _with(_RAT, _MOV, _SIM) + """
 SELECT userId, movieId, round(ratingPredicted, 6) AS ratingPredicted FROM pred""",
     "o18_neighbour_top20": _with(_RAT, _MOV, _SIM) + """

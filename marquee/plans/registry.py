@@ -131,6 +131,12 @@ def o16_user_cosine(spark, sf_dir):
     return N.cosine_similarity(r, TARGET_USER).select("userId1", "userId2", _r6("cosineSim"))
 
 
+def o16_user_cosine_corated(spark, sf_dir):
+    r, _ = _data(spark, sf_dir)
+    return N.cosine_similarity(r, TARGET_USER, norm="corated").select(
+        "userId1", "userId2", _r6("cosineSim"))
+
+
 def o17_neighbour_predictions(spark, sf_dir):
     r, m = _data(spark, sf_dir)
     return N.predicted_ratings(r, m, TARGET_USER).select("userId", "movieId", _r6("ratingPredicted"))

@@ -170,3 +170,21 @@ def test_content_plan_has_no_cross_product_or_python(spark):
     plan = physical_plan(df)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
+
+
+def test_liked_ratings_are_the_latest_not_the_most_rated(spark, tiny):
+    _, m = tiny
+    # seven liked ratings; the five latest win, a time tie is broken by movie id
+    data = [(9, 1, 5.0, 10), (9, 2, 5.0, 70), (9, 3, 3.0, 60), (9, 4, 4.0, 50),
+            (9, 5, 3.0, 40), (9, 6, 3.5, 40), (9, 7, 4.0, 5)]
+    r = spark.createDataFrame(data, "userId int, movieId int, rating double, timestamp long")
+    got = C.liked_ratings(r, m).orderBy("recency").collect()
+    assert [(x.movieId, x.recency) for x in got] == [(2, 1), (3, 2), (4, 3), (5, 4), (6, 5)]
+
+
+def test_user_without_liked_rating_gets_nothing(spark, tiny):
+    _, m = tiny
+    r = spark.createDataFrame([(1, 1, 2.5, 1), (2, 1, 4.0, 1)],
+                              "userId int, movieId int, rating double, timestamp long")
+    users = {x.userId for x in C.content_recommendations(r, m, vocabulary=VOC3).collect()}
+    assert users == {2}

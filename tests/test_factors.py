@@ -69,3 +69,13 @@ def test_refresh_appends_and_retrains(fitted, spark):
     cold = new.select("userId").distinct()
     top = FA.top_for_users(model, cold, m)
     assert top.select("userId").distinct().count() == cold.count()
+
+
+def test_top_n_may_include_rated_movies(spark):
+    # one user rated every movie: the top-n is drawn from rated movies (not excluded)
+    data = [(u, i, float(1 + (u * 7 + i) % 5)) for u in range(6) for i in range(12)]
+    r = spark.createDataFrame(data, "userId int, movieId int, rating double")
+    m = spark.createDataFrame([(i, f"t{i}", "x") for i in range(12)], "movieId int, title string, genres string")
+    model = FA.train_als(r)
+    top = FA.top_for_users(model, spark.createDataFrame([(0,)], "userId long"), m, n=5).collect()
+    assert len(top) == 5
