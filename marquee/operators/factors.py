@@ -37,8 +37,8 @@ def train_als(ratings: DataFrame, *, rank: int = ALS_RANK, max_iter: int = ALS_M
     spark = ratings.sparkSession
     try:
         checkpoint_dir(spark, checkpoint_fallback)
-    except RuntimeError:
-        pass  # no reliable folder: ALS then runs without checkpoints
+    except Exception:
+        pass  # no reliable folder (or no SparkContext): ALS runs without checkpoints
     parts = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     data = _int_ids(ratings.select("userId", "movieId", "rating"), "userId", "movieId")
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, implicitPrefs=False, seed=seed,

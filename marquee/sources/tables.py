@@ -25,16 +25,28 @@ _LOCK = threading.RLock()
 _TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
+def _app_id(spark) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect)
+        return spark.conf.get("spark.app.id", "app")
+
+
 def shared_folder(spark) -> str | None:
-    sc = spark.sparkContext
-    conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    return conf or sc.getCheckpointDir()
+    conf = spark.conf.get(CHECKPOINT_CONF, None)
+    if conf:
+        return conf
+    try:
+        sc = spark.sparkContext
+        return sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    except Exception:
+        return None
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once per application under ``name`` and return the stored table."""
     spark = df.sparkSession
-    key = (spark.sparkContext.applicationId, name)
+    key = (_app_id(spark), name)
     with _LOCK:
         hit = _TABLES.get(key)
         if hit is not None:
@@ -53,7 +65,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def memoize(spark, name: str, build):
     """Per-application memo for non-table artefacts (e.g. a trained model)."""
-    key = (spark.sparkContext.applicationId, "memo:" + name)
+    key = (_app_id(spark), "memo:" + name)
     with _LOCK:
         if key not in _TABLES:
             _TABLES[key] = build()

@@ -55,3 +55,19 @@ def test_plan_shapes(spark, name):
     if name not in allowed:
         for bad in BAD:
             assert bad not in plan, f"{name}: {bad}"
+
+
+@pytest.mark.parametrize("name", ["o06_unseen_movies", "o15_co_rated", "o16_user_cosine"])
+def test_target_filter_reaches_the_scan(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    plan = physical_plan(df)
+    assert "EqualTo(userId,0)" in plan, "target filter not pushed into the Parquet scan"
+
+
+def test_projection_is_pruned_at_the_scan(spark):
+    df = QUERIES["o04_popularity"](spark, SF_SMALL)
+    df.collect()
+    plan = physical_plan(df)
+    # ratings scan reads only the two columns the aggregate needs
+    assert "ReadSchema: struct<movieId:bigint,rating:double>" in plan
