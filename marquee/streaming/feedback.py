@@ -1,73 +1,146 @@
 """Streaming intake of cold-start answers (the original's console loop).
 
-Answers arrive as files ``(userId, candidate_rank, attempt, movieId, answer)``;
-each micro-batch
-
-1. appends its answers to ``<table_dir>/answers`` (partition ``batch_id``,
-   overwritten on a retry, so a replayed batch writes the same rows once);
-2. re-applies the batch rules of O8 to every answer of the users present in
-   the batch (a semi join: work grows with those users' answers only);
-3. appends the ratings not emitted by earlier batches to
-   ``<table_dir>/ratings`` (partition ``batch_id``), ready for O9/O27.
-
-Answers are expected in the order they were given (by candidate, then
-attempt).  The stream's offsets live in the checkpoint folder, which defaults
-to the cluster's shared ``spark.checkpoint.dir``.
+Answers ``(userId, candidate_rank, attempt, movieId, answer)`` arrive as files,
+in the order they were given (by candidate, then attempt).  The O8 rules then
+need only a small state per user, kept in Structured Streaming's state store:
+accepted so far, the last candidate reached, and whether it was decided.
+Each micro-batch
+
+1. groups the batch's answers by user (``applyInPandasWithState``): the user's
+   rows of this batch are classified with vectorised pandas, continuing from
+   the stored state, so the work is proportional to the batch, not history;
+2. writes the answer log (every row with its status) and the accepted ratings
+   to ``<table_dir>/log`` and ``<table_dir>/ratings``, partitioned by
+   ``batch_id`` and overwritten on a retry, so a replayed batch lands once.
+
+For answers that arrive in order, the log equals ``operators.feedback.answer_log``
+over all answers so far.  A candidate below the last one reached counts as
+already decided (the walk has moved past it).
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from marquee.operators.feedback import accepted_ratings
-from marquee.schema import ANSWERS, MAX_ACCEPTED
+from marquee.functions import answers as A
+from marquee.schema import ANSWER_MAX, ANSWER_MIN, ANSWER_SKIP, ANSWERS, MAX_ACCEPTED
 from marquee.sources.tables import shared_folder
 
+LOG_SCHEMA = ("userId long, candidate_rank long, attempt long, movieId long, answer string, "
+              "value int, status string")
+STATE_SCHEMA = "n_accepted int, last_rank long, last_decided boolean"
+_INT_MAX = 2**31 - 1
+
+
+def _values(answer: pd.Series) -> pd.Series:
+    """The answer as an integer, or NA when it is not a sign-and-digits int."""
+    ok = answer.fillna("").str.fullmatch(r"[+-]?[0-9]+")
+    num = pd.to_numeric(answer.where(ok), errors="coerce")
+    num = num.where(num.abs() <= _INT_MAX)
+    return num.astype("Int64")
+
+
+def _classes(value: pd.Series) -> np.ndarray:
+    v = value.to_numpy(dtype="float64", na_value=np.nan)
+    return np.select(
+        [np.isnan(v), v == ANSWER_SKIP, (v >= ANSWER_MIN) & (v <= ANSWER_MAX)],
+        [A.NOT_INTEGER, A.SKIPPED, A.ACCEPTED], default=A.OUT_OF_RANGE)
+
+
+def walk(rows: pd.DataFrame, n_accepted: int, last_rank: int | None, last_decided: bool,
+         max_accepted: int = MAX_ACCEPTED) -> tuple[pd.DataFrame, tuple[int, int | None, bool]]:
+    """Classify one user's new answers given the stored state; returns the
+    log rows and the new state."""
+    x = rows.sort_values(["candidate_rank", "attempt", "answer"], kind="mergesort").reset_index(drop=True)
+    x["value"] = _values(x["answer"])
+    cls = _classes(x["value"])
+    decides = np.isin(cls, [A.ACCEPTED, A.SKIPPED])
+    rank = x["candidate_rank"].to_numpy()
+    # candidates already decided before this batch
+    old = np.zeros(len(x), dtype=bool)
+    if last_rank is not None:
+        old = (rank < last_rank) | ((rank == last_rank) & last_decided)
+    live = decides & ~old
+    before = pd.Series(live.astype(int)).groupby(rank).cumsum().to_numpy() - live
+    decision = live & (before == 0)          # first deciding answer of a candidate
+    after = old | (before > 0)               # the candidate was decided earlier
+    accepted = decision & (cls == A.ACCEPTED)
+    position = n_accepted + np.cumsum(accepted)
+    if n_accepted >= max_accepted:           # done earlier: last_rank is the limit
+        limit_rank = last_rank
+    else:
+        hit = np.flatnonzero(accepted & (position == max_accepted))
+        limit_rank = rank[hit[0]] if hit.size else None
+    beyond = np.zeros(len(x), dtype=bool) if limit_rank is None else rank > limit_rank
+    x["status"] = np.where(beyond, A.AFTER_LIMIT, np.where(after, A.AFTER_DECISION, cls))
+    new_n = min(max_accepted, n_accepted + int((accepted & ~beyond).sum()))
+    if limit_rank is not None:
+        return x, (new_n, int(limit_rank), True)
+    top, decided_top = last_rank, last_decided
+    if len(x) and (last_rank is None or rank.max() >= last_rank):
+        top = int(rank.max())
+        decided_top = bool(((decision | old) & (rank == top)).any())
+    return x, (new_n, top, decided_top)
+
+
+def _stateful(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    n_acc, last_rank, last_decided = state.get if state.exists else (0, None, False)
+    rows = pd.concat(list(pdfs), ignore_index=True)
+    out, new_state = walk(rows, int(n_acc), None if last_rank is None else int(last_rank),
+                          bool(last_decided))
+    state.update(new_state)
+    out = out[["userId", "candidate_rank", "attempt", "movieId", "answer", "value", "status"]]
+    yield out.astype({"value": "Int32"})
+
+
+def answer_log_stream(answers: DataFrame) -> DataFrame:
+    """Streaming answer log: ``answers`` (a streaming DataFrame) → status per row."""
+    return answers.groupBy("userId").applyInPandasWithState(
+        _stateful, outputStructType=LOG_SCHEMA, stateStructType=STATE_SCHEMA,
+        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _write_batch(log: DataFrame, batch_id: int, table_dir: str) -> None:
+    # two writes read the batch: keep it so the stateful step runs once
+    log = log.withColumn("batch_id", F.lit(batch_id)).persist()
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def process_batch(batch: DataFrame, batch_id: int, table_dir: str,
-                  max_accepted: int = MAX_ACCEPTED) -> None:
-    spark = batch.sparkSession
-    answers_path = os.path.join(table_dir, "answers")
-    ratings_path = os.path.join(table_dir, "ratings")
-    (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(answers_path))
-    answers = spark.read.parquet(answers_path).where(F.col("batch_id") <= batch_id)
-    users = batch.select("userId").distinct()
-    mine = answers.join(users, "userId", "left_semi").drop("batch_id")
-    accepted = accepted_ratings(mine, max_accepted, keep_rank=True)
-    prior = _read_or_none(spark, ratings_path)
-    if prior is not None:
-        earlier = prior.where(F.col("batch_id") < batch_id).select("userId", "candidate_rank")
-        accepted = accepted.join(earlier, ["userId", "candidate_rank"], "left_anti")
-    (accepted.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(ratings_path))
+        (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(os.path.join(table_dir, "log")))
+        ratings = log.where(F.col("status") == A.ACCEPTED).select(
+            "userId", "candidate_rank", "movieId", F.col("value").cast("double").alias("rating"),
+            "batch_id")
+        (ratings.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(os.path.join(table_dir, "ratings")))
+    finally:
+        log.unpersist()
 
 
 def start_feedback_stream(spark: SparkSession, source_dir: str, table_dir: str, *,
                           checkpoint: str | None = None, available_now: bool = False,
                           processing_time: str | None = None,
-                          max_accepted: int = MAX_ACCEPTED) -> StreamingQuery:
-    """Start the intake; ``available_now=True`` processes what is there and stops."""
+                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the intake; ``available_now=True`` processes what is there and stops.
+    Offsets and per-user state live in the checkpoint folder (default: under
+    the cluster's shared ``spark.checkpoint.dir``)."""
     if checkpoint is None:
         base = shared_folder(spark)
         if not base:
             raise RuntimeError("no checkpoint folder: pass one or set spark.checkpoint.dir")
         checkpoint = os.path.join(base, "marquee-streams", "feedback")
-    stream = spark.readStream.schema(ANSWERS).parquet(source_dir)
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, bid: process_batch(df, bid, table_dir, max_accepted))
+    reader = spark.readStream.schema(ANSWERS)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    log = answer_log_stream(reader.parquet(source_dir))
+    writer = log.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda df, bid: _write_batch(df, bid, table_dir))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

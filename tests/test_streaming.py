@@ -1,16 +1,56 @@
-"""Streaming answer intake equals the batch operator over all answers."""
+"""Streaming answer intake: state walk equals the batch operator."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
-from marquee.operators.feedback import accepted_ratings
+from marquee.operators.feedback import accepted_ratings, answer_log
 from marquee.sources import testdata as TD
-from marquee.streaming.feedback import process_batch, start_feedback_stream
+from marquee.streaming.feedback import start_feedback_stream, walk
+
+LOG_COLS = ["userId", "candidate_rank", "attempt", "movieId", "answer", "status"]
+
+
+def _walk_in_parts(pdf: pd.DataFrame, cuts: list[int], max_accepted: int = 20) -> pd.DataFrame:
+    """Feed one user's answers to ``walk`` in rank slices, carrying the state."""
+    state = (0, None, False)
+    out = []
+    edges = [-(2**63)] + cuts + [2**63 - 1]
+    for lo, hi in zip(edges, edges[1:]):
+        part = pdf[(pdf.candidate_rank >= lo) & (pdf.candidate_rank < hi)]
+        if len(part):
+            res, state = walk(part, *state, max_accepted=max_accepted)
+            out.append(res)
+    return pd.concat(out) if out else pdf.iloc[:0]
+
+
+@pytest.mark.parametrize("cuts", [[], [0], [-(2**61), 2**61], list(range(-(2**62), 2**62, 2**59))])
+def test_walk_in_slices_equals_batch_log(spark, cuts):
+    answers = TD.answers(spark, SF_SMALL)
+    exp = answer_log(answers).toPandas()
+    pdf = answers.toPandas()
+    got = pd.concat([_walk_in_parts(g, cuts) for _, g in pdf.groupby("userId")])
+    key = ["userId", "candidate_rank", "attempt", "answer"]
+    a = got[LOG_COLS].sort_values(key).reset_index(drop=True)
+    b = exp[LOG_COLS].sort_values(key).reset_index(drop=True)
+    pd.testing.assert_frame_equal(a, b, check_dtype=False)
+
+
+def test_walk_limit_and_duplicates(spark):
+    # 25 accepted answers, a duplicate attempt, a retry after a reject
+    data = [(-7, r, 1, 100 + r, "3") for r in range(1, 26)] + [(-7, 3, 1, 103, "4"), (-7, 2, 2, 102, "5")]
+    pdf = pd.DataFrame(data, columns=["userId", "candidate_rank", "attempt", "movieId", "answer"])
+    exp = answer_log(spark.createDataFrame(pdf)).toPandas()
+    for cuts in ([], [3], [2, 10, 21], [21, 22]):
+        got = _walk_in_parts(pdf, cuts)
+        key = ["candidate_rank", "attempt", "answer"]
+        assert (got.sort_values(key)["status"].tolist() == exp.sort_values(key)["status"].tolist()), cuts
 
 
 def test_stream_matches_batch(spark):
@@ -25,14 +65,7 @@ def test_stream_matches_batch(spark):
     answers.where(F.col("candidate_rank") >= mid).write.parquet(os.path.join(src, "part2"))
     q = start_feedback_stream(spark, src + "/*", out, checkpoint=ckpt, available_now=True)
     q.awaitTermination()
-    got = spark.read.parquet(os.path.join(out, "ratings")).drop("batch_id", "candidate_rank")
-    assert rows(got) == rows(accepted_ratings(answers))
-
-
-def test_replayed_batch_is_idempotent(spark):
-    work = tempfile.mkdtemp(prefix="marquee-replay-")
-    answers = TD.answers(spark, SF_SMALL).where(F.col("userId") > -50)
-    process_batch(answers, 0, work)
-    process_batch(answers, 0, work)  # a retry of the same batch
-    got = spark.read.parquet(os.path.join(work, "ratings")).drop("batch_id", "candidate_rank")
+    got = spark.read.parquet(os.path.join(out, "ratings")).select("userId", "movieId", "rating")
     assert rows(got) == rows(accepted_ratings(answers))
+    log = spark.read.parquet(os.path.join(out, "log")).select(*LOG_COLS)
+    assert rows(log) == rows(answer_log(answers).select(*LOG_COLS))
