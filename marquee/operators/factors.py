@@ -25,13 +25,21 @@ def _int_ids(df: DataFrame, *cols: str) -> DataFrame:
     return out
 
 
+def _parallelism(spark) -> int:
+    """Cores of the cluster (one ALS block per core, as Spark ML advises)."""
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext on this client
+        return max(1, int(spark.conf.get("spark.default.parallelism", "8")))
+
+
 def train_als(ratings: DataFrame, *, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
               reg_param: float = ALS_REG_PARAM, seed: int = DEFAULT_SEED,
               blocks: int | None = None, checkpoint_fallback: str | None = None) -> ALSModel:
     """Explicit-feedback ALS (rank 6, 5 iterations, λ 0.01 by default).
 
-    Factor blocks default to the shuffle partition count so the solve spreads
-    over the cluster.  The reliable checkpoint folder (``spark.checkpoint.dir``)
+    Factor blocks default to the cluster's parallelism (total cores), so the
+    solve spreads over every core whatever ``spark.sql.shuffle.partitions`` is.  The reliable checkpoint folder (``spark.checkpoint.dir``)
     is registered so long runs cut their lineage every 10 iterations.
     """
     spark = ratings.sparkSession
@@ -39,7 +47,7 @@ def train_als(ratings: DataFrame, *, rank: int = ALS_RANK, max_iter: int = ALS_M
         checkpoint_dir(spark, checkpoint_fallback)
     except Exception:
         pass  # no reliable folder (or no SparkContext): ALS runs without checkpoints
-    parts = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = blocks or _parallelism(spark)
     data = _int_ids(ratings.select("userId", "movieId", "rating"), "userId", "movieId")
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, implicitPrefs=False, seed=seed,
               userCol="userId", itemCol="movieId", ratingCol="rating", coldStartStrategy="drop",
