@@ -71,3 +71,14 @@ def test_projection_is_pruned_at_the_scan(spark):
     plan = physical_plan(df)
     # ratings scan reads only the two columns the aggregate needs
     assert "ReadSchema: struct<movieId:bigint,rating:double>" in plan
+
+
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_types_match_oracle(spark, con, name):
+    got = {f.name: _DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+           for f in QUERIES[name](spark, SF_ORACLE).schema.fields}
+    rel = con.sql(ORACLE[name])
+    assert got == dict(zip(rel.columns, [str(t) for t in rel.types]))
