@@ -55,27 +55,27 @@ def liked_ratings(ratings: DataFrame, movies: DataFrame, n: int = N_LIKED,
 
 def genre_matrix(movies: DataFrame, vocabulary: Sequence[str] = DEFAULT_GENRES,
                  no_genre_label: str = NO_GENRE_LABEL, unknown: str = "error") -> DataFrame:
-    """One row per movie with genres: ``(movieId, g, mask, idx, n_genres)``.
+    """One row per movie with genres: ``(movieId, g, mask, n_genres)``.
 
     ``g`` is the multi-hot ``array<double>`` over ``vocabulary``, ``mask`` the
-    same set as bits, ``idx`` the 1-based positions of its genres.  A genre
-    outside the vocabulary fails the job (``unknown="error"``) or is ignored
-    (``"ignore"``).  Movies labelled ``no_genre_label`` are left out.
+    same set as bits.  A genre outside the vocabulary fails the job
+    (``unknown="error"``) or is ignored (``"ignore"``).  Movies labelled
+    ``no_genre_label`` are left out.  All per-movie expressions are codegen'd;
+    the error message is built only for a failing row.
     """
-    k = len(vocabulary)
     m = movies.where(F.col("genres").isNotNull() & (F.col("genres") != no_genre_label))
     arr = V.genre_list(F.col("genres"))
     mask = V.genre_mask(arr, vocabulary)
     if unknown == "error":
-        bad = V.unknown_genres(arr, vocabulary)
-        mask = F.when(F.size(bad) > 0, F.raise_error(F.concat(
-            F.lit("genre not in vocabulary: "), F.element_at(bad, 1),
+        # more distinct names than recognised bits means an unknown name
+        bad = F.size(F.array_distinct(arr)) > F.bit_count(mask)
+        mask = F.when(bad, F.raise_error(F.concat(
+            F.lit("genre not in vocabulary: "), F.element_at(V.unknown_genres(arr, vocabulary), 1),
             F.lit(" (movie "), F.col("movieId").cast("string"), F.lit(")")))).otherwise(mask)
     elif unknown != "ignore":
         raise ValueError(f"unknown={unknown!r}")
     out = m.select("movieId", V.multi_hot(arr, vocabulary).alias("g"), mask.alias("mask"))
-    idx = F.filter(F.sequence(F.lit(1), F.lit(k)), lambda i: F.element_at(F.col("g"), i) == 1.0)
-    return out.select("movieId", "g", "mask", idx.alias("idx"), F.bit_count("mask").alias("n_genres"))
+    return out.select("movieId", "g", "mask", F.bit_count("mask").alias("n_genres"))
 
 
 def user_profiles(liked: DataFrame, matrix: DataFrame, k: int) -> DataFrame:
@@ -97,10 +97,12 @@ def seen_items(ratings: DataFrame) -> DataFrame:
     return ratings.select("userId", "movieId").distinct()
 
 
-def _signatures(matrix: DataFrame) -> DataFrame:
-    return matrix.groupBy("mask").agg(
-        F.count(F.lit(1)).alias("size"), F.first("idx").alias("idx"),
-        F.first("n_genres").alias("n_genres"))
+def _signatures(matrix: DataFrame, k: int) -> DataFrame:
+    """Distinct genre sets ``(mask, size, idx, n_genres)``; ``idx`` lists the
+    1-based vocabulary positions of the set, computed once per set."""
+    sigs = matrix.groupBy("mask").agg(F.count(F.lit(1)).alias("size"))
+    idx = F.expr(f"filter(sequence(1, {int(k)}), i -> (shiftright(mask, i - 1) & 1) = 1)")
+    return sigs.select("mask", "size", idx.alias("idx"), F.bit_count("mask").alias("n_genres"))
 
 
 def _score(profile, norm_p, idx, n_genres) -> "F.Column":
@@ -112,7 +114,7 @@ def _kept_signatures(profiles: DataFrame, seen: DataFrame, matrix: DataFrame, n:
                      salt: int | None = None) -> DataFrame:
     """Steps 1-2: ``(userId, mask, score, rscore, k_take)`` per kept signature."""
     spark = profiles.sparkSession
-    sigs = _signatures(matrix)
+    sigs = _signatures(matrix, k)
     if (1 << k) <= MAX_BROADCAST_SIGNATURES:
         # proven bound: k names give at most 2**k distinct genre sets; the
         # chunk count is computed inside the query (scalar subquery)
