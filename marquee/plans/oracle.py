@@ -93,7 +93,7 @@ pred AS (
   FROM nrows GROUP BY userId, movieId HAVING sum(cosSim) <> 0),
 ntop AS (
   SELECT * FROM (
-    SELECT *, CAST(row_number() OVER (PARTITION BY userId ORDER BY cosSim DESC,
+    SELECT *, CAST(row_number() OVER (PARTITION BY userId ORDER BY round(cosSim, 9) DESC,
                    round(ratingPredicted, 9) DESC, movieId, rating) AS INTEGER) AS rank
     FROM (SELECT DISTINCT n.userId, n.movieId, n.title, n.cosSim, n.rating, p.ratingPredicted
           FROM nrows n JOIN pred p USING (userId, movieId)) d) WHERE rank <= 20)"""

@@ -100,3 +100,54 @@ def test_pruned_content_equals_brute_force(spark, movies, ratings, n):
     exp = exp.sort_values(key).reset_index(drop=True)
     assert got[["userId", "rank", "movieId"]].values.tolist() == exp[["userId", "rank", "movieId"]].values.tolist()
     assert (got.score - exp.score).abs().max() < 1e-6 if len(got) else True
+
+
+def neighbours_reference(r: pd.DataFrame, m: pd.DataFrame, target: int, n: int):
+    """Per-row formulation: distinct co-rated rows, each rating divided by its
+    window norm (target: over all its co-rated rows; neighbour: over its rows),
+    products summed per pair; predictions over the neighbours' rating rows."""
+    t = r[r.userId == target][["userId", "movieId", "rating"]].drop_duplicates()
+    o = r[["userId", "movieId", "rating"]].drop_duplicates()
+    co = t.merge(o, on="movieId", suffixes=("1", "2"))
+    co = co[co.userId1 != co.userId2].copy()
+    if co.empty:
+        return {}, {}, []
+    c = (co.rating1 ** 2).sum() ** 0.5
+    n2 = co.groupby("userId2").rating2.apply(lambda x: (x ** 2).sum() ** 0.5)
+    co["p"] = (co.rating1 / c if c else 0.0) * co.apply(
+        lambda x: x.rating2 / n2[x.userId2] if n2[x.userId2] else 0.0, axis=1)
+    sim = co.groupby("userId2").p.sum().to_dict()
+    seen = set(r[r.userId == target].movieId)
+    rows = r[r.userId.isin(sim) & ~r.movieId.isin(seen) & r.movieId.isin(m.movieId)].copy()
+    rows["cosSim"] = rows.userId.map(sim)
+    g = rows.assign(sp=rows.rating * rows.cosSim).groupby("movieId")[["sp", "cosSim"]].sum()
+    pred = {mv: v.sp / v.cosSim for mv, v in g.iterrows() if v.cosSim != 0}
+    top = (rows[rows.movieId.isin(pred)][["movieId", "cosSim", "rating"]].drop_duplicates()
+           .assign(pred=lambda d: d.movieId.map(pred)))
+    top = top.assign(k1=-top.cosSim.round(9), k2=-top.pred.round(9)).sort_values(
+        ["k1", "k2", "movieId", "rating"]).head(n)
+    return sim, pred, list(zip(top.movieId, top.rating))
+
+
+neighbour_tables = st.lists(
+    st.tuples(st.integers(0, 5), st.integers(0, 8), st.integers(0, 10)), min_size=2, max_size=35)
+
+
+@SETTINGS
+@given(ratings=neighbour_tables, n=st.integers(1, 6))
+def test_neighbourhood_equals_per_row_formulation(spark, ratings, n):
+    from marquee.operators import neighbours as N
+    r = pd.DataFrame([(u, mv, h / 2) for u, mv, h in ratings], columns=["userId", "movieId", "rating"])
+    m = pd.DataFrame({"movieId": range(8), "title": [f"t{i}" for i in range(8)], "genres": "x"})
+    sr = spark.createDataFrame(r, "userId long, movieId long, rating double")
+    sm = spark.createDataFrame(m, "movieId long, title string, genres string")
+    sim, pred, top = neighbours_reference(r, m, 0, n)
+    got_sim = {x.userId2: x.cosineSim for x in N.cosine_similarity(sr, 0).collect()}
+    assert got_sim.keys() == sim.keys()
+    assert all(abs(got_sim[k] - sim[k]) < 1e-9 for k in sim)
+    got_pred = {x.movieId: x.ratingPredicted for x in N.predicted_ratings(sr, sm, 0).collect()}
+    assert got_pred.keys() == pred.keys()
+    assert all(abs(got_pred[k] - pred[k]) < 1e-9 for k in pred)
+    got_top = [(x.movieId, x.rating) for x in
+               N.neighbour_recommendations(sr, sm, 0, n=n).orderBy("rank").collect()]
+    assert got_top == top
