@@ -69,3 +69,16 @@ def test_stream_matches_batch(spark):
     assert rows(got) == rows(accepted_ratings(answers))
     log = spark.read.parquet(os.path.join(out, "log")).select(*LOG_COLS)
     assert rows(log) == rows(answer_log(answers).select(*LOG_COLS))
+
+
+def test_replayed_batch_lands_once(spark):
+    from marquee.streaming.feedback import _write_batch
+    work = tempfile.mkdtemp(prefix="marquee-replay-")
+    log = answer_log(TD.answers(spark, SF_SMALL)).select(
+        "userId", "candidate_rank", "attempt", "movieId", "answer", "value", "status")
+    _write_batch(log, 3, work)
+    _write_batch(log, 3, work)  # the same micro-batch again after a failure
+    got = spark.read.parquet(os.path.join(work, "log"))
+    assert got.count() == log.count()
+    ratings = spark.read.parquet(os.path.join(work, "ratings")).select("userId", "movieId", "rating")
+    assert rows(ratings) == rows(accepted_ratings(TD.answers(spark, SF_SMALL)))
