@@ -40,6 +40,9 @@ from marquee.schema import (
 MAX_BROADCAST_SIGNATURES = 1 << 20
 # Signatures per catalogue row (bounds the array one row carries).
 CHUNK_SIGNATURES = 1 << 14
+# Ranking keys are scores rounded to 9 places (|error| <= 5e-10): a raw score
+# this far below a bound may still tie with it after rounding.
+RANK_ROUNDING_MARGIN = 1e-9
 
 
 def liked_ratings(ratings: DataFrame, movies: DataFrame, n: int = N_LIKED,
@@ -151,15 +154,35 @@ def _kept_signatures(profiles: DataFrame, seen: DataFrame, matrix: DataFrame, n:
              .withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(salt)).cast("int")))
     x = users.join(catalogue, ["chunk", "salt"])
 
-    def entry(s):
-        score = _score(F.col("profile"), F.col("norm_p"), s["idx"], s["n_genres"])
-        seen_c = F.coalesce(F.col("seen_by_sig")[s["mask"]], F.lit(0).cast("bigint"))
-        return F.struct((-F.round(score, 9)).alias("neg_rs"), s["mask"].alias("mask"),
-                        score.alias("score"), s["size"].alias("size"), seen_c.alias("seen"))
-
-    ranked = F.sort_array(F.transform("sigs", entry))
+    # Phase 1 (every genre set): raw scores, sorted.  With T = the user's seen
+    # movies that have genres, the prefix whose sizes add up to n + T holds at
+    # least n unseen movies, so no set scoring below it (minus the rounding
+    # margin) can be kept.  Phase 2 (that prefix only): the exact ranking key,
+    # the seen counts and the threshold.
+    raw = F.sort_array(F.transform("sigs", lambda s: F.struct(
+        (-_score(F.col("profile"), F.col("norm_p"), s["idx"], s["n_genres"])).alias("neg"),
+        s["mask"].alias("mask"), s["size"].alias("size"))))
+    seen_total = F.coalesce(F.aggregate(F.map_values("seen_by_sig"), F.lit(0).cast("bigint"),
+                                        lambda a, v: a + v), F.lit(0).cast("bigint"))
     zero = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("double").alias("tau"))
 
+    def step1(acc, e):
+        nxt = F.struct((acc["cum"] + e["size"]).alias("cum"), (-e["neg"]).alias("tau"))
+        return F.when(acc["cum"] >= F.col("need"), acc).otherwise(nxt)
+
+    x = (x.select("userId", "seen_by_sig", raw.alias("raw"), (F.lit(n) + seen_total).alias("need"))
+         .withColumn("f1", F.aggregate("raw", zero, step1)))
+    bound = F.when(F.col("f1.cum") >= F.col("need"), F.col("f1.tau") - F.lit(RANK_ROUNDING_MARGIN))
+    prefix = F.filter("raw", lambda e: bound.isNull() | (-e["neg"] >= bound))
+
+    def entry(e):
+        score = -e["neg"]
+        seen_c = F.coalesce(F.col("seen_by_sig")[e["mask"]], F.lit(0).cast("bigint"))
+        return F.struct((-F.round(score, 9)).alias("neg_rs"), e["mask"].alias("mask"),
+                        score.alias("score"), e["size"].alias("size"), seen_c.alias("seen"))
+
+    ranked = F.sort_array(F.transform(prefix, entry))
+
     def step(acc, e):
         nxt = F.struct((acc["cum"] + e["size"] - e["seen"]).alias("cum"), (-e["neg_rs"]).alias("tau"))
         return F.when(acc["cum"] >= n, acc).otherwise(nxt)
