@@ -36,8 +36,9 @@ from marquee.schema import (
     REPORT_USERS, SCORE_SCALE,
 )
 
-# Catalogue entries broadcast at most; beyond that the salted shuffle is used.
-MAX_BROADCAST_SIGNATURES = 1 << 20
+# Catalogue entries broadcast at most (~8 MB); beyond that the salted shuffle
+# is used.  Vocabularies of up to 16 names stay under it by construction.
+MAX_BROADCAST_SIGNATURES = 1 << 16
 # Signatures per catalogue row (bounds the array one row carries).
 CHUNK_SIGNATURES = 1 << 14
 # Ranking keys are scores rounded to 9 places (|error| <= 5e-10): a raw score
