@@ -11,6 +11,7 @@ emitting every (user, movie) pair:
    otherwise shuffled with the users salted over several tasks;
 2. per user, signatures are sorted by score and kept while the movies not yet
    seen in strictly better signatures number fewer than n (ties kept whole);
+   the exact pass runs only on the prefix that the user's seen count allows;
 3. a kept signature needs at most ``n + seen(user, signature)`` of its movies,
    taken in id order: positions 1..K are generated and equi-joined to the
    movies' position inside their signature (computed without one task per
@@ -204,7 +205,8 @@ def content_scores(ratings: DataFrame, movies: DataFrame, *, vocabulary: Sequenc
                    n_liked: int = N_LIKED, threshold: float = LIKED_THRESHOLD,
                    exclude_label: str = EXCLUDE_LABEL, no_genre_label: str = NO_GENRE_LABEL,
                    unknown: str = "error", salt: int | None = None) -> DataFrame:
-    """O24 (scoring, pruned to what the top-n needs): ``(userId, movieId, score, rscore)``.
+    """O24 (scoring, pruned to what the top-n needs):
+    ``(userId, rank, movieId, score, rscore)``.
 
     score = 5 · cos(P(user), G(movie)) for unseen movies with genres; a zero
     norm gives 0.  ``rscore`` is the score rounded to 9 places, the ranking
