@@ -23,7 +23,8 @@ AFTER_LIMIT = "unused_after_limit"
 
 def answer_value(answer: Column) -> Column:
     """The answer as int, or null when it is not an integer token."""
-    return F.when(answer.rlike(r"^[+-]?[0-9]+$"), answer.try_cast("int"))
+    # \z is the end of the input ($ would also match before a final newline)
+    return F.when(answer.rlike(r"^[+-]?[0-9]+\z"), answer.try_cast("int"))
 
 
 def answer_class(answer: Column) -> Column:

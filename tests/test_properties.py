@@ -17,7 +17,8 @@ from test_content import brute_force
 SETTINGS = settings(max_examples=8, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 
-TOKENS = ["1", "2", "3", "4", "5", "6", "0", "7", "-1", "+4", " 3", "x", "4.5", "", "99999999999"]
+TOKENS = ["1", "2", "3", "4", "5", "6", "0", "7", "-1", "+4", " 3", "x", "4.5", "", "99999999999",
+          "5\n", "\u0663"]
 
 
 def walk_console(rows: list[tuple], max_accepted: int) -> dict[tuple, str]:

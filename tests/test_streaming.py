@@ -82,3 +82,12 @@ def test_replayed_batch_lands_once(spark):
     assert got.count() == log.count()
     ratings = spark.read.parquet(os.path.join(work, "ratings")).select("userId", "movieId", "rating")
     assert rows(ratings) == rows(accepted_ratings(TD.answers(spark, SF_SMALL)))
+
+
+def test_walk_token_rules_match_batch(spark):
+    tokens = ["5", "+2", " 3", "5\n", "٣", "6", "0", "2147483648", "x"]
+    pdf = pd.DataFrame([(-3, i, 1, i, t) for i, t in enumerate(tokens)],
+                       columns=["userId", "candidate_rank", "attempt", "movieId", "answer"])
+    got, _ = walk(pdf, 0, None, False)
+    exp = answer_log(spark.createDataFrame(pdf)).toPandas().sort_values("candidate_rank")
+    assert got["status"].tolist() == exp["status"].tolist()
