@@ -38,3 +38,38 @@ def test_same_results_under_other_partitioning(spark, width, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert other == base
+
+
+LARGE_DATA_PLANS = {
+    # no automatic broadcasts: the sort-merge joins a cluster would run
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    # make AQE split "skewed" partitions even at this size
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_same_results_with_sort_merge_joins_and_skew_splits(spark):
+    r = TD.ratings(spark, SF_SMALL)
+    m = TD.movies(spark, SF_SMALL)
+    a = TD.answers(spark, SF_SMALL)
+    base = _all(r, m, a)
+    old = {k: spark.conf.get(k, None) for k in LARGE_DATA_PLANS}
+    for k, v in LARGE_DATA_PLANS.items():
+        spark.conf.set(k, v)
+    try:
+        other = _all(r, m, a)
+        probe = N.neighbour_recommendations(r, m, 0)
+        probe.collect()
+        plan = probe._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert other == base
+    assert "SortMergeJoin(skew=true)" in plan  # AQE really split a hot partition
