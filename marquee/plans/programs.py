@@ -97,7 +97,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         return
     res = collaborative(ratings, movies, args.target or [0])
     print(f"ALS in-sample MSE: {res.mse}")
-    for row in res.top_n.orderBy("userId", "rank").limit(100).collect():
+    # targets x n rows: the size the caller asked for
+    for row in res.top_n.orderBy("userId", "rank").collect():
         print(f"user {row.userId} #{row['rank']}: {row.title} ({row.score:.3f})")
     for row in res.neighbours.orderBy("userId", "rank").collect():
         print(f"user {row.userId} neighbour pick #{row['rank']}: {row.title} "
