@@ -19,7 +19,6 @@ from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marquee.operators import content as C
 from marquee.operators import factors as FA
