@@ -23,6 +23,18 @@ def top_k(df: DataFrame, partition_by: Sequence[ColumnLike], order_by: Sequence[
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
+def round6(x: Column) -> Column:
+    """Round a non-negative double to 6 places through whole 1e-9 units:
+    ``floor((round(x * 1e9) + 500) / 1000) / 1e6``.
+
+    Summation noise in the last bits cannot flip a value that is exactly a
+    6-place half (say a mean of halves), and every step is exact or correctly
+    rounded, so any SQL engine evaluating the same formula gets the same double.
+    """
+    units = F.round(x * F.lit(1e9))
+    return F.floor((units + F.lit(500)) / F.lit(1000)) / F.lit(1e6)
+
+
 def seeded_order(col: ColumnLike, seed: int) -> Column:
     """Reproducible pseudo-random sort key: md5 of ``'<id>:<seed>'``.
 

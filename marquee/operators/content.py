@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import vectors as V
-from marquee.functions.ranking import rank_within, top_k
+from marquee.functions.ranking import rank_within, round6, top_k
 from marquee.operators.popularity import attach_titles
 from marquee.schema import (
     DEFAULT_GENRES, EXCLUDE_LABEL, LIKED_THRESHOLD, N_LIKED, N_RECOMMENDATIONS, NO_GENRE_LABEL,
@@ -254,7 +254,7 @@ def report_users(ratings: DataFrame, movies: DataFrame, n_users: int = REPORT_US
 def format_report(recs: DataFrame) -> DataFrame:
     """O26 formatting: one line per user,
     ``utente: <id> -> \\t1)'<title>' score: <s>/5;\\t2)...`` (scores rounded to 6)."""
-    item = F.struct("rank", "title", F.round("score", 6).cast("string").alias("s"))
+    item = F.struct("rank", "title", round6(F.col("score")).cast("string").alias("s"))
     lines = recs.groupBy("userId").agg(F.sort_array(F.collect_list(item)).alias("items"))
     text = F.array_join(F.transform("items", lambda it: F.format_string(
         REPORT_ITEM_FORMAT, it["rank"], F.coalesce(it["title"], F.lit("null")), it["s"])),

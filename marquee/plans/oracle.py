@@ -147,6 +147,11 @@ ctop AS (
     FROM cscore) z WHERE rank <= 20)"""
 
 
+# Outputs are rounded to 6 places through an integer count of 1e-9 units,
+# floor((round(x * 1e9) + 500) / 1000) / 1e6: every step is exact or correctly
+# rounded, so Spark and DuckDB give the same double even at a 6-place half.
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
@@ -181,17 +186,17 @@ SELECT userId, movieId, rating, "timestamp" FROM rat
 UNION ALL SELECT userId, movieId, rating, CAST(NULL AS BIGINT) FROM acc""",
     "o15_co_rated": _with(_RAT, _SIM) + "SELECT userId1, movieId, rat1, userId2, rat2 FROM co",
     "o16_user_cosine": _with(_RAT, _SIM) + """
-SELECT userId1, userId2, round(cosineSim, 6) AS cosineSim FROM sim""",
+SELECT userId1, userId2, floor((round((cosineSim) * 1e9) + 500) / 1000) / 1e6 AS cosineSim FROM sim""",
     "o16_user_cosine_corated": _with(_RAT, _SIM) + """
-SELECT userId1, userId2, round(coalesce(dot / (sqrt(n1) * sqrt(n2)), 0), 6) AS cosineSim FROM g""",
+SELECT userId1, userId2, floor((round((coalesce(dot / (sqrt(n1) * sqrt(n2)), 0)) * 1e9) + 500) / 1000) / 1e6 AS cosineSim FROM g""",
     "o17_neighbour_predictions": _with(_RAT, _MOV, _SIM) + """
-SELECT userId, movieId, round(ratingPredicted, 6) AS ratingPredicted FROM pred""",
+SELECT userId, movieId, floor((round((ratingPredicted) * 1e9) + 500) / 1000) / 1e6 AS ratingPredicted FROM pred""",
     "o18_neighbour_top20": _with(_RAT, _MOV, _SIM) + """
-SELECT userId, rank, movieId, title, round(cosSim, 6) AS cosSim, rating,
-       round(ratingPredicted, 6) AS ratingPredicted FROM ntop""",
+SELECT userId, rank, movieId, title, floor((round((cosSim) * 1e9) + 500) / 1000) / 1e6 AS cosSim, rating,
+       floor((round((ratingPredicted) * 1e9) + 500) / 1000) / 1e6 AS ratingPredicted FROM ntop""",
     "o19_recommendations_as_ratings": _with(_RAT, _MOV, _SIM) + """
-SELECT userId, movieId, round(rating, 6) AS rating, "timestamp" FROM rat
-UNION ALL SELECT userId, movieId, round(ratingPredicted, 6), CAST(NULL AS BIGINT) FROM ntop""",
+SELECT userId, movieId, floor((round((rating) * 1e9) + 500) / 1000) / 1e6 AS rating, "timestamp" FROM rat
+UNION ALL SELECT userId, movieId, floor((round((ratingPredicted) * 1e9) + 500) / 1000) / 1e6, CAST(NULL AS BIGINT) FROM ntop""",
     "o20_liked_ratings": _with(_RAT, _MOV, _CONTENT) + """
 SELECT userId, movieId, rating, "timestamp", recency FROM liked""",
     "o21_genre_matrix": _with(_RAT, _MOV, _CONTENT) + """
@@ -199,16 +204,16 @@ SELECT movieId, mask AS genre_mask, CAST(bit_count(mask) AS INTEGER) AS n_genres
     "o22_user_profiles": _with(_RAT, _MOV, _CONTENT) + "SELECT userId, genre, weight FROM prof",
     "o23_seen_items": _with(_RAT) + "SELECT DISTINCT userId, movieId FROM rat",
     "o24_content_scores": _with(_RAT, _MOV, _CONTENT) + """
-SELECT userId, movieId, round(score, 6) AS score FROM ctop""",
+SELECT userId, movieId, floor((round((score) * 1e9) + 500) / 1000) / 1e6 AS score FROM ctop""",
     "o25_content_top20": _with(_RAT, _MOV, _CONTENT) + """
-SELECT c.userId, c.rank, c.movieId, m.title, round(c.score, 6) AS score
+SELECT c.userId, c.rank, c.movieId, m.title, floor((round((c.score) * 1e9) + 500) / 1000) / 1e6 AS score
 FROM ctop c LEFT JOIN mov m USING (movieId)""",
     "o26_content_report": _with(_RAT, _MOV, _CONTENT) + """,
 first_users AS (SELECT DISTINCT userId FROM ctop ORDER BY userId LIMIT 5)
 SELECT c.userId,
        'utente: ' || CAST(c.userId AS VARCHAR) || ' -> ' ||
        string_agg(printf(chr(9) || '%d)''%s'' score: %s/5', c.rank, coalesce(m.title, 'null'),
-                         CAST(round(c.score, 6) AS VARCHAR)), ';' ORDER BY c.rank) AS line
+                         CAST(floor((round((c.score) * 1e9) + 500) / 1000) / 1e6 AS VARCHAR)), ';' ORDER BY c.rank) AS line
 FROM ctop c JOIN first_users f USING (userId) LEFT JOIN mov m USING (movieId)
 GROUP BY c.userId""",
 }

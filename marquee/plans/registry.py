@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.functions.ranking import round6
 from marquee.operators import content as C
 from marquee.operators import factors as FA
 from marquee.operators import feedback as FB
@@ -40,7 +41,7 @@ def _data(spark: SparkSession, sf_dir: str):
 
 
 def _r6(c: str) -> F.Column:
-    return F.round(F.col(c), 6).alias(c)
+    return round6(F.col(c)).alias(c)
 
 
 def o01_ratings(spark, sf_dir):
