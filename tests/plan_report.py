@@ -17,7 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def stats(plan: str) -> dict[str, int | str]:
     plan = plan.split("== Initial Plan ==")[0]  # the final adaptive plan only
     return {
-        "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan)),
+        "shuffles": sum(1 for line in plan.split("\n") if "ReusedExchange" not in line
+                        and re.search(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", line)),
         "reused": plan.count("ReusedExchange"),
         "broadcast joins": plan.count("BroadcastHashJoin"),
         "sort-merge joins": plan.count("SortMergeJoin"),
