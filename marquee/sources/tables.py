@@ -52,12 +52,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         if hit is not None:
             return hit
         folder = shared_folder(spark)
+        out = None
         if folder:
             safe = "".join(c if c.isalnum() or c in "-_." else "_" for c in name)
             path = f"{folder.rstrip('/')}/marquee-tables/{key[0]}/{safe}"
-            df.write.mode("overwrite").parquet(path)
-            out = spark.read.parquet(path)
-        else:
+            try:
+                df.write.mode("overwrite").parquet(path)
+                out = spark.read.parquet(path)
+            except Exception:  # folder not writable: keep the lineage instead
+                out = None     # (a data error resurfaces when the table is read)
+        if out is None:
             out = df.persist(StorageLevel.MEMORY_AND_DISK)
         _TABLES[key] = out
         return out
