@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marquee.llm.chat_format import CONTROL, END, ENTITIES, START
+from marquee.llm.line_dedup import MIN_SITES, MIN_WORDS
 from marquee.llm.quality_rules import HOST_LIMIT, MAX_DUP_LINE_RATIO, MAX_SYMBOL_RATIO, RULES
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -70,4 +71,26 @@ select conv_id, n_turns, sha256(said) as turns_sha256, length(loss)::bigint as l
   sha256(loss) as loss_sha256, formatted_chars from g
 """
 
-ORACLE = {"op7_quality_rules": OP7, "op9_chat_format": OP9}
+_BLANKS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+
+OP8 = rf"""
+with ls as (
+  select doc_id, source, string_split(text, chr(10)) as l from documents),
+ln as materialized (
+  select doc_id, source, pos, trim(l[pos], {_BLANKS}) as line from (select *, unnest(range(1, len(l) + 1)) as pos from ls)),
+ok as (select * from ln where len(regexp_extract_all(line, '{_WORD}')) >= {MIN_WORDS}),
+spread as (select line, arg_min(pos, (doc_id, pos)) as pos1, min(doc_id) as doc1 from ok
+           group by line having count(distinct source) >= {MIN_SITES}),
+gone as (select ok.doc_id, ok.pos from ok join spread using (line) where not (ok.doc_id = doc1 and ok.pos = pos1)),
+kept as (
+  select doc_id, string_agg(l1, chr(10) order by pos) as t, count(*)::bigint as n
+  from (select x.doc_id, x.pos, x.l[x.pos] as l1
+        from (select doc_id, l, unnest(range(1, len(l) + 1)) as pos from ls) x
+        left join gone on x.doc_id = gone.doc_id and x.pos = gone.pos where gone.pos is null) group by doc_id),
+cnt as (select doc_id, count(*)::bigint as n_removed from gone group by doc_id)
+select ls.doc_id, case when ls.l is null then null else coalesce(kept.n, 1) end as n_lines,
+  coalesce(n_removed, 0) as n_removed, case when ls.l is null then null else sha256(coalesce(kept.t, '')) end as kept_sha256
+from ls left join kept on ls.doc_id = kept.doc_id left join cnt on ls.doc_id = cnt.doc_id
+"""
+
+ORACLE = {"op7_quality_rules": OP7, "op8_line_dedup": OP8, "op9_chat_format": OP9}
