@@ -6,15 +6,32 @@ Each applies one operator, with its production parameters, to a whole table.
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
+from marquee.llm import bpe as B
 from marquee.llm import chat_format as C
 from marquee.llm import decontaminate as D
 from marquee.llm import line_dedup as L
 from marquee.llm import quality_rules as Q
+from marquee.llm import simhash as S
 from marquee.llm.common import table
 
+#: The vocabulary file of the contract; a parameter of the operator.
+VOCABULARY = os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), "byte_bpe_50k.json")
+
+
+def op5_bpe(spark, sf_dir):
+    x = B.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
+    return x.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                    F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_simhash(spark, sf_dir):
+    x = S.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return x.select(F.col("id").alias("doc_id"), S.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
 
 def op7_quality_rules(spark, sf_dir):
     return Q.quality_rules(table(spark, sf_dir, "documents")).select(
