@@ -16,12 +16,20 @@ from marquee.llm import decontaminate as D
 from marquee.llm import line_dedup as L
 from marquee.llm import quality_rules as Q
 from marquee.llm import simhash as S
+from marquee.llm import suffix_dedup as R
 from marquee.llm.common import table
 
 #: The vocabulary file of the contract; a parameter of the operator.
 VOCABULARY = os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), "byte_bpe_50k.json")
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    x = R.suffix_dedup(table(spark, sf_dir, "documents"), length=400)
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["length"])
+    return x.select(F.col("id").alias("doc_id"), "n_bytes", n_removed.alias("n_removed"),
+                    F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_bpe(spark, sf_dir):
     x = B.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
     return x.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
