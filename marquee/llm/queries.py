@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from marquee.llm import bpe as B
 from marquee.llm import chat_format as C
 from marquee.llm import decontaminate as D
+from marquee.llm import language_id as I
 from marquee.llm import line_dedup as L
+from marquee.llm import lm_score as M
 from marquee.llm import quality_rules as Q
 from marquee.llm import simhash as S
 from marquee.llm import suffix_dedup as R
@@ -23,6 +25,25 @@ from marquee.llm.common import table
 VOCABULARY = os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), "byte_bpe_50k.json")
 
 
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = I.train(docs.where(_remainder(4) != 2))
+    return I.identify(docs, model).withColumnRenamed("id", "doc_id").select(
+        "doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op2_lm_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    x = M.lm_score(docs, train=_remainder(7) != 2)
+    return x.withColumnRenamed("id", "doc_id").select(
+        "doc_id", F.coalesce(_remainder(7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op3_suffix_dedup(spark, sf_dir):
     x = R.suffix_dedup(table(spark, sf_dir, "documents"), length=400)
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["length"])
