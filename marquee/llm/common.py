@@ -43,14 +43,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_folder(spark)}/marquee-llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet in the shared folder, and read from there.
 
     This cuts the lineage: what follows survives lost executors without
     repeating the work behind ``df``, and several readers share it.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

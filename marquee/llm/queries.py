@@ -6,8 +6,8 @@ Each applies one operator, with its production parameters, to a whole table.
 from __future__ import annotations
 
 import json
-import os
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from marquee.llm import bpe as B
@@ -19,10 +19,13 @@ from marquee.llm import lm_score as M
 from marquee.llm import quality_rules as Q
 from marquee.llm import simhash as S
 from marquee.llm import suffix_dedup as R
-from marquee.llm.common import table
+from marquee.llm import token_shards as K
+from marquee.llm.common import new_folder, table
 
-#: The vocabulary file of the contract; a parameter of the operator.
-VOCABULARY = os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), "byte_bpe_50k.json")
+#: The vocabulary file of the contract; a parameter of the operators.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: Key of the training order.
+ORDER_KEY = 20240501
 
 
 def _remainder(n: int):
@@ -51,6 +54,15 @@ def op3_suffix_dedup(spark, sf_dir):
                     F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_token_shards(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = new_folder(spark, "token-shards")
+    index = K.write_shards(docs, VOCABULARY, out, key=ORDER_KEY)
+    read = K.read_slots(spark, out).select("slot", F.sha2("ids", 256).alias("stride_sha256"))
+    return index.join(read, "slot").select(
+        F.col("id").alias("doc_id"), F.col("seq").cast("long").alias("seq"), "slot", "shard", "n_tokens", "stride_sha256")
+
+
 def op5_bpe(spark, sf_dir):
     x = B.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
     return x.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
