@@ -43,14 +43,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.arrow import batch, binary
+from marquee.llm.arrow import batch, slices
 from marquee.llm.common import broadcast_if_small, stored
 
 LENGTH = 400
 KMER = 32
 PIECE_BYTES = 1 << 20
-INDEX_BYTES = 2 << 20
-GROUP_CAP = 4000
+INDEX_BYTES = 1 << 20
+GROUP_CAP = 1500
 
 U = np.uint64
 _BASES = (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93))  # odd, so that they have inverses
@@ -159,7 +159,7 @@ def phrases(docs: DataFrame, length: int) -> DataFrame:
                            T.StructField("n", T.IntegerType()), T.StructField("inside", T.BooleanType()), T.StructField("p1", T.LongType()), T.StructField("p2", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, 2):
             for group in _pieces(b.column(2).to_pylist(), length):
                 rows, start, n, low, inside, p1, p2 = _phrases_of(group, length)
                 if len(rows):
@@ -409,7 +409,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
-        for b in batches:
+        for b in slices(batches, 1):
             removed, kept, sizes = [], [], []
             for data, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 gone = _merged(spans or ())
