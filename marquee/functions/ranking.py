@@ -45,26 +45,39 @@ def seeded_order(col: ColumnLike, seed: int) -> Column:
     return F.md5(F.concat(c.cast("string"), F.lit(f":{seed}")))
 
 
-def rank_within(df: DataFrame, key: str, order_col: str, rank_col: str = "pos",
-                bucket_bits: int = 14) -> DataFrame:
-    """Dense 1-based position of each row inside its ``key`` group by ``order_col``.
-
-    ``order_col`` must be a unique integer within the group (an id).  A plain
-    ``row_number() over (partition by key)`` sends a whole group to one task;
-    here the group is cut into id ranges of ``2**bucket_bits`` values:
-
-    1. rows per (key, range) -- a partial aggregate;
-    2. a running sum over the ranges of a key gives each range's offset (a key
-       has at most ``2**32 / 2**bucket_bits`` ranges for int ids);
-    3. ``offset + row_number()`` inside (key, range), a group of bounded size.
+def rank_within(df: DataFrame, key: str, order_col: str, rank_col: str = "pos", *,
+                ties: Sequence[str] = (), level_bits: int = 16) -> DataFrame:
+    """Dense 1-based position of each row inside its ``key`` group, ordered by
+    ``order_col`` (any integers, sparse or dense) and then by ``ties``.
+
+    A plain ``row_number() over (partition by key)`` sends a whole group to one
+    task.  Here the 64 bits of ``order_col`` are read ``level_bits`` at a time,
+    like the digits of a number: rows are numbered among those that differ in
+    the last digit only, and every digit above adds the count of the rows with
+    a smaller one.  Each window partition so has at most ``2**level_bits``
+    distinct values, whatever the ids look like, and the counts above the first
+    level are partial aggregates.
     """
-    bucket = F.floor(F.col(order_col) / F.lit(1 << bucket_bits)).alias("_range")
-    x = df.withColumn("_range", bucket)
-    counts = x.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = (Window.partitionBy(key).orderBy("_range")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    offsets = counts.select(key, "_range", (F.sum("_n").over(w_off) - F.col("_n")).alias("_off"))
-    w_in = Window.partitionBy(key, "_range").orderBy(order_col)
-    return (x.join(offsets, [key, "_range"])
-            .withColumn(rank_col, (F.col("_off") + F.row_number().over(w_in)).cast("long"))
-            .drop("_range", "_off"))
+    shifts = [level_bits * (i + 1) for i in range((64 + level_bits - 1) // level_bits - 1)]
+    names = [f"_r{i}" for i in range(len(shifts))]
+    # a shift keeps the order, also of negative numbers
+    x = df.select("*", *[F.shiftright(F.col(order_col).cast("bigint"), s).alias(c) for s, c in zip(shifts, names)])
+    offsets = None
+    for i in reversed(range(len(names))):  # from the highest digit down
+        above = names[i + 1:]
+        counts = x.groupBy(key, *names[i:]).agg(F.count(F.lit(1)).alias("_n"))
+        w = Window.partitionBy(key, *above).orderBy(names[i]).rowsBetween(Window.unboundedPreceding, -1)
+        here = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0).cast("bigint"))).drop("_n")
+        if offsets is not None:
+            here = here.join(offsets.withColumnRenamed("_off", "_above"), [key, *above]).withColumn(
+                "_off", F.col("_off") + F.col("_above")).drop("_above")
+        offsets = here
+    inside = Window.partitionBy(key, *names).orderBy(order_col, *ties)
+    return (x.withColumn("_in", F.row_number().over(inside)).join(offsets, [key, *names])
+            .withColumn(rank_col, (F.col("_off") + F.col("_in")).cast("long")).drop("_in", "_off", *names))
+
+
+def dense_index(ids: DataFrame, col: str, index_col: str) -> DataFrame:
+    """``(col, index_col)``: the distinct non-null ids numbered 0, 1, ... in their order, as ``int``."""
+    x = ids.select(col).where(F.col(col).isNotNull()).distinct().withColumn("_all", F.lit(0))
+    return rank_within(x, "_all", col, index_col).select(col, (F.col(index_col) - 1).cast("int").alias(index_col))

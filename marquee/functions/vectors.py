@@ -19,8 +19,14 @@ MAX_VOCABULARY = 62  # bits of a non-negative bigint mask
 
 
 def genre_list(genres: Column) -> Column:
-    """Split the separator-joined genre string into an array."""
-    return F.split(genres, "[" + GENRE_SEPARATOR + "]")
+    """Split the separator-joined genre string into an array.
+
+    Empty names at the end are dropped (``Action|`` is one genre, ``|`` none),
+    as a split on the JVM does; an empty name elsewhere stays, and is unknown.
+    """
+    sep = "[" + GENRE_SEPARATOR + "]"
+    return F.when(genres.rlike(f"^{sep}+$"), F.array().cast("array<string>")).otherwise(
+        F.split(F.regexp_replace(genres, f"{sep}+$", ""), sep))
 
 
 def multi_hot(genre_arr: Column, vocabulary: Sequence[str]) -> Column:

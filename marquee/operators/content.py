@@ -6,30 +6,35 @@ names).  The exact top-n per user is found without a cross join and without
 emitting every (user, movie) pair:
 
 1. every profiled user is scored against the signature catalogue inside one
-   row (built-in higher-order functions), the catalogue reaching the row by an
-   equi-join on a chunk id: broadcast when its counted size is under a limit,
-   otherwise shuffled with the users salted over several tasks;
-2. per user, signatures are sorted by score and kept while the movies not yet
-   seen in strictly better signatures number fewer than n (ties kept whole);
-   the exact pass runs only on the prefix that the user's seen count allows;
+   row (built-in higher-order functions); the catalogue reaches the row by an
+   equi-join on (chunk, salt), which adaptive execution turns into a broadcast
+   when the catalogue is small;
+2. the signatures that can matter, a prefix by score whose movies number at
+   least ``n`` plus the user's seen ones, become rows (at most n + seen of them
+   per user); the seen counts join them, and a running sum keeps the signatures
+   before which fewer than n unseen movies stand (ties kept whole);
 3. a kept signature needs at most ``n + seen(user, signature)`` of its movies,
    taken in id order: positions 1..K are generated and equi-joined to the
    movies' position inside their signature (computed without one task per
    signature, see ``rank_within``);
 4. seen movies are removed by an anti join and ``row_number <= n`` (partial
    WindowGroupLimit) picks the final list; ties are broken by movie id.
+
+A user whose profile is all zeros scores 0 everywhere, so the list is the first
+unseen movies by id: one pseudo signature that holds every movie with genres,
+of which n + seen positions are needed.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import vectors as V
 from marquee.functions.ranking import rank_within, round6, top_k
+from marquee.functions.targets import restrict_to
 from marquee.operators.popularity import attach_titles
 from marquee.schema import (
     DEFAULT_GENRES, EXCLUDE_LABEL, LIKED_THRESHOLD, N_LIKED, N_RECOMMENDATIONS, NO_GENRE_LABEL,
@@ -37,14 +42,13 @@ from marquee.schema import (
     REPORT_USERS, SCORE_SCALE,
 )
 
-# Catalogue entries broadcast at most (~8 MB); beyond that the salted shuffle
-# is used.  Vocabularies of up to 16 names stay under it by construction.
-MAX_BROADCAST_SIGNATURES = 1 << 16
 # Signatures per catalogue row (bounds the array one row carries).
 CHUNK_SIGNATURES = 1 << 14
 # Ranking keys are scores rounded to 9 places (|error| <= 5e-10): a raw score
 # this far below a bound may still tie with it after rounding.
 RANK_ROUNDING_MARGIN = 1e-9
+# Pseudo signature of the users without any taste: every movie with genres.
+EVERY_MOVIE = -1
 
 
 def liked_ratings(ratings: DataFrame, movies: DataFrame, n: int = N_LIKED,
@@ -69,18 +73,19 @@ def genre_matrix(movies: DataFrame, vocabulary: Sequence[str] = DEFAULT_GENRES,
     the error message is built only for a failing row.
     """
     m = movies.where(F.col("genres").isNotNull() & (F.col("genres") != no_genre_label))
-    arr = V.genre_list(F.col("genres"))
-    mask = V.genre_mask(arr, vocabulary)
+    m = m.select("movieId", V.genre_list(F.col("genres")).alias("_names"))
+    m = m.withColumn("mask", V.genre_mask(F.col("_names"), vocabulary))
+    mask = F.col("mask")
     if unknown == "error":
         # more distinct names than recognised bits means an unknown name
-        bad = F.size(F.array_distinct(arr)) > F.bit_count(mask)
+        bad = F.size(F.array_distinct("_names")) > F.bit_count(mask)
         mask = F.when(bad, F.raise_error(F.concat(
-            F.lit("genre not in vocabulary: "), F.element_at(V.unknown_genres(arr, vocabulary), 1),
+            F.lit("genre not in vocabulary: "), F.element_at(V.unknown_genres(F.col("_names"), vocabulary), 1),
             F.lit(" (movie "), F.col("movieId").cast("string"), F.lit(")")))).otherwise(mask)
     elif unknown != "ignore":
         raise ValueError(f"unknown={unknown!r}")
-    out = m.select("movieId", V.multi_hot(arr, vocabulary).alias("g"), mask.alias("mask"))
-    return out.select("movieId", "g", "mask", F.bit_count("mask").alias("n_genres"))
+    return m.select("movieId", V.multi_hot(F.col("_names"), vocabulary).alias("g"), mask.alias("mask"),
+                    F.bit_count("mask").alias("n_genres"))
 
 
 def user_profiles(liked: DataFrame, matrix: DataFrame, k: int) -> DataFrame:
@@ -115,89 +120,63 @@ def _score(profile, norm_p, idx, n_genres) -> "F.Column":
     return V.scaled_cosine(dot, norm_p, F.sqrt(n_genres.cast("double")), SCORE_SCALE)
 
 
+def _catalogue(matrix: DataFrame, k: int, salt: int) -> tuple[DataFrame, F.Column]:
+    """Signature lists ``(chunk, salt, sigs)`` and the number of chunks (computed inside the query)."""
+    sigs = _signatures(matrix, k)
+    n_sig = sigs.agg(F.count(F.lit(1))).scalar()
+    chunks = F.greatest(F.lit(1), F.ceil(n_sig / F.lit(CHUNK_SIGNATURES))).cast("int")
+    lists = (sigs.withColumn("chunk", F.pmod(F.xxhash64("mask"), chunks).cast("int")).groupBy("chunk")
+             .agg(F.collect_list(F.struct("mask", "size", "idx", "n_genres")).alias("sigs")))
+    return lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))), chunks
+
+
 def _kept_signatures(profiles: DataFrame, seen: DataFrame, matrix: DataFrame, n: int, k: int,
                      salt: int | None = None) -> DataFrame:
     """Steps 1-2: ``(userId, mask, score, rscore, k_take)`` per kept signature."""
-    spark = profiles.sparkSession
-    sigs = _signatures(matrix, k)
-    if (1 << k) <= MAX_BROADCAST_SIGNATURES:
-        # proven bound: k names give at most 2**k distinct genre sets; the
-        # chunk count is computed inside the query (scalar subquery)
-        broadcast_ok = True
-        n_sig = sigs.agg(F.count(F.lit(1))).scalar()
-        chunks = F.greatest(F.lit(1), F.ceil(n_sig / F.lit(CHUNK_SIGNATURES))).cast("int")
-    else:
-        # no static bound: check the size with one small job before broadcasting
-        n_sig = sigs.count()
-        broadcast_ok = n_sig <= MAX_BROADCAST_SIGNATURES
-        chunks = F.lit(max(1, math.ceil(n_sig / CHUNK_SIGNATURES)))
-    if salt is None:
-        salt = 1 if broadcast_ok else max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    chunk_id = F.pmod(F.xxhash64("mask"), chunks).cast("int")
-    catalogue = (sigs.withColumn("chunk", chunk_id)
-                 .groupBy("chunk").agg(F.collect_list(F.struct("mask", "size", "idx", "n_genres"))
-                                       .alias("sigs")))
-    if salt > 1:
-        catalogue = catalogue.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    else:
-        catalogue = catalogue.withColumn("salt", F.lit(0))
-    if broadcast_ok:
-        catalogue = F.broadcast(catalogue)
-
-    # per-user seen counts by signature, pre-aggregated (<= #signatures entries)
+    salt = salt or max(1, int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    catalogue, chunks = _catalogue(matrix, k, salt)
+    # seen movies with genres, by signature and by user (<= #signatures rows per user)
     seen_sig = (seen.join(matrix.select("movieId", "mask"), "movieId")
                 .groupBy("userId", "mask").agg(F.count(F.lit(1)).alias("seen")))
-    seen_map = seen_sig.groupBy("userId").agg(
-        F.map_from_entries(F.collect_list(F.struct("mask", "seen"))).alias("seen_by_sig"))
-
-    users = (profiles.join(seen_map, "userId", "left")
-             .withColumn("norm_p", V.norm(F.col("profile")))
-             .withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-             .withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(salt)).cast("int")))
-    x = users.join(catalogue, ["chunk", "salt"])
-
-    # Phase 1 (every genre set): raw scores, sorted.  With T = the user's seen
-    # movies that have genres, the prefix whose sizes add up to n + T holds at
-    # least n unseen movies, so no set scoring below it (minus the rounding
-    # margin) can be kept.  Phase 2 (that prefix only): the exact ranking key,
-    # the seen counts and the threshold.
+    seen_user = seen_sig.groupBy("userId").agg(F.sum("seen").alias("seen_total"))
+    users = (profiles.join(seen_user, "userId", "left")
+             .withColumn("need", F.lit(n) + F.coalesce("seen_total", F.lit(0).cast("bigint")))
+             .withColumn("norm_p", V.norm(F.col("profile"))))
+
+    # Raw scores of every genre set, sorted.  The prefix whose sizes add up to
+    # n + (the user's seen movies) holds at least n unseen movies, so no set that
+    # scores below it (minus the rounding margin) can be kept.
+    x = (users.where(F.col("norm_p") > 0)
+         .withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+         .withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(salt)).cast("int"))
+         .join(catalogue, ["chunk", "salt"]))
     raw = F.sort_array(F.transform("sigs", lambda s: F.struct(
         (-_score(F.col("profile"), F.col("norm_p"), s["idx"], s["n_genres"])).alias("neg"),
         s["mask"].alias("mask"), s["size"].alias("size"))))
-    seen_total = F.coalesce(F.aggregate(F.map_values("seen_by_sig"), F.lit(0).cast("bigint"),
-                                        lambda a, v: a + v), F.lit(0).cast("bigint"))
     zero = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("double").alias("tau"))
 
-    def step1(acc, e):
+    def step(acc, e):
         nxt = F.struct((acc["cum"] + e["size"]).alias("cum"), (-e["neg"]).alias("tau"))
         return F.when(acc["cum"] >= F.col("need"), acc).otherwise(nxt)
 
-    x = (x.select("userId", "seen_by_sig", raw.alias("raw"), (F.lit(n) + seen_total).alias("need"))
-         .withColumn("f1", F.aggregate("raw", zero, step1)))
-    bound = F.when(F.col("f1.cum") >= F.col("need"), F.col("f1.tau") - F.lit(RANK_ROUNDING_MARGIN))
+    x = x.select("userId", raw.alias("raw"), "need").withColumn("f", F.aggregate("raw", zero, step))
+    bound = F.when(F.col("f.cum") >= F.col("need"), F.col("f.tau") - F.lit(RANK_ROUNDING_MARGIN))
     prefix = F.filter("raw", lambda e: bound.isNull() | (-e["neg"] >= bound))
-
-    def entry(e):
-        score = -e["neg"]
-        seen_c = F.coalesce(F.col("seen_by_sig")[e["mask"]], F.lit(0).cast("bigint"))
-        return F.struct((-F.round(score, 9)).alias("neg_rs"), e["mask"].alias("mask"),
-                        score.alias("score"), e["size"].alias("size"), seen_c.alias("seen"))
-
-    ranked = F.sort_array(F.transform(prefix, entry))
-
-    def step(acc, e):
-        nxt = F.struct((acc["cum"] + e["size"] - e["seen"]).alias("cum"), (-e["neg_rs"]).alias("tau"))
-        return F.when(acc["cum"] >= n, acc).otherwise(nxt)
-
-    fin = F.aggregate("ranked", zero, step)
-    x = x.select("userId", ranked.alias("ranked")).withColumn("fin", fin)
-    tau = F.when(F.col("fin.cum") >= n, F.col("fin.tau"))
-    keep = F.filter("ranked", lambda e: ((e["size"] - e["seen"]) > 0)
-                    & (tau.isNull() | (-e["neg_rs"] >= tau)))
-    return (x.select("userId", F.explode(keep).alias("e"))
-            .select("userId", F.col("e.mask").alias("mask"), F.col("e.score").alias("score"),
-                    (-F.col("e.neg_rs")).alias("rscore"),
-                    F.least(F.col("e.size"), F.lit(n) + F.col("e.seen")).cast("long").alias("k_take")))
+    x = x.select("userId", F.explode(prefix).alias("e")).select(
+        "userId", F.col("e.mask").alias("mask"), (-F.col("e.neg")).alias("score"), F.col("e.size").alias("size"))
+
+    # The exact threshold: unseen movies of strictly better signatures number fewer than n.
+    x = x.join(seen_sig, ["userId", "mask"], "left").withColumn("seen", F.coalesce("seen", F.lit(0).cast("bigint")))
+    x = x.withColumn("rscore", F.round("score", 9)).withColumn("_unseen", F.col("size") - F.col("seen"))
+    up_to = Window.partitionBy("userId").orderBy(F.col("rscore").desc())  # ties included
+    tie = Window.partitionBy("userId", "rscore")
+    better = F.sum("_unseen").over(up_to) - F.sum("_unseen").over(tie)
+    kept = x.withColumn("_better", better).where((F.col("_better") < n) & (F.col("_unseen") > 0)).select(
+        "userId", "mask", "score", "rscore", F.least(F.col("size"), F.lit(n) + F.col("seen")).cast("long").alias("k_take"))
+    flat = users.where(F.col("norm_p") == 0).select(
+        "userId", F.lit(EVERY_MOVIE).cast("bigint").alias("mask"), F.lit(0.0).alias("score"), F.lit(0.0).alias("rscore"),
+        F.col("need").cast("long").alias("k_take"))
+    return kept.unionByName(flat)
 
 
 def content_scores(ratings: DataFrame, movies: DataFrame, *, vocabulary: Sequence[str] = DEFAULT_GENRES,
@@ -205,7 +184,7 @@ def content_scores(ratings: DataFrame, movies: DataFrame, *, vocabulary: Sequenc
                    n_liked: int = N_LIKED, threshold: float = LIKED_THRESHOLD,
                    exclude_label: str = EXCLUDE_LABEL, no_genre_label: str = NO_GENRE_LABEL,
                    unknown: str = "error", salt: int | None = None) -> DataFrame:
-    """O24 (scoring, pruned to what the top-n needs):
+    """O24 for a ranking (scoring pruned to what the top-n needs):
     ``(userId, rank, movieId, score, rscore)``.
 
     score = 5 · cos(P(user), G(movie)) for unseen movies with genres; a zero
@@ -213,14 +192,15 @@ def content_scores(ratings: DataFrame, movies: DataFrame, *, vocabulary: Sequenc
     key.  Rows are the exact top ``n`` per user (ties broken by movie id),
     ``rank`` gives the position.  ``users`` restricts the profiled users.
     """
+    if users is not None:  # before anything is computed for anybody
+        ratings = restrict_to(ratings, users.select("userId"))
     matrix = genre_matrix(movies, vocabulary, no_genre_label, unknown)
     liked = liked_ratings(ratings, movies, n_liked, threshold, exclude_label)
     profiles = user_profiles(liked, matrix, len(vocabulary))
-    if users is not None:
-        profiles = profiles.join(users.select("userId").distinct(), "userId", "left_semi")
     seen = seen_items(ratings)
     kept = _kept_signatures(profiles, seen, matrix, n, len(vocabulary), salt)
-    positions = rank_within(matrix.select("mask", "movieId"), "mask", "movieId", "pos")
+    members = matrix.select("movieId", F.explode(F.array("mask", F.lit(EVERY_MOVIE).cast("bigint"))).alias("mask"))
+    positions = rank_within(members, "mask", "movieId", "pos")
     cand = (kept.withColumn("pos", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k_take"))))
             .join(positions, ["mask", "pos"])
             .join(seen, ["userId", "movieId"], "left_anti"))
@@ -228,6 +208,23 @@ def content_scores(ratings: DataFrame, movies: DataFrame, *, vocabulary: Sequenc
         "userId", "rank", "movieId", "score", "rscore")
 
 
+def score_pairs(requests: DataFrame, ratings: DataFrame, movies: DataFrame, *,
+                vocabulary: Sequence[str] = DEFAULT_GENRES, n_liked: int = N_LIKED,
+                threshold: float = LIKED_THRESHOLD, exclude_label: str = EXCLUDE_LABEL,
+                no_genre_label: str = NO_GENRE_LABEL, unknown: str = "error") -> DataFrame:
+    """O24 for given pairs: ``(userId, movieId, score)`` for every request whose
+    user has a profile and whose movie has genres, seen or not, as often as it is
+    requested.  A pair meets its two vectors by equi-joins."""
+    matrix = genre_matrix(movies, vocabulary, no_genre_label, unknown)
+    asked = requests.select("userId", "movieId")
+    liked = liked_ratings(restrict_to(ratings, asked.select("userId")), movies, n_liked, threshold, exclude_label)
+    profiles = user_profiles(liked, matrix, len(vocabulary)).withColumn("norm_p", V.norm(F.col("profile")))
+    x = asked.join(matrix.select("movieId", "g", "n_genres"), "movieId").join(profiles, "userId")
+    score = V.scaled_cosine(V.dot(F.col("profile"), F.col("g")), F.col("norm_p"), F.sqrt(F.col("n_genres").cast("double")),
+                            SCORE_SCALE)
+    return x.select("userId", "movieId", score.alias("score"))
+
+
 def content_recommendations(ratings: DataFrame, movies: DataFrame, **kw) -> DataFrame:
     """``(userId, rank, movieId, title, score)``, the top n per profiled user."""
     top = content_scores(ratings, movies, **kw)
@@ -241,8 +238,9 @@ def report_users(ratings: DataFrame, movies: DataFrame, n_users: int = REPORT_US
     """The ``n_users`` lowest user ids that receive recommendations: users with
     a profile and at least one unseen movie with genres."""
     matrix = genre_matrix(movies, vocabulary, no_genre_label, unknown)
-    liked = liked_ratings(ratings, movies, n_liked, threshold, exclude_label)
-    profiled = liked.select("userId").distinct()
+    # any liked rating gives a profile: the latest ones need not be picked for that
+    excluded = movies.where(F.col("genres") == exclude_label).select("movieId")
+    profiled = ratings.where(F.col("rating") >= threshold).join(excluded, "movieId", "left_anti").select("userId").distinct()
     n_g = matrix.agg(F.count(F.lit(1))).scalar()
     seen_g = (seen_items(ratings).join(matrix.select("movieId"), "movieId", "left_semi")
               .groupBy("userId").agg(F.count(F.lit(1)).alias("n_seen")))

@@ -1,89 +1,123 @@
 """Latent-factor model (Spark ML ALS), scoring and evaluation.
 
-ALS needs int-range ids; the cast happens here and only here.  With the seed,
-a refit on the same ratings gives the same factors whatever the input's
-partitioning (ALS builds its own user and item blocks), so no extra shuffle
-is spent on ordering the input.
+Spark ML's ALS takes 32-bit ids only.  Users and movies are therefore numbered
+densely, each side by a distributed count over its distinct ids, and ``Als``
+keeps both numberings: ids of any integral type and size go in and come back
+unchanged.
+
+With the seed, a refit on the same ratings gives the same factors up to the
+order in which Spark sums floating-point numbers, whatever the partitioning of
+the input (tested within a tolerance), so no shuffle is spent on ordering it.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.ranking import dense_index, top_k
+from marquee.functions.targets import restrict_to
 from marquee.operators.feedback import append_ratings
 from marquee.operators.popularity import attach_titles
 from marquee.schema import ALS_MAX_ITER, ALS_RANK, ALS_REG_PARAM, DEFAULT_SEED, N_RECOMMENDATIONS
-from marquee.session import checkpoint_dir
+from marquee.session import CHECKPOINT_CONF, checkpoint_dir
+
+USER, ITEM = "_user", "_item"
+
+
+@dataclass
+class Als:
+    """A fitted model with the numberings ``(userId, _user)`` and ``(movieId, _item)``."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+    def user_factors(self) -> DataFrame:
+        """``(userId, features)``."""
+        return self.model.userFactors.withColumnRenamed("id", USER).join(self.users, USER).select("userId", "features")
 
+    def item_factors(self) -> DataFrame:
+        """``(movieId, features)``."""
+        return self.model.itemFactors.withColumnRenamed("id", ITEM).join(self.items, ITEM).select("movieId", "features")
 
-def _int_ids(df: DataFrame, *cols: str) -> DataFrame:
-    out = df
-    for c in cols:
-        out = out.withColumn(c, F.col(c).cast("int"))
-    return out
+    def scored(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` with a ``prediction``; pairs of an unknown user or movie give no row."""
+        x = pairs.join(self.users, "userId").join(self.items, "movieId")
+        return self.model.transform(x).drop(USER, ITEM)
 
 
 def _parallelism(spark) -> int:
     """Cores of the cluster (one ALS block per core, as Spark ML advises)."""
-    try:
-        return max(1, spark.sparkContext.defaultParallelism)
-    except Exception:  # no SparkContext on this client
-        return max(1, int(spark.conf.get("spark.default.parallelism", "8")))
+    return max(1, spark.sparkContext.defaultParallelism)
 
 
 def train_als(ratings: DataFrame, *, rank: int = ALS_RANK, max_iter: int = ALS_MAX_ITER,
-              reg_param: float = ALS_REG_PARAM, seed: int = DEFAULT_SEED,
-              blocks: int | None = None, checkpoint_fallback: str | None = None) -> ALSModel:
+              reg_param: float = ALS_REG_PARAM, seed: int = DEFAULT_SEED, blocks: int | None = None) -> Als:
     """Explicit-feedback ALS (rank 6, 5 iterations, λ 0.01 by default).
 
     Factor blocks default to the cluster's parallelism (total cores), so the
-    solve spreads over every core whatever ``spark.sql.shuffle.partitions`` is.  The reliable checkpoint folder (``spark.checkpoint.dir``)
-    is registered so long runs cut their lineage every 10 iterations.
+    solve spreads over every core whatever ``spark.sql.shuffle.partitions`` is.
+    Where ``spark.checkpoint.dir`` names a folder, it is registered, so that
+    long runs cut their lineage every 10 iterations.
     """
     spark = ratings.sparkSession
-    try:
-        checkpoint_dir(spark, checkpoint_fallback)
-    except Exception:
-        pass  # no reliable folder (or no SparkContext): ALS runs without checkpoints
+    if spark.conf.get(CHECKPOINT_CONF, None):
+        checkpoint_dir(spark)
     parts = blocks or _parallelism(spark)
-    data = _int_ids(ratings.select("userId", "movieId", "rating"), "userId", "movieId")
+    users = dense_index(ratings, "userId", USER)
+    items = dense_index(ratings, "movieId", ITEM)
+    data = ratings.select("userId", "movieId", "rating").join(users, "userId").join(items, "movieId")
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, implicitPrefs=False, seed=seed,
-              userCol="userId", itemCol="movieId", ratingCol="rating", coldStartStrategy="drop",
+              userCol=USER, itemCol=ITEM, ratingCol="rating", coldStartStrategy="drop",
               numUserBlocks=parts, numItemBlocks=parts)
-    return als.fit(data)
+    return Als(als.fit(data.select(USER, ITEM, "rating")), users, items)
 
 
-def score_known(model: ALSModel, ratings: DataFrame) -> DataFrame:
+def score_known(model: Als, ratings: DataFrame) -> DataFrame:
     """``(userId, movieId, rating, prediction)``, one row per rating."""
-    return model.transform(_int_ids(ratings.select("userId", "movieId", "rating"), "userId", "movieId"))
+    return model.scored(ratings.select("userId", "movieId", "rating")).select("userId", "movieId", "rating", "prediction")
 
 
-def score_requests(model: ALSModel, requests: DataFrame, movies: DataFrame) -> DataFrame:
+def score_requests(model: Als, requests: DataFrame, movies: DataFrame) -> DataFrame:
     """``(userId, movieId, title, prediction, rounded)`` for requested
     pairs; ``rounded`` rounds half up to a whole rating.  Pairs with an unknown
     user or movie give no row."""
-    pred = model.transform(_int_ids(requests.select("userId", "movieId"), "userId", "movieId"))
+    pred = model.scored(requests.select("userId", "movieId"))
     pred = pred.withColumn("rounded", F.floor(F.col("prediction") + F.lit(0.5)).cast("long"))
-    return attach_titles(pred, _int_ids(movies.select("movieId", "title"), "movieId")).select(
-        "userId", "movieId", "title", "prediction", "rounded")
+    return attach_titles(pred, movies).select("userId", "movieId", "title", "prediction", "rounded")
 
 
-def top_for_users(model: ALSModel, users: DataFrame | None, movies: DataFrame,
-                  n: int = N_RECOMMENDATIONS) -> DataFrame:
+def top_for_users(model: Als, users: DataFrame | None, movies: DataFrame, n: int = N_RECOMMENDATIONS,
+                  seen: DataFrame | None = None) -> DataFrame:
     """The ``n`` highest predicted movies per user ``(userId, rank, movieId,
-    title, score)``; movies the user already rated are not excluded.
-    ``users=None`` scores every user of the model."""
+    title, score)``.
+
+    Spark ML scores each target against every movie, so ``users`` is meant to be
+    a set of targets; ``users=None`` scores every user of the model.  Movies the
+    user already rated are not excluded (as in the original) unless ``seen``
+    gives the ratings: then as many more movies are ranked as the targets' largest
+    number of seen ones (one small aggregation job), and the seen ones drop out.
+    """
+    more = 0
+    targets = model.users if users is None else users.select("userId").distinct().join(model.users, "userId")
+    if seen is not None:
+        seen = restrict_to(seen.select("userId", "movieId"), targets.select("userId")).distinct()
+        more = seen.groupBy("userId").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if users is None:
-        recs = model.recommendForAllUsers(n)
+        recs = model.model.recommendForAllUsers(n + more)
     else:
-        recs = model.recommendForUserSubset(_int_ids(users.select("userId").distinct(), "userId"), n)
-    flat = recs.select("userId", F.posexplode("recommendations").alias("pos", "r")).select(
-        "userId", (F.col("pos") + 1).alias("rank"), F.col("r.movieId").alias("movieId"),
-        F.col("r.rating").alias("score"))
-    return attach_titles(flat, _int_ids(movies.select("movieId", "title"), "movieId")).select(
-        "userId", "rank", "movieId", "title", "score")
+        recs = model.model.recommendForUserSubset(targets.select(USER), n + more)
+    flat = recs.select(USER, F.posexplode("recommendations").alias("pos", "r")).select(
+        USER, (F.col("pos") + 1).alias("rank"), F.col(f"r.{ITEM}").alias(ITEM), F.col("r.rating").alias("score"))
+    flat = flat.join(model.users, USER).join(model.items, ITEM)
+    if seen is not None:
+        kept = flat.join(seen, ["userId", "movieId"], "left_anti").drop("rank")
+        flat = top_k(kept, ["userId"], [F.col("score").desc(), F.col("movieId").asc()], n)
+    return attach_titles(flat, movies).select("userId", "rank", "movieId", "title", "score")
 
 
 def mean_squared_error(scored: DataFrame) -> DataFrame:
@@ -93,7 +127,24 @@ def mean_squared_error(scored: DataFrame) -> DataFrame:
     return scored.agg(F.avg(err * err).alias("mse"), F.count(F.lit(1)).alias("n"))
 
 
-def refresh(ratings: DataFrame, new_ratings: DataFrame, **als_kw) -> tuple[DataFrame, ALSModel]:
+def refresh(ratings: DataFrame, new_ratings: DataFrame, **als_kw) -> tuple[DataFrame, Als]:
     """Append new ratings and retrain; returns ``(ratings, model)``."""
     updated = append_ratings(ratings, new_ratings)
     return updated, train_als(updated, **als_kw)
+
+
+def normal_equation_residuals(model: Als, ratings: DataFrame, reg_param: float = ALS_REG_PARAM) -> DataFrame:
+    """Check of a fit: ``(userId, n_ratings, residual)``.
+
+    The last half step solves the user side, so for every user
+    Σ (prediction − rating) · v + λ · n · u is zero up to single precision;
+    ``residual`` is its largest component per rating.
+    """
+    k = model.model.rank
+    x = (score_known(model, ratings).join(model.item_factors(), "movieId")
+         .select("userId", (F.col("prediction") - F.col("rating")).alias("e"), F.col("features").alias("v")))
+    g = x.groupBy("userId").agg(F.count(F.lit(1)).alias("n_ratings"), *[
+        F.sum(F.col("e") * F.col("v")[i]).alias(f"_g{i}") for i in range(k)])
+    g = g.join(model.user_factors().withColumnRenamed("features", "u"), "userId")
+    worst = F.greatest(*[F.abs(F.col(f"_g{i}") / F.col("n_ratings") + reg_param * F.col("u")[i]) for i in range(k)])
+    return g.select("userId", "n_ratings", worst.alias("residual"))

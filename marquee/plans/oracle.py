@@ -8,7 +8,7 @@ views; ``rat``, ``mov`` and ``ans`` below are the adapter views.
 
 from __future__ import annotations
 
-from marquee.plans.registry import TARGET_USER, VOCAB
+from marquee.plans.registry import LIGHT_USER_RATINGS, TARGET_USER, VOCAB
 
 _RAT = """
 rat AS (
@@ -35,7 +35,7 @@ ans_base AS (
               AS BIGINT) AS candidate_rank,
          l_partkey AS movieId, CAST(trunc(l_quantity) AS BIGINT) % 9 AS q9, l_partkey AS pk
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-ans AS (
+ans AS MATERIALIZED (
   SELECT userId, candidate_rank, CAST(1 AS BIGINT) AS attempt, movieId,
          CASE WHEN q9 = 0 THEN 'x' WHEN q9 = 7 THEN '0' WHEN q9 = 8 THEN '4.5'
               WHEN pk % 13 = 0 THEN ' ' || CAST(q9 AS VARCHAR)
@@ -44,12 +44,12 @@ ans AS (
   UNION ALL
   SELECT userId, candidate_rank, CAST(2 AS BIGINT), movieId, CAST(1 + pk % 7 AS VARCHAR)
   FROM ans_base WHERE q9 IN (0, 7, 8) OR pk % 13 = 0),
-ans_cls AS (
+ans_cls AS MATERIALIZED (
   SELECT *, CASE WHEN value IS NULL THEN 'rejected_not_integer' WHEN value = 6 THEN 'skipped'
                  WHEN value BETWEEN 1 AND 5 THEN 'accepted' ELSE 'rejected_out_of_range' END AS cls
   FROM (SELECT *, CASE WHEN regexp_full_match(answer, '[+-]?[0-9]+')
                        THEN TRY_CAST(answer AS INTEGER) END AS value FROM ans) a),
-ans_dec AS (
+ans_dec AS MATERIALIZED (
   SELECT userId, candidate_rank, attempt AS decision_attempt, answer AS decision_answer,
          cls AS decision, value AS dvalue, movieId AS dmovie FROM (
     SELECT *, row_number() OVER (PARTITION BY userId, candidate_rank ORDER BY attempt, answer) AS k
@@ -99,6 +99,10 @@ ntop AS (
           FROM nrows n JOIN pred p USING (userId, movieId)) d) WHERE rank <= 20)"""
 
 
+_LIGHT = f"(SELECT userId FROM rat GROUP BY userId HAVING count(*) <= {LIGHT_USER_RATINGS})"
+_SIM_SET = _SIM.replace(f"rat WHERE userId = {TARGET_USER})", f"rat WHERE userId IN {_LIGHT})")
+
+
 def _mask_sql(col: str) -> str:
     return " + ".join(f"(CASE WHEN list_contains({col}, '{g}') THEN {1 << i} ELSE 0 END)"
                       for i, g in enumerate(VOCAB))
@@ -178,20 +182,36 @@ SELECT CAST({TARGET_USER} AS BIGINT) AS userId,
 FROM (SELECT movieId, title, md5(concat(CAST(movieId AS VARCHAR), ':42')) AS k FROM mov m
       WHERE NOT EXISTS (SELECT 1 FROM rat r WHERE r.userId = {TARGET_USER} AND r.movieId = m.movieId)
       ORDER BY k, movieId LIMIT 150) x""",
+    "o07_random_candidates_set": _with(_RAT, _MOV) + f"""
+SELECT userId, CAST(rank AS INTEGER) AS rank, movieId, title FROM (
+  SELECT u.userId, m.movieId, m.title,
+         row_number() OVER (PARTITION BY u.userId ORDER BY md5(concat(CAST(m.movieId AS VARCHAR), ':42')), m.movieId) AS rank
+  FROM {_LIGHT} u CROSS JOIN mov m
+  WHERE NOT EXISTS (SELECT 1 FROM rat r WHERE r.userId = u.userId AND r.movieId = m.movieId)) x
+WHERE rank <= 150""",
     "o08_accepted_ratings": _with(_ANS) + "SELECT userId, movieId, rating FROM acc",
     "o08_answer_log": _with(_ANS) + """
 SELECT userId, candidate_rank, attempt, movieId, answer, value, status FROM ans_log""",
     "o09_appended_ratings": _with(_RAT, _ANS) + """
 SELECT userId, movieId, rating, "timestamp" FROM rat
 UNION ALL SELECT userId, movieId, rating, CAST(NULL AS BIGINT) FROM acc""",
+    "o10_als_check": _with(_RAT) + "SELECT userId, count(*) AS n_ratings, true AS solved FROM rat GROUP BY userId",
+    "o11_als_check": _with(_RAT) + "SELECT userId, count(*) AS n_scored, true AS sound FROM rat GROUP BY userId",
+    "o13_als_check": _with(_RAT) + f"SELECT userId, CAST(20 AS BIGINT) AS n_items, true AS sound FROM {_LIGHT} u",
+    "o14_als_check": _with(_RAT) + "SELECT count(*) AS n, true AS is_mean, true AS beats_mean FROM rat",
     "o15_co_rated": _with(_RAT, _SIM) + "SELECT userId1, movieId, rat1, userId2, rat2 FROM co",
     "o16_user_cosine": _with(_RAT, _SIM) + """
 SELECT userId1, userId2, floor((round((cosineSim) * 1e9) + 500) / 1000) / 1e6 AS cosineSim FROM sim""",
     "o16_user_cosine_corated": _with(_RAT, _SIM) + """
 SELECT userId1, userId2, floor((round((coalesce(dot / (sqrt(n1) * sqrt(n2)), 0)) * 1e9) + 500) / 1000) / 1e6 AS cosineSim FROM g""",
+    "o16_user_cosine_set": _with(_RAT, _SIM_SET) + """
+SELECT userId1, userId2, floor((round((cosineSim) * 1e9) + 500) / 1000) / 1e6 AS cosineSim FROM sim""",
     "o17_neighbour_predictions": _with(_RAT, _MOV, _SIM) + """
 SELECT userId, movieId, floor((round((ratingPredicted) * 1e9) + 500) / 1000) / 1e6 AS ratingPredicted FROM pred""",
     "o18_neighbour_top20": _with(_RAT, _MOV, _SIM) + """
+SELECT userId, rank, movieId, title, floor((round((cosSim) * 1e9) + 500) / 1000) / 1e6 AS cosSim, rating,
+       floor((round((ratingPredicted) * 1e9) + 500) / 1000) / 1e6 AS ratingPredicted FROM ntop""",
+    "o18_neighbour_top20_set": _with(_RAT, _MOV, _SIM_SET) + """
 SELECT userId, rank, movieId, title, floor((round((cosSim) * 1e9) + 500) / 1000) / 1e6 AS cosSim, rating,
        floor((round((ratingPredicted) * 1e9) + 500) / 1000) / 1e6 AS ratingPredicted FROM ntop""",
     "o19_recommendations_as_ratings": _with(_RAT, _MOV, _SIM) + """
@@ -204,6 +224,9 @@ SELECT movieId, mask AS genre_mask, CAST(bit_count(mask) AS INTEGER) AS n_genres
     "o22_user_profiles": _with(_RAT, _MOV, _CONTENT) + "SELECT userId, genre, weight FROM prof",
     "o23_seen_items": _with(_RAT) + "SELECT DISTINCT userId, movieId FROM rat",
     "o24_content_scores": _with(_RAT, _MOV, _CONTENT) + """
+SELECT r.userId, r.movieId, floor((round((s.score) * 1e9) + 500) / 1000) / 1e6 AS score
+FROM rat r JOIN gm USING (movieId) JOIN sscore s ON s.userId = r.userId AND s.mask = gm.mask""",
+    "o24_content_top_scores": _with(_RAT, _MOV, _CONTENT) + """
 SELECT userId, movieId, floor((round((score) * 1e9) + 500) / 1000) / 1e6 AS score FROM ctop""",
     "o25_content_top20": _with(_RAT, _MOV, _CONTENT) + """
 SELECT c.userId, c.rank, c.movieId, m.title, floor((round((c.score) * 1e9) + 500) / 1000) / 1e6 AS score

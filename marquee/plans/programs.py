@@ -17,7 +17,6 @@ import argparse
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.operators import content as C
@@ -38,11 +37,11 @@ class ContentResult:
 @dataclass
 class CollaborativeResult:
     ratings: DataFrame              # ratings plus accepted cold-start answers
-    model: ALSModel
+    model: FA.Als
     mse: float
     top_n: DataFrame                # ALS top-N for the targets
     popular: DataFrame              # popular candidates for a new user
-    random: DataFrame               # random unseen candidates for the first target
+    random: DataFrame               # random unseen candidates for every target
     neighbours: DataFrame           # cosine-neighbourhood recommendations
     answer_log: DataFrame | None    # status of every answer, when answers were given
 
@@ -69,7 +68,7 @@ def collaborative(ratings: DataFrame, movies: DataFrame, targets: Sequence[int],
         ratings=ratings, model=model, mse=mse,
         top_n=FA.top_for_users(model, users, movies, n),
         popular=P.popular_candidates(ratings, movies),
-        random=P.random_candidates(ratings, movies, int(targets[0]), seed=seed),
+        random=P.random_candidates(ratings, movies, list(targets), seed=seed),
         neighbours=N.neighbour_recommendations(ratings, movies, list(targets), n=n, norm=norm),
         answer_log=log,
     )

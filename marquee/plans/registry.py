@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.ranking import round6
@@ -24,6 +24,8 @@ from marquee.sources import testdata as TD
 from marquee.sources.tables import materialize, memoize
 
 TARGET_USER = 0
+#: Users with at most this many ratings are the target set of the ``_set`` plans.
+LIGHT_USER_RATINGS = 20
 VOCAB = TD.ADAPTER_GENRES
 
 
@@ -40,6 +42,18 @@ def _data(spark: SparkSession, sf_dir: str):
     return _ratings(spark, sf_dir), TD.movies(spark, sf_dir)
 
 
+#: New users with at most this many accepted answers are the targets of the refreshed model.
+NEW_USER_ANSWERS = 5
+
+#: Largest residual of the normal equations per rating (single precision factors).
+ALS_TOLERANCE = 1e-4
+
+
+def light_users(ratings: DataFrame, most: int = LIGHT_USER_RATINGS) -> DataFrame:
+    """``(userId)`` of the users with few ratings: those a system recommends to first."""
+    return ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= most).select("userId")
+
+
 def _r6(c: str) -> F.Column:
     return round6(F.col(c)).alias(c)
 
@@ -77,6 +91,11 @@ def o07_random_candidates(spark, sf_dir):
     return P.random_candidates(r, m, TARGET_USER)
 
 
+def o07_random_candidates_set(spark, sf_dir):
+    r, m = _data(spark, sf_dir)
+    return P.random_candidates(r, m, light_users(r))
+
+
 def o08_accepted_ratings(spark, sf_dir):
     return FB.accepted_ratings(_answers(spark, sf_dir))
 
@@ -99,7 +118,14 @@ def _model(spark, sf_dir):
 
 def o10_als_user_factors(spark, sf_dir):
     _, _, model = _model(spark, sf_dir)
-    return model.userFactors.select(F.col("id").alias("userId"), "features")
+    return model.user_factors()
+
+
+def o10_als_check(spark, sf_dir):
+    """Per user: the normal equations of the last half step hold."""
+    r, _, model = _model(spark, sf_dir)
+    return FA.normal_equation_residuals(model, r).select(
+        "userId", "n_ratings", (F.col("residual") < ALS_TOLERANCE).alias("solved"))
 
 
 def o11_als_scored(spark, sf_dir):
@@ -113,8 +139,48 @@ def o12_als_requests(spark, sf_dir):
 
 
 def o13_als_top20(spark, sf_dir):
-    _, m, model = _model(spark, sf_dir)
-    return FA.top_for_users(model, None, m)
+    r, m, model = _model(spark, sf_dir)
+    return FA.top_for_users(model, light_users(r), m)
+
+
+def o13_als_top20_unseen(spark, sf_dir):
+    r, m, model = _model(spark, sf_dir)
+    return FA.top_for_users(model, light_users(r), m, seen=r)
+
+
+def o13_als_check(spark, sf_dir):
+    """Per target: 20 movies in falling order, each scored by its factors' product."""
+    r, m, model = _model(spark, sf_dir)
+    top = FA.top_for_users(model, light_users(r), m)
+    x = top.join(model.user_factors().withColumnRenamed("features", "u"), "userId").join(
+        model.item_factors().withColumnRenamed("features", "v"), "movieId")
+    product = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, b: a + b)
+    w = Window.partitionBy("userId").orderBy("rank")
+    x = x.withColumn("ok", (F.abs(product - F.col("score")) < ALS_TOLERANCE)
+                     & (F.coalesce(F.lag("score").over(w), F.col("score")) >= F.col("score")))
+    return x.groupBy("userId").agg(F.count(F.lit(1)).alias("n_items"), F.bool_and("ok").alias("sound"))
+
+
+def o11_als_check(spark, sf_dir):
+    """Per user: every rating has one prediction, and it is the product of the factors."""
+    r, _, model = _model(spark, sf_dir)
+    x = FA.score_known(model, r).join(model.user_factors().withColumnRenamed("features", "u"), "userId").join(
+        model.item_factors().withColumnRenamed("features", "v"), "movieId")
+    product = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, b: a + b)
+    return x.groupBy("userId").agg(F.count(F.lit(1)).alias("n_scored"),
+                                   F.bool_and(F.abs(product - F.col("prediction")) < ALS_TOLERANCE).alias("sound"))
+
+
+def o14_als_check(spark, sf_dir):
+    """The error is the mean of the squared differences of o11, and below the variance of the ratings."""
+    r, _, model = _model(spark, sf_dir)
+    scored = FA.score_known(model, r)
+    by_user = scored.groupBy("userId").agg(F.sum(F.pow(F.col("rating") - F.col("prediction"), 2)).alias("s"))
+    mean = by_user.agg(F.sum("s").alias("s"))
+    spread = r.agg(F.var_pop("rating").alias("v"))
+    x = FA.mean_squared_error(scored).join(F.broadcast(mean), F.lit(True)).join(F.broadcast(spread), F.lit(True))
+    return x.select("n", (F.abs(F.col("s") / F.col("n") - F.col("mse")) < 1e-9).alias("is_mean"),
+                    (F.col("mse") < F.col("v")).alias("beats_mean"))
 
 
 def o14_als_mse(spark, sf_dir):
@@ -138,6 +204,11 @@ def o16_user_cosine_corated(spark, sf_dir):
         "userId1", "userId2", _r6("cosineSim"))
 
 
+def o16_user_cosine_set(spark, sf_dir):
+    r, _ = _data(spark, sf_dir)
+    return N.cosine_similarity(r, light_users(r)).select("userId1", "userId2", _r6("cosineSim"))
+
+
 def o17_neighbour_predictions(spark, sf_dir):
     r, m = _data(spark, sf_dir)
     return N.predicted_ratings(r, m, TARGET_USER).select("userId", "movieId", _r6("ratingPredicted"))
@@ -149,6 +220,12 @@ def o18_neighbour_top20(spark, sf_dir):
         "userId", "rank", "movieId", "title", _r6("cosSim"), "rating", _r6("ratingPredicted"))
 
 
+def o18_neighbour_top20_set(spark, sf_dir):
+    r, m = _data(spark, sf_dir)
+    return N.neighbour_recommendations(r, m, light_users(r)).select(
+        "userId", "rank", "movieId", "title", _r6("cosSim"), "rating", _r6("ratingPredicted"))
+
+
 def o19_recommendations_as_ratings(spark, sf_dir):
     r, m = _data(spark, sf_dir)
     recs = N.recommendations_as_ratings(N.neighbour_recommendations(r, m, TARGET_USER))
@@ -179,6 +256,12 @@ def o23_seen_items(spark, sf_dir):
 
 
 def o24_content_scores(spark, sf_dir):
+    """Requested pairs: every (user, movie) that was rated."""
+    r, m = _data(spark, sf_dir)
+    return C.score_pairs(r.select("userId", "movieId"), r, m, vocabulary=VOCAB).select("userId", "movieId", _r6("score"))
+
+
+def o24_content_top_scores(spark, sf_dir):
     r, m = _data(spark, sf_dir)
     return C.content_scores(r, m, vocabulary=VOCAB).select("userId", "movieId", _r6("score"))
 
@@ -198,7 +281,7 @@ def o27_refresh_top20(spark, sf_dir):
     r, m = _data(spark, sf_dir)
     new = FB.accepted_ratings(_answers(spark, sf_dir))
     _, model = FA.refresh(r, new)
-    return FA.top_for_users(model, new.select("userId"), m)
+    return FA.top_for_users(model, light_users(new, NEW_USER_ANSWERS), m)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

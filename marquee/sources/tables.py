@@ -5,16 +5,22 @@ branches of a plan read would otherwise be recomputed by each branch: column
 pruning and pushed filters make the branches differ, so Spark cannot reuse one
 shuffle for all of them.  ``materialize`` writes the table once:
 
-* to ``<spark.checkpoint.dir>/marquee-tables/<application id>/<name>`` when the
-  cluster names a shared checkpoint folder (survives lost executors, and the
-  read-back scan gets Parquet pushdown and column pruning);
-* otherwise it persists the DataFrame (memory and disk; a lost block is
-  recomputed from lineage).  A machine-local folder is never used.
+* to ``<spark.checkpoint.dir>/marquee-tables/<application id>/<name>-<plan>``
+  when the cluster names a shared checkpoint folder (survives lost executors,
+  and the read-back scan gets Parquet pushdown and column pruning);
+* otherwise it persists the DataFrame (memory, then the executors' own disks,
+  as Spark's cache does; a lost block is recomputed from lineage).
+
+Stored tables are known by the session's application, the name and the plan, so
+two different frames under one name are two tables.  The files behind a plan
+are taken as fixed while the application runs; after a change call ``release``,
+which also frees what was stored.
 """
 
 from __future__ import annotations
 
 import threading
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -22,55 +28,71 @@ from pyspark.sql import DataFrame
 from marquee.session import CHECKPOINT_CONF
 
 _LOCK = threading.RLock()
-_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
-def _app_id(spark) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # no SparkContext on this client (e.g. Spark Connect)
-        return spark.conf.get("spark.app.id", "app")
+@dataclass
+class _Stored:
+    source: DataFrame
+    table: DataFrame
+    path: str | None
+
+
+_TABLES: dict[tuple[str, str], list[_Stored]] = {}
+_MEMOS: dict[tuple[str, str], object] = {}
 
 
 def shared_folder(spark) -> str | None:
-    conf = spark.conf.get(CHECKPOINT_CONF, None)
-    if conf:
-        return conf
-    try:
-        sc = spark.sparkContext
-        return sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
-    except Exception:
-        return None
+    """The shared folder the session names, or None."""
+    sc = spark.sparkContext
+    return spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Compute ``df`` once per application under ``name`` and return the stored table."""
+    """Compute ``df`` once per application and plan; return the stored table.
+
+    A failing write is raised: what it says about the data or the folder must
+    not be hidden behind a second computation.
+    """
     spark = df.sparkSession
-    key = (_app_id(spark), name)
+    key = (spark.sparkContext.applicationId, name)
     with _LOCK:
-        hit = _TABLES.get(key)
-        if hit is not None:
-            return hit
-        folder = shared_folder(spark)
-        out = None
+        same = _TABLES.setdefault(key, [])
+        for s in same:
+            if s.source.sameSemantics(df):
+                return s.table
+        folder, path = shared_folder(spark), None
         if folder:
             safe = "".join(c if c.isalnum() or c in "-_." else "_" for c in name)
-            path = f"{folder.rstrip('/')}/marquee-tables/{key[0]}/{safe}"
-            try:
-                df.write.mode("overwrite").parquet(path)
-                out = spark.read.parquet(path)
-            except Exception:  # folder not writable: keep the lineage instead
-                out = None     # (a data error resurfaces when the table is read)
-        if out is None:
+            path = f"{folder.rstrip('/')}/marquee-tables/{key[0]}/{safe}-{len(same)}"
+            df.write.mode("overwrite").parquet(path)
+            out = spark.read.schema(df.schema).parquet(path)
+        else:
             out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _TABLES[key] = out
+        same.append(_Stored(df, out, path))
         return out
 
 
+def release(spark, name: str | None = None) -> int:
+    """Forget and delete the stored tables of this application (all, or those under ``name``)."""
+    app, n = spark.sparkContext.applicationId, 0
+    with _LOCK:
+        for key in [k for k in _TABLES if k[0] == app and name in (None, k[1])]:
+            for s in _TABLES.pop(key):
+                n += 1
+                if s.path is None:
+                    s.table.unpersist()
+                else:
+                    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.path)
+                    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        for key in [k for k in _MEMOS if k[0] == app and name in (None, k[1])]:
+            del _MEMOS[key]
+    return n
+
+
 def memoize(spark, name: str, build):
     """Per-application memo for non-table artefacts (e.g. a trained model)."""
-    key = (_app_id(spark), "memo:" + name)
+    key = (spark.sparkContext.applicationId, name)
     with _LOCK:
-        if key not in _TABLES:
-            _TABLES[key] = build()
-        return _TABLES[key]
+        if key not in _MEMOS:
+            _MEMOS[key] = build()
+        return _MEMOS[key]

@@ -120,7 +120,6 @@ def test_chunked_and_salted_catalogue_give_same_result(spark, monkeypatch):
     m = TD.movies(spark, SF_SMALL)
     base = rows(C.content_scores(r, m, vocabulary=TD.ADAPTER_GENRES), "userId", "rank", "movieId")
     monkeypatch.setattr(C, "CHUNK_SIGNATURES", 7)            # many catalogue rows
-    monkeypatch.setattr(C, "MAX_BROADCAST_SIGNATURES", 16)   # no static bound: count + shuffle
     df = C.content_scores(r, m, vocabulary=TD.ADAPTER_GENRES, salt=3)
     assert rows(df, "userId", "rank", "movieId") == base
     df.collect()
@@ -129,7 +128,7 @@ def test_chunked_and_salted_catalogue_give_same_result(spark, monkeypatch):
 
 def test_rank_within_matches_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7 % 10007).alias("v"))
-    got = rank_within(df, "k", "v", "pos", bucket_bits=6)
+    got = rank_within(df, "k", "v", "pos", level_bits=6)
     from pyspark.sql import Window
     exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy("v")).cast("long"))
     assert rows(got, "k", "v", "pos") == rows(exp, "k", "v", "pos")
@@ -188,3 +187,60 @@ def test_user_without_liked_rating_gets_nothing(spark, tiny):
                               "userId int, movieId int, rating double, timestamp long")
     users = {x.userId for x in C.content_recommendations(r, m, vocabulary=VOC3).collect()}
     assert users == {2}
+
+
+def test_rank_within_of_sparse_and_negative_ids(spark):
+    ids = [i * (1 << 20) for i in range(3000)] + [-5, -(1 << 62), (1 << 62) + 3, 7, 8]
+    df = spark.createDataFrame([("a", i) for i in ids] + [("b", 1 << 40)], "k string, v long")
+    got = {(x.k, x.v): x.pos for x in rank_within(df, "k", "v", "pos").collect()}
+    assert got == {("a", v): i + 1 for i, v in enumerate(sorted(ids))} | {("b", 1 << 40): 1}
+
+
+def test_no_window_partition_holds_a_whole_group(spark):
+    df = spark.createDataFrame([(0, i * (1 << 20)) for i in range(100)], "k int, v long")
+    plan = physical_plan(rank_within(df, "k", "v", "pos"))
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    # rows are numbered inside (key, all digits above the last), never by key alone
+    assert any("row_number()" in w and "_r0" in w and "_r2" in w for w in windows)
+
+
+def test_users_without_taste_meet_n_plus_seen_movies(spark):
+    """All-zero profiles: every score ties at 0, yet no user meets the whole catalogue."""
+    n_movies, users, n = 400, 50, 5
+    movies = spark.createDataFrame([(i, f"t{i}", VOC3[i % 3]) for i in range(n_movies)] + [(9999, "none", "(no genres listed)")],
+                                   "movieId int, title string, genres string")
+    data = [(u, 9999, 5.0, 1) for u in range(users)] + [(u, i, 1.0, 1) for u in range(users) for i in range(u % 7)]
+    r = spark.createDataFrame(data, "userId int, movieId int, rating double, timestamp long")
+    matrix = C.genre_matrix(movies, VOC3)
+    profiles = C.user_profiles(C.liked_ratings(r, movies), matrix, 3)
+    kept = C._kept_signatures(profiles, C.seen_items(r), matrix, n, 3)
+    assert all(x.k_take == n + x.userId % 7 and x.mask == C.EVERY_MOVIE for x in kept.collect())
+    got = rows(C.content_scores(r, movies, vocabulary=VOC3, n=n), "userId", "rank", "movieId", "score")
+    assert got == sorted((u, k + 1, u % 7 + k, 0.0) for u in range(users) for k in range(n))
+
+
+def test_requested_pairs_are_all_scored(spark):
+    movies = spark.createDataFrame([(1, "a", "Action|Comedy"), (2, "b", "Drama"), (5, "e", "Action|Comedy|Drama"),
+                                    (7, "g", "(no genres listed)")], "movieId int, title string, genres string")
+    r = spark.createDataFrame([(1, 1, 4.0, 1), (1, 2, 3.0, 2), (2, 2, 1.0, 1)], "userId int, movieId int, rating double, timestamp long")
+    asked = spark.createDataFrame([(1, 5), (1, 5), (1, 1), (1, 7), (2, 5), (3, 5)], "userId int, movieId int")
+    got = rows(C.score_pairs(asked, r, movies, vocabulary=VOC3), "userId", "movieId", "score")
+    assert [(u, i) for u, i, _ in got] == [(1, 1), (1, 5), (1, 5)]  # seen ones too; without profile or genres none
+    assert round(got[1][2], 6) == 4.959183 - 0 or got[1][2] > 4.9
+
+
+def test_nothing_runs_while_the_plan_is_built(spark):
+    r, m = TD.ratings(spark, SF_SMALL), TD.movies(spark, SF_SMALL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "")
+    C.content_report(r, m, vocabulary=TD.ADAPTER_GENRES)
+    assert not tracker.getJobIdsForGroup("plan-only")
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_trailing_separators(spark):
+    m = spark.createDataFrame([(1, "a", "Action|"), (2, "b", "Drama||"), (3, "c", "|")], "movieId int, title string, genres string")
+    assert rows(C.genre_matrix(m, VOC3), "movieId", "n_genres") == [(1, 1), (2, 1), (3, 0)]
+    bad = spark.createDataFrame([(1, "a", "Action||Drama")], "movieId int, title string, genres string")
+    with pytest.raises(Exception, match="not in vocabulary"):
+        C.genre_matrix(bad, VOC3).collect()

@@ -21,8 +21,8 @@ def fitted(spark):
 def test_prediction_is_factor_dot_product(fitted):
     r, _, model = fitted
     one = FA.score_known(model, r).first()
-    u = model.userFactors.where(F.col("id") == one.userId).first().features
-    i = model.itemFactors.where(F.col("id") == one.movieId).first().features
+    u = model.user_factors().where(F.col("userId") == one.userId).first().features
+    i = model.item_factors().where(F.col("movieId") == one.movieId).first().features
     assert one.prediction == pytest.approx(sum(a * b for a, b in zip(u, i)), rel=1e-5)
 
 
@@ -35,12 +35,60 @@ def test_mse_beats_the_mean(fitted):
     assert mse < var
 
 
-def test_refit_is_deterministic(fitted):
+def _factors(model):
+    return {x.userId: list(x.features) for x in model.user_factors().collect()}
+
+
+def test_refit_is_deterministic_also_after_repartitioning(fitted):
+    r, _, model = fitted
+    a = _factors(model)
+    for again in (r, r.repartition(13)):
+        b = _factors(FA.train_als(again))
+        assert set(a) == set(b)
+        assert max(abs(x - y) for u in a for x, y in zip(a[u], b[u])) < 1e-3
+
+
+def test_last_half_step_solves_the_users(fitted):
     r, _, model = fitted
-    again = FA.train_als(r)
-    a = sorted((x.id, tuple(round(v, 4) for v in x.features)) for x in model.userFactors.collect())
-    b = sorted((x.id, tuple(round(v, 4) for v in x.features)) for x in again.userFactors.collect())
-    assert a == b
+    got = FA.normal_equation_residuals(model, r)
+    assert got.count() == r.select("userId").distinct().count()
+    assert got.agg(F.max("residual")).first()[0] < 1e-4
+    wrong = r.withColumn("rating", F.col("rating") + 1)  # the check can fail
+    assert FA.normal_equation_residuals(model, wrong).agg(F.max("residual")).first()[0] > 1e-2
+
+
+def test_nothing_scores_above_the_list(fitted, spark):
+    r, m, model = fitted
+    users = spark.createDataFrame([(0,), (3,)], "userId long")
+    top = FA.top_for_users(model, users, m, n=20)
+    every = FA.score_requests(model, users.crossJoin(r.select("movieId").distinct()), m)
+    low = {x.userId: x.s for x in top.groupBy("userId").agg(F.min("score").alias("s")).collect()}
+    for x in every.groupBy("userId").agg(F.sort_array(F.collect_list("prediction"), asc=False).alias("p")).collect():
+        assert x.p[19] == pytest.approx(low[x.userId], abs=1e-5)
+
+
+def test_exclude_seen(fitted, spark):
+    r, m, model = fitted
+    users = spark.createDataFrame([(0,), (3,)], "userId long")
+    got = FA.top_for_users(model, users, m, n=7, seen=r)
+    assert got.join(r, ["userId", "movieId"], "left_semi").isEmpty()
+    every = FA.score_requests(model, users.crossJoin(m.select("movieId")), m).join(r, ["userId", "movieId"], "left_anti")
+    for u in (0, 3):
+        best = sorted((-x.prediction, x.movieId) for x in every.where(F.col("userId") == u).collect())[:7]
+        mine = sorted((-x.score, x.movieId) for x in got.where(F.col("userId") == u).collect())
+        assert [i for _, i in mine] == [i for _, i in best]
+
+
+def test_ids_beyond_32_bits(spark):
+    base = 3_000_000_000
+    data = [(base + u * 7, -base + i, float(1 + (u * 3 + i) % 5)) for u in range(8) for i in range(9)]
+    r = spark.createDataFrame(data, "userId long, movieId long, rating double")
+    m = spark.createDataFrame([(-base + i, f"t{i}") for i in range(9)], "movieId long, title string")
+    model = FA.train_als(r, blocks=2)
+    got = FA.score_known(model, r)
+    assert {(x.userId, x.movieId) for x in got.collect()} == {(u, i) for u, i, _ in data}
+    top = FA.top_for_users(model, r.select("userId").limit(1), m, n=3).collect()
+    assert len(top) == 3 and all(x.movieId < -base + 9 and x.title for x in top)
 
 
 def test_top_n_sorted_and_bounded(fitted, spark):

@@ -68,3 +68,64 @@ def test_adapter_shapes(spark):
     a = TD.answers(spark, SF_SMALL)
     assert a.groupBy("userId", "candidate_rank", "attempt").count().where("count > 1").count() == 0
     assert a.where("userId >= 0").count() == 0
+
+
+def test_header_columns_are_found_by_name(spark):
+    p = _write("movieId,userId,rating,timestamp\n1,2,4.0,10\n", "order.csv")
+    assert rows(S.read_ratings(spark, p, header=True)) == [(2, 1, 4.0, 10)]
+    p = _write("extra,rating,userId,movieId,timestamp\nx,4.5,1,2,3\n", "extra.csv")
+    assert rows(S.read_ratings(spark, p, header=True)) == [(1, 2, 4.5, 3)]
+    p = _write("userId,movieId,rating\n1,2,3\n", "short.csv")
+    assert rows(S.read_ratings(spark, p, header=True)) == [(1, 2, 3.0, None)]
+    p = _write("userId,rating\n1,2\n", "missing.csv")
+    with pytest.raises(ValueError, match="movieId"):
+        S.read_ratings(spark, p, header=True)
+    p = _write('genres,movieId,title,year\nDrama,4,"A, B",1999\n', "movies.csv")
+    assert rows(S.read_movies(spark, p)) == [(4, "A, B", "Drama")]
+
+
+def test_files_with_different_headers_fail(spark):
+    a = _write("userId,movieId,rating\n1,2,3\n", "a.csv")
+    b = _write("movieId,userId,rating\n1,2,3\n", "b.csv")
+    with pytest.raises(Exception):
+        S.read_ratings(spark, [a, b], header=True).collect()
+
+
+@pytest.mark.parametrize("line,want", [("7,Title", (7, "Title", None)), ("7,Title,Drama,x,y", (7, "Title", "Drama")),
+                                       ('7,"A, B",Drama', (7, "A, B", "Drama"))])
+def test_headerless_movies_of_any_width(spark, line, want):
+    p = _write(line + "\n", "m.csv")
+    assert rows(S.read_movies(spark, p, header=False)) == [want]
+
+
+@pytest.mark.parametrize("header,text", [(False, " 1,2,3.0\n"), (False, "1,2,x\n"), (False, "1,2\n"), (True, "userId,movieId,rating\nx,2,3\n"),
+                                         (True, "userId,movieId,rating\n1,2,\n"), (True, "userId,movieId,rating,timestamp\n1,2,3,soon\n")])
+def test_numbers_must_be_numbers(spark, header, text):
+    p = _write(text, "bad.csv")
+    with pytest.raises(Exception):
+        S.read_ratings(spark, p, header=header).collect()
+
+
+def test_movie_ids_must_be_numbers(spark):
+    with pytest.raises(Exception):
+        S.read_movies(spark, _write("x,Title\n", "m.csv"), header=False, check_unique=False).collect()
+
+
+def test_materialize_knows_the_plan_not_only_the_name(spark):
+    from marquee.sources.tables import materialize, release
+    a, b = spark.range(3), spark.range(99)
+    assert materialize(a, "clash").count() == 3 and materialize(b, "clash").count() == 99
+    assert materialize(spark.range(3), "clash").count() == 3
+    assert release(spark, "clash") == 2 and release(spark, "clash") == 0
+
+
+def test_materialize_raises_what_the_write_raises(spark, monkeypatch, tmp_path):
+    from marquee.sources import tables
+    monkeypatch.setattr(tables, "shared_folder", lambda s: str(tmp_path))
+    bad = spark.range(1).select(F.raise_error(F.lit("broken input")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="broken input"):
+        tables.materialize(bad, "bad")
+    good = tables.materialize(spark.range(5), "good")
+    assert good.count() == 5 and list((tmp_path / "marquee-tables").rglob("*.parquet"))
+    tables.release(spark, "good")
+    assert not list((tmp_path / "marquee-tables").rglob("*.parquet"))
