@@ -23,7 +23,7 @@ at another place of the corpus, the same document included.
 4. The marks go back to all occurrences of a phrase and are merged by document.
 
 A hash group of more than ``GROUP_CAP`` distinct phrases is not indexed in one
-task: its windows are hashed one by one and counted by aggregation instead,
+task: its windows are hashed one by one and their places summed by hash instead,
 which is as exact and spreads over all tasks.
 
 Defined cases: null and empty texts have no bytes and nothing removed; rows that
@@ -40,6 +40,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,7 +51,7 @@ LENGTH = 400
 KMER = 32
 PIECE_BYTES = 1 << 20
 INDEX_BYTES = 1 << 20
-GROUP_CAP = 1500
+GROUP_CAP = 4000
 
 U = np.uint64
 _BASES = (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93))  # odd, so that they have inverses
@@ -185,11 +186,12 @@ class RunLengthIndex:
     def __init__(self, strings: list[bytes]):
         sizes = np.array([len(s) + 1 for s in strings], np.int64)
         self.ends = np.cumsum(sizes) - 1  # of the terminators
-        text = np.zeros(int(sizes.sum()), np.int64)
+        text = np.zeros(int(sizes.sum()), np.uint16)
         inside = np.ones(len(text), bool)
         inside[self.ends] = False
-        text[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64) + 1
-        self.left = np.repeat(self.ends, sizes) - np.arange(len(text))  # symbols before the terminator
+        text[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
+        # symbols before the terminator
+        self.left = np.repeat(self.ends.astype(np.int32), sizes) - np.arange(len(text), dtype=np.int32)
         order = self._sorted(text)
         before = text[order - 1]
         same = (before[1:] == before[:-1]) & (before[1:] > 0)  # terminators differ from each other
@@ -203,19 +205,20 @@ class RunLengthIndex:
         n, pack = len(text), self.PACK
         key = np.zeros(n, np.int64)
         alive = np.ones(n, bool)
-        padded = np.concatenate([text, np.zeros(pack, np.int64)])
+        padded = np.concatenate([text, np.zeros(pack, text.dtype)])
         for i in range(pack):
             symbol = padded[i:i + n] * alive
-            key = key << 9 | symbol
+            key <<= 9
+            key |= symbol
             alive &= symbol > 0
         self.key = key
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key, kind="stable").astype(np.int32)
         k = key[order]
         ended = self.left[order] < pack  # equal up to their terminators: in text order, and decided
         new = np.ones(n, bool)
         new[1:] = (k[1:] != k[:-1]) | ended[1:] | ended[:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        rank = np.empty(n, np.int32)
+        rank[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
         h, longest = pack, int(self.left.max())
         while h <= longest:
             single = new & np.append(new[1:], True)
@@ -225,7 +228,7 @@ class RunLengthIndex:
             s = order[todo]
             second = rank[s + h]
             group = rank[s]
-            by = np.argsort(group * n + second, kind="stable")
+            by = np.argsort(group.astype(np.int64) * n + second, kind="stable")
             s, group, second = s[by], group[by], second[by]
             order[todo] = s
             ended = self.left[s] < 2 * h
@@ -255,12 +258,12 @@ class RunLengthIndex:
         n = len(self.left)
         above, below = self.last[:-1], self.first[1:]  # neighbours across a run boundary
         common = self._common(above, below)
-        longest = np.zeros(n, np.int64)
+        longest = np.zeros(n, np.int32)
         for at in (above, below):
-            reach = np.zeros(n, np.int64)
+            reach = np.zeros(n, np.int32)
             reach[at] = at + common
             longest = np.maximum(longest, np.maximum.accumulate(reach))
-        return np.maximum(longest - np.arange(n), 0)
+        return np.maximum(longest - np.arange(n, dtype=np.int32), 0)
 
 
 def _marked(strings: list[bytes], copies: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
@@ -363,9 +366,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, group_cap: int = GROUP_CAP) -
     if any_large:
         single = kept.join(big, "low", "left_semi").dropDuplicates(list(key)).mapInArrow(
             _window_rows(length), "low bigint, n int, p1 bigint, p2 bigint, copies bigint, at int, w0 bigint, w1 bigint")
-        single = stored(single, "large-group-windows")
-        twice = single.groupBy("low", "w0", "w1").agg(F.sum("copies").alias("c")).where("c > 1").select("low", "w0", "w1")
-        marks = marks.unionByName(single.join(twice, ["low", "w0", "w1"], "left_semi").select(*key, "at", F.lit(1).alias("run")))
+        places = F.sum("copies").over(W.partitionBy("low", "w0", "w1"))
+        marks = marks.unionByName(single.withColumn("places", places).where("places > 1").select(*key, "at", F.lit(1).alias("run")))
     spans = found.join(marks, list(key)).select("id", "text_hash", F.struct(
         (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + F.col("run") + length - 1).alias("z")).alias("s"))
     return spans.groupBy("id", "text_hash").agg(F.collect_list("s").alias("spans"))
