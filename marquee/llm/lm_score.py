@@ -12,17 +12,18 @@ the token's own, with more weight on the latter the fewer h was seen:
     p(w|h) = (c(h w) + k p(w)) / (c(h) + k),   k = c(h) ** VARIETY
 
 The base score is exact: ``sum log10((c + 1) / (N + V + 1))`` with the true
-training counts, which meet the texts through a join.
+training counts of the words.
 
 How it runs: texts are packed into chunks of about ``CHUNK_BYTES`` with a
 dictionary and compressed token numbers, written once.  The dictionaries are
-exploded, counted by word and joined back, one row per chunk and word.  Pairs
+exploded, one row per chunk and word; the counts of a word are summed over its
+rows and go back to the chunks, one list per chunk.  Pairs
 are counted in every task first and shuffled as sorted binary blocks, one per
 task and shard.  Every shard builds its own part of the filter; the parts go to
 the driver and from there to the workers.  Their total size follows the number
 of distinct n-grams up to ``MAX_FILTER_BYTES``; a larger corpus still has all of
 its n-grams in the filter, at fewer bits each, so that only the rate of false
-positives (about 1 in 100 at full size) grows.
+positives (about 1 in 50 at full size) grows.
 
 Defined cases: null and empty texts consist of the end; without training rows
 all counts are zero; rows are scored one by one, so repeated rows, null ids and
@@ -38,19 +39,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.arrow import batch
 from marquee.llm.common import stored
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 32 << 20
 STEP = 1.5  # b: the ratio of neighbouring levels
 VARIETY = 0.8
-BITS = 10
+BITS = 8
 PROBES = 5
 MAX_FILTER_BYTES = 128 << 20
 SHARD_KEYS = 1 << 20
+#: Tokens scored at once.
+BLOCK = 1 << 18
+#: Bytes of a key in a block of n-grams, below the bits that name the shard.
+KEY_BYTES = 5
 END = "\n"  # no word has white space in it
 
 U = np.uint64
@@ -103,6 +109,8 @@ class Filter:
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Dequantised counts: levels are probed until one is missing."""
+        if len(keys) > BLOCK:
+            return np.concatenate([self.counts(keys[i:i + BLOCK]) for i in range(0, len(keys), BLOCK)])
         level = np.zeros(len(keys), np.int64)
         shard = shard_of(keys, self.shift)
         at, size = self.at[shard], self.size[shard]
@@ -199,22 +207,21 @@ def chunks(docs: DataFrame) -> DataFrame:
 def _unpacked(numbers: bytes, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, word before, text) of every token of a chunk, the ends included; the end is number 0."""
     import zstandard
-    raw = np.frombuffer(zstandard.decompress(numbers), "<u4").astype(np.int64)
+    raw = np.frombuffer(zstandard.decompress(numbers), "<u4")
     n = n_words + 1
     total = int(n.sum())
-    doc = np.repeat(np.arange(len(n)), n)
-    ends = np.cumsum(n) - 1
-    word = np.zeros(total, np.int64)
+    doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    word = np.zeros(total, np.int32)
     inner = np.ones(total, bool)
-    inner[ends] = False
+    inner[np.cumsum(n) - 1] = False
     word[inner] = raw
-    before = np.zeros(total, np.int64)
+    before = np.zeros(total, np.int32)
     before[1:] = word[:-1]  # before a text's first word stands the end of the text before, number 0
     return word, before, doc
 
 
 def gram_blocks(packed: DataFrame, shift: int) -> DataFrame:
-    """``(shard, keys, counts)``: per task and shard, sorted 48-bit keys (below the shard's bits) and their counts."""
+    """``(shard, keys, counts)``: per task and shard, sorted keys (``KEY_BYTES`` below the shard's bits) and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -231,7 +238,7 @@ def gram_blocks(packed: DataFrame, shift: int) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             keys, counts = merged()
             cuts = np.searchsorted(shard_of(keys, shift), np.arange((1 << shift) + 1))
-            low = (keys << U(shift) >> U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            low = (keys << U(shift) >> U(64 - 8 * KEY_BYTES)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
             for shard in np.flatnonzero(np.diff(cuts)):
                 a, z = cuts[shard], cuts[shard + 1]
                 yield batch(("shard", pa.array([shard], pa.int32())), ("keys", pa.array([low[a:z].tobytes()], pa.binary())),
@@ -263,15 +270,15 @@ def gram_blocks(packed: DataFrame, shift: int) -> DataFrame:
 
 def full_keys(shard: int, low: bytes, shift: int) -> np.ndarray:
     """64-bit keys (the lowest bits zero) of a block."""
-    raw = np.zeros((len(low) // 6, 8), np.uint8)
-    raw[:, :6] = np.frombuffer(low, np.uint8).reshape(-1, 6)
-    keys = raw.view("<u8").ravel().astype(np.uint64) << U(16) >> U(shift)
+    raw = np.zeros((len(low) // KEY_BYTES, 8), np.uint8)
+    raw[:, :KEY_BYTES] = np.frombuffer(low, np.uint8).reshape(-1, KEY_BYTES)
+    keys = raw.view("<u8").ravel().astype(np.uint64) << U(64 - 8 * KEY_BYTES) >> U(shift)
     return keys | (U(shard) << U(64 - shift) if shift else U(0))
 
 
 def rounded(keys: np.ndarray, shift: int) -> np.ndarray:
     """The bits of a key that the blocks keep."""
-    drop = max(0, 16 - shift)
+    drop = max(0, 64 - 8 * KEY_BYTES - shift)
     return keys >> U(drop) << U(drop)
 
 
@@ -316,13 +323,16 @@ def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
     filt = spark.sparkContext.broadcast(build_filter(packed, max_filter_bytes))
     words = packed.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
         "chunk", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    known = words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
+    # a word has one row per chunk: its count is summed where these rows meet, and one of them names it
+    by_word = W.partitionBy("word")
+    words = words.select("chunk", "at", F.sum("n").over(by_word).alias("c"),
+                         (F.row_number().over(by_word.orderBy("chunk")) == 1).alias("first")).where("c > 0")
+    exact = stored(words.groupBy("chunk").agg(F.collect_list("at").alias("known_at"), F.collect_list("c").alias("known"),
+                                              F.count_if("first").alias("types")), "lm-counts")
+    types = exact.agg(F.sum("types")).first()[0] or 0
     sums = packed.select(F.aggregate("counts", F.lit(0).cast("long"), lambda a, v: a + v).alias("n")).agg(F.sum("n")).first()[0] or 0
-    known = stored(known, "lm-counts")
-    types = known.count()
-    exact = words.join(known, "word").groupBy("chunk").agg(F.collect_list(F.struct("at", "c")).alias("exact"))
     rows = packed.select("chunk", "ids", "n_words", "numbers", "hashes").join(exact, "chunk", "left").select(
-        "ids", "n_words", "numbers", "hashes", F.col("exact")["at"].alias("known_at"), F.col("exact")["c"].alias("known"))
+        "ids", "n_words", "numbers", "hashes", "known_at", "known")
     schema = T.StructType([T.StructField("id", x.schema["id"].dataType), *T._parse_datatype_string(
         "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double").fields])
 
@@ -338,15 +348,21 @@ def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
                     true[b.column(4)[i].values.to_numpy()] = b.column(5)[i].values.to_numpy()
                 word, before, doc = _unpacked(b.column(2)[i].as_py(), n_words)
                 n = len(n_words)
-                per_text = lambda v: np.bincount(doc, v, n)  # noqa: B023, E731
                 one = f.counts(rounded(_mix(hashes, 1), f.shift))
                 alone = (one + 1) / (sums + types + 1)
-                pair = f.counts(rounded(pair_keys(hashes[before], hashes[word]), f.shift))
-                past = np.maximum(one[before], pair)
-                k = np.maximum(past, 1) ** VARIETY
-                p = np.minimum((pair + k * alone[word]) / (past + k), 1.0)
+                base, known, score = np.log10(true + 1) - floor, np.zeros(n), np.zeros(n)
+                total = np.zeros(n)
+                for a in range(0, len(word), BLOCK):
+                    w, h, d = word[a:a + BLOCK], before[a:a + BLOCK], doc[a:a + BLOCK]
+                    pair = f.counts(rounded(pair_keys(hashes[h], hashes[w]), f.shift))
+                    past = np.maximum(one[h], pair)
+                    k = np.maximum(past, 1) ** VARIETY
+                    p = np.minimum((pair + k * alone[w]) / (past + k), 1.0)
+                    low, size = int(d[0]), int(d[-1]) - int(d[0]) + 1
+                    for out, v in ((score, np.log10(p)), (total, base[w]), (known, (true > 0)[w])):
+                        out[low:low + size] += np.bincount(d - low, v, size)
                 yield batch(("id", b.column(0)[i].values), ("n_tokens", pa.array(n_words + 1)),
-                            ("n_known", pa.array(per_text((true > 0)[word]).astype(np.int64))), ("train_tokens", pa.array([sums] * n, pa.int64())),
-                            ("base_score", pa.array(per_text((np.log10(true + 1) - floor)[word]))), ("score", pa.array(per_text(np.log10(p)))))
+                            ("n_known", pa.array(known.astype(np.int64))), ("train_tokens", pa.array([sums] * n, pa.int64())),
+                            ("base_score", pa.array(total)), ("score", pa.array(score)))
 
     return rows.mapInArrow(run, schema)
