@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.arrow import SLICE_BYTES, batch, slices, spans
+from marquee.llm.common import broadcast_if_small, stored
 
 BUCKETS = 1 << 16
 SAMPLE_DOCS = 5000
@@ -126,9 +127,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     """Fitted tables from rows with a non-null language (a bounded sample, see above)."""
     x = labelled.where(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    sizes = x.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = broadcast_if_small(stored(x.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages"), row_bytes=512)
     part = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = x.join(F.broadcast(sizes), "lang").where(part * F.col("n") < sample_docs).select("lang", "text")
+    sample = x.join(sizes, "lang").where(part * F.col("n") < sample_docs).select("lang", "text")
     sums = sample.mapInArrow(_count, "lang string, kind int, bucket int, n bigint").groupBy("lang", "kind", "bucket").agg(F.sum("n").alias("n"))
     got = sums.toArrow()  # languages x (buckets + scripts) rows at most
     langs = sorted(set(got.column("lang").to_pylist()))

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from marquee.llm.arrow import batch, binary, slices
 from marquee.llm.bpe import Encoder, load_vocabulary
-from marquee.llm.common import stored
+from marquee.llm.common import broadcast_if_small, stored
 
 SEQ_LEN = 512
 PER_SHARD = 4096
@@ -117,7 +117,8 @@ def write_shards(docs: DataFrame, path: str, out: str, key: int, id_col: str = "
         return type(number)(permuted(number.to_numpy(), total, key))
 
     number = (F.col("offset") + F.col("row"))
-    placed = tokens.join(F.broadcast(offset), "task").withColumn("slot", slot_of(number)).withColumn(
+    offset = broadcast_if_small(stored(offset, "task-offsets"), row_bytes=64)
+    placed = tokens.join(offset, "task").withColumn("slot", slot_of(number)).withColumn(
         "shard", F.floor(F.col("slot") / per_shard).cast("long"))
     index = stored(placed.select("id", "seq", "n_tokens", "slot", "shard"), "shard-index")
     pad = np.full(seq_len, fill, f"<u{width}").tobytes()
