@@ -37,7 +37,7 @@ from marquee.llm.arrow import batch, binary, slices, spans
 from marquee.llm.common import fresh
 
 #: The pre-tokenizer of the byte-level vocabularies (white space as in Unicode).
-PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
+PATTERN = (r"'(?:[stmd]|re|ve|ll)| ?(?:\p{L}++|\p{N}++|[^\p{White_Space}\p{L}\p{N}]++)"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 LONG = 96
 #: Distinct words a worker remembers before it starts anew.
