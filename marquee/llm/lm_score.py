@@ -19,11 +19,14 @@ dictionary and compressed token numbers, written once.  The dictionaries are
 exploded, one row per chunk and word; the counts of a word are summed over its
 rows and go back to the chunks, one list per chunk.  Pairs
 are counted in every task first and shuffled as sorted binary blocks, one per
-task and shard.  Every shard builds its own part of the filter; the parts go to
-the driver and from there to the workers.  Their total size follows the number
-of distinct n-grams up to ``MAX_FILTER_BYTES``; a larger corpus still has all of
-its n-grams in the filter, at fewer bits each, so that only the rate of false
-positives (about 1 in 50 at full size) grows.
+task and shard.  Every shard builds its own part of the filter, with ``BITS``
+bits for each (n-gram, level), and writes it to the shared folder; the filter
+grows with the distinct n-grams, and its rate of false positives (about 1 in 100
+for a level) is the same at every size.  Runs of shards of up to ``PASS_BYTES``
+are sent to the workers, one run after the other.  If one run holds everything,
+the texts are scored at once; otherwise every pass writes the levels of the
+n-grams that belong to its shards, one byte each, and the texts are scored from
+the levels of all passes.
 
 Defined cases: null and empty texts consist of the end; without training rows
 all counts are zero; rows are scored one by one, so repeated rows, null ids and
@@ -35,9 +38,11 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -49,9 +54,10 @@ from marquee.llm.common import stored
 CHUNK_BYTES = 32 << 20
 STEP = 1.5  # b: the ratio of neighbouring levels
 VARIETY = 0.8
-BITS = 8
+BITS = 10
 PROBES = 5
-MAX_FILTER_BYTES = 128 << 20
+#: Bytes of the filter that are sent to the workers at once.
+PASS_BYTES = 128 << 20
 SHARD_KEYS = 1 << 20
 #: Tokens scored at once.
 BLOCK = 1 << 18
@@ -93,7 +99,7 @@ VALUES = _values()
 
 
 class Filter:
-    """All shards of the Bloom filter, one after the other in ``bits``."""
+    """Shards of the Bloom filter, one after the other in ``bits``; an n-gram of another shard has level 0."""
 
     def __init__(self, parts: list[tuple[int, bytes]], shift: int):
         sizes = np.zeros(1 << shift, np.int64)
@@ -108,9 +114,13 @@ class Filter:
             self.bits[a:a + len(data)] = np.frombuffer(data, np.uint8)
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Dequantised counts: levels are probed until one is missing."""
+        """Dequantised counts."""
+        return VALUES[self.levels(keys)]
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels are probed until one is missing."""
         if len(keys) > BLOCK:
-            return np.concatenate([self.counts(keys[i:i + BLOCK]) for i in range(0, len(keys), BLOCK)])
+            return np.concatenate([self.levels(keys[i:i + BLOCK]) for i in range(0, len(keys), BLOCK)])
         level = np.zeros(len(keys), np.int64)
         shard = shard_of(keys, self.shift)
         at, size = self.at[shard], self.size[shard]
@@ -125,7 +135,7 @@ class Filter:
                 hit &= (self.bits[p >> U(3)] >> (p & U(7)).astype(np.uint8)) & 1 > 0
             live = live[hit]
             level[live] = n
-        return VALUES[level]
+        return level
 
 
 def shard_of(keys: np.ndarray, shift: int) -> np.ndarray:
@@ -139,10 +149,12 @@ def positions(keys: np.ndarray, level, size: np.ndarray) -> list[np.ndarray]:
     return [(a + U(j) * b) % size for j in range(PROBES)]
 
 
-def shard_bits(keys: np.ndarray, counts: np.ndarray, max_bytes: int) -> bytes:
-    """One shard's part of the filter from distinct keys and their counts."""
+def shard_bits(keys: np.ndarray, counts: np.ndarray, max_bytes: int | None = None) -> bytes:
+    """One shard's part of the filter from distinct keys and their counts: ``BITS`` for each level."""
     q = levels(counts)
-    size = min(int(q.sum()) * BITS // 8 + 8, max(8, max_bytes))
+    size = int(q.sum()) * BITS // 8 + 8
+    if max_bytes is not None:
+        size = min(size, max(8, max_bytes))
     bits = np.zeros(size * 8, bool)
     k = np.repeat(keys, q)
     n = np.arange(len(k)) - np.repeat(np.cumsum(q) - q, q) + 1
@@ -282,8 +294,8 @@ def rounded(keys: np.ndarray, shift: int) -> np.ndarray:
     return keys >> U(drop) << U(drop)
 
 
-def build_filter(packed: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> Filter:
-    """The filter of the training texts of all chunks."""
+def build_filter(packed: DataFrame) -> tuple[DataFrame, int]:
+    """The filter of the training texts of all chunks, ``(shard, bits)`` in the shared folder, and the bits that name a shard."""
     tokens = packed.agg(F.sum("n_tokens")).first()[0] or 0
     shift = max(0, math.ceil(math.log2(max(1, tokens) / SHARD_KEYS)))
 
@@ -294,7 +306,7 @@ def build_filter(packed: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> Filter
             k, c = np.concatenate(keys), np.concatenate(counts)
             distinct, inverse = np.unique(k, return_inverse=True)
             total = np.bincount(inverse, c).astype(np.int64)
-            return batch(("shard", pa.array([last], pa.int32())), ("bits", pa.array([shard_bits(distinct, total, max_bytes >> shift)], pa.binary())))
+            return batch(("shard", pa.array([last], pa.int32())), ("bits", pa.array([shard_bits(distinct, total)], pa.binary())))
 
         for b in batches:
             for i in range(b.num_rows):
@@ -310,17 +322,95 @@ def build_filter(packed: DataFrame, max_bytes: int = MAX_FILTER_BYTES) -> Filter
 
     n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = gram_blocks(packed, shift).repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, bits binary")
-    got = stored(parts, "lm-filter").toArrow()  # at most max_bytes
+    return stored(parts, "lm-filter"), shift
+
+
+def passes(parts: DataFrame, pass_bytes: int) -> list[tuple[int, int]]:
+    """Runs ``[first, end)`` of shards whose parts take up to ``pass_bytes`` together (a larger shard is a run of its own)."""
+    sizes = sorted(tuple(r) for r in parts.select("shard", F.octet_length("bits")).collect())
+    runs, size = [], 0
+    for shard, n in sizes:
+        if not runs or size + n > pass_bytes:
+            runs.append((shard, shard + 1))
+            size = 0
+        runs[-1] = (runs[-1][0], shard + 1)
+        size += n
+    return runs
+
+
+def loaded(parts: DataFrame, shift: int, run: tuple[int, int]) -> Filter:
+    """The filter of one run of shards."""
+    got = parts.where(F.col("shard").between(run[0], run[1] - 1)).toArrow()
     return Filter(list(zip(got.column("shard").to_pylist(), got.column("bits").to_pylist())), shift)
 
 
+def pass_levels(packed: DataFrame, filt: Broadcast, run: tuple[int, int]) -> DataFrame:
+    """``(chunk, first, end, levels)``: levels of a chunk's words, then of its pairs, that belong to one run of shards."""
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        f: Filter = filt.value
+        for b in batches:
+            for i in range(b.num_rows):
+                hashes = np.frombuffer(b.column(3)[i].as_py(), np.uint64)
+                word, before, _ = _unpacked(b.column(2)[i].as_py(), b.column(1)[i].values.to_numpy().astype(np.int64))
+                found = []
+                for keys in _key_blocks(hashes, word, before, f.shift):
+                    found.append(f.levels(keys[_inside(keys, f.shift, run)]).astype(np.uint8))
+                yield batch(("chunk", b.column(0).slice(i, 1)), ("first", pa.array([run[0]], pa.int32())),
+                            ("end", pa.array([run[1]], pa.int32())),
+                            ("levels", pa.array([zstandard.compress(np.concatenate(found).tobytes(), 1)], pa.binary())))
+
+    return packed.select("chunk", "n_words", "numbers", "hashes").mapInArrow(
+        probe, "chunk bigint, first int, end int, levels binary")
+
+
+def _key_blocks(hashes: np.ndarray, word: np.ndarray, before: np.ndarray, shift: int) -> Iterator[np.ndarray]:
+    """Keys of the words of a chunk, and then of its pairs, ``BLOCK`` tokens at a time."""
+    yield rounded(_mix(hashes, 1), shift)
+    for a in range(0, len(word), BLOCK):
+        yield rounded(pair_keys(hashes[before[a:a + BLOCK]], hashes[word[a:a + BLOCK]]), shift)
+
+
+def _inside(keys: np.ndarray, shift: int, run: tuple[int, int]) -> np.ndarray:
+    shard = shard_of(keys, shift)
+    return (shard >= run[0]) & (shard < run[1])
+
+
+class Levels:
+    """Reads the levels of one chunk's keys back, in the order in which the passes wrote them."""
+
+    def __init__(self, found: list[dict], shift: int):
+        import zstandard
+        self.shift = shift
+        self.runs = [((x["first"], x["end"]), np.frombuffer(zstandard.decompress(x["levels"]), np.uint8)) for x in found]
+        self.read = [0] * len(self.runs)
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        level = np.zeros(len(keys), np.uint8)
+        for j, (run, values) in enumerate(self.runs):
+            at = np.flatnonzero(_inside(keys, self.shift, run))
+            level[at] = values[self.read[j]:self.read[j] + len(at)]
+            self.read[j] += len(at)
+        return VALUES[level]
+
+
 def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
-             max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+             pass_bytes: int = PASS_BYTES) -> DataFrame:
     """``(id, n_tokens, n_known, train_tokens, base_score, score)``; rows where ``train`` is true are learned from."""
     x = docs.select(F.col(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"))
     packed = stored(chunks(x), "lm-chunks")
-    spark = docs.sparkSession
-    filt = spark.sparkContext.broadcast(build_filter(packed, max_filter_bytes))
+    sc = docs.sparkSession.sparkContext
+    parts, shift = build_filter(packed)
+    runs = passes(parts, pass_bytes)
+    filt, found = None, []
+    if len(runs) < 2:
+        filt = sc.broadcast(loaded(parts, shift, runs[0]) if runs else Filter([], shift))
+    else:
+        for one_run in runs:
+            sent = sc.broadcast(loaded(parts, shift, one_run))
+            found.append(stored(pass_levels(packed, sent, one_run), "lm-levels"))
+            sent.destroy()
     words = packed.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
         "chunk", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     # a word has one row per chunk: its count is summed where these rows meet, and one of them names it
@@ -331,13 +421,17 @@ def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
                                               F.count_if("first").alias("types")), "lm-counts")
     types = exact.agg(F.sum("types")).first()[0] or 0
     sums = packed.select(F.aggregate("counts", F.lit(0).cast("long"), lambda a, v: a + v).alias("n")).agg(F.sum("n")).first()[0] or 0
-    rows = packed.select("chunk", "ids", "n_words", "numbers", "hashes").join(exact, "chunk", "left").select(
-        "ids", "n_words", "numbers", "hashes", "known_at", "known")
+    rows = packed.select("chunk", "ids", "n_words", "numbers", "hashes").join(exact, "chunk", "left")
+    columns = ["ids", "n_words", "numbers", "hashes", "known_at", "known"]
+    if found:
+        every = reduce(DataFrame.unionByName, found).groupBy("chunk").agg(
+            F.collect_list(F.struct("first", "end", "levels")).alias("found"))
+        rows, columns = rows.join(every, "chunk", "left"), [*columns, "found"]
+    rows = rows.select(columns)
     schema = T.StructType([T.StructField("id", x.schema["id"].dataType), *T._parse_datatype_string(
         "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f: Filter = filt.value
         floor = math.log10(sums + types + 1)
         for b in batches:
             for i in range(b.num_rows):
@@ -348,13 +442,15 @@ def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
                     true[b.column(4)[i].values.to_numpy()] = b.column(5)[i].values.to_numpy()
                 word, before, doc = _unpacked(b.column(2)[i].as_py(), n_words)
                 n = len(n_words)
-                one = f.counts(rounded(_mix(hashes, 1), f.shift))
+                f = filt.value if filt is not None else Levels(b.column(6)[i].as_py(), shift)
+                keys = _key_blocks(hashes, word, before, shift)
+                one = f.counts(next(keys))
                 alone = (one + 1) / (sums + types + 1)
                 base, known, score = np.log10(true + 1) - floor, np.zeros(n), np.zeros(n)
                 total = np.zeros(n)
                 for a in range(0, len(word), BLOCK):
                     w, h, d = word[a:a + BLOCK], before[a:a + BLOCK], doc[a:a + BLOCK]
-                    pair = f.counts(rounded(pair_keys(hashes[h], hashes[w]), f.shift))
+                    pair = f.counts(next(keys))
                     past = np.maximum(one[h], pair)
                     k = np.maximum(past, 1) ** VARIETY
                     p = np.minimum((pair + k * alone[w]) / (past + k), 1.0)

@@ -117,6 +117,34 @@ def test_bloom_filter_counts():
     assert (lm_score.Filter([(0, small)], 0).counts(keys) > 0).all()
 
 
+def test_filter_grows_and_is_read_in_passes(spark, docs):
+    """The filter keeps BITS bits a level in parts of any size, and the scores do not depend on the passes."""
+    df = table(spark, SF, "documents")
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    cols = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    read = lambda x: {r.id: tuple(r[c] for c in cols) for r in x.collect()}
+    whole = read(lm_score.lm_score(df, train))
+    old = lm_score.SHARD_KEYS
+    lm_score.SHARD_KEYS = 1 << 12  # as many shards as a larger corpus has
+    try:
+        packed = lm_score.stored(lm_score.chunks(df.select(F.col("doc_id").alias("id"), train.alias("train"), "text")), "test")
+        parts, shift = lm_score.build_filter(packed)
+        total = sum(len(r.bits) for r in parts.collect())
+        runs = lm_score.passes(parts, total // 4)
+        assert shift > 2 and len(runs) > 3 and runs[0][0] == 0 and all(a[1] <= b[0] for a, b in zip(runs, runs[1:]))
+        one = lm_score.loaded(parts, shift, (0, 1 << shift))
+        unseen = np.random.default_rng(3).integers(0, 2**64, 20_000, dtype=np.uint64)
+        assert (one.counts(unseen) > 0).mean() < 0.015
+        single, many = (read(lm_score.lm_score(df, train, pass_bytes=n)) for n in (total + 1, total // 4))
+    finally:
+        lm_score.SHARD_KEYS = old
+    assert set(whole) == set(single) == set(many) == {d[0] for d in docs}
+    for i, row in single.items():
+        assert many[i][:3] == row[:3] == whole[i][:3] and math.isclose(many[i][3], row[3], rel_tol=1e-9)
+        assert math.isclose(many[i][4], row[4], rel_tol=1e-9)
+        assert math.isclose(whole[i][4], row[4], rel_tol=0.1, abs_tol=0.5)
+
+
 def brute_repeats(rows, length):
     c = Counter()
     for _, t in rows:
