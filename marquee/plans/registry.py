@@ -42,9 +42,6 @@ def _data(spark: SparkSession, sf_dir: str):
     return _ratings(spark, sf_dir), TD.movies(spark, sf_dir)
 
 
-#: New users with at most this many accepted answers are the targets of the refreshed model.
-NEW_USER_ANSWERS = 5
-
 #: Largest residual of the normal equations per rating (single precision factors).
 ALS_TOLERANCE = 1e-4
 
@@ -139,8 +136,9 @@ def o12_als_requests(spark, sf_dir):
 
 
 def o13_als_top20(spark, sf_dir):
+    """Every user who has ratings."""
     r, m, model = _model(spark, sf_dir)
-    return FA.top_for_users(model, light_users(r), m)
+    return FA.top_for_users(model, r.select("userId"), m)
 
 
 def o13_als_top20_unseen(spark, sf_dir):
@@ -278,10 +276,11 @@ def o26_content_report(spark, sf_dir):
 
 
 def o27_refresh_top20(spark, sf_dir):
+    """Every new user with accepted answers."""
     r, m = _data(spark, sf_dir)
     new = FB.accepted_ratings(_answers(spark, sf_dir))
     _, model = FA.refresh(r, new)
-    return FA.top_for_users(model, light_users(new, NEW_USER_ANSWERS), m)
+    return FA.top_for_users(model, new.select("userId"), m)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

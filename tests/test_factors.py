@@ -127,3 +127,16 @@ def test_top_n_may_include_rated_movies(spark):
     model = FA.train_als(r)
     top = FA.top_for_users(model, spark.createDataFrame([(0,)], "userId long"), m, n=5).collect()
     assert len(top) == 5
+
+
+def test_top20_plans_cover_all_their_users(spark):
+    """O13 lists every user with ratings, O27 every new user with accepted answers."""
+    from marquee.operators import feedback
+    from marquee.plans import registry
+    from marquee.sources import testdata
+
+    folder = "/root/testdata/sf0.001"
+    users = lambda df: {r.userId for r in df.select("userId").distinct().collect()}
+    assert users(registry.o13_als_top20(spark, folder)) == users(testdata.ratings(spark, folder))
+    new = users(feedback.accepted_ratings(testdata.answers(spark, folder)))
+    assert new and users(registry.o27_refresh_top20(spark, folder)) == new
