@@ -4,7 +4,7 @@ Texts become sequences of tokens (numbers or runs of letters) in which numbers,
 names and units (after a number) are replaced by typed placeholders; the rest is
 lower-cased.  Which capitalised words are names cannot be told for sure, so
 every window of ``WINDOW`` tokens has a form per entry of ``VARIANTS``: without
-names, and with those inside a sentence.
+names, with those inside a sentence, and with every capitalised word as one.
 
 Seeds: hashes of the item's windows are joined with those of the documents.
 A window form with fewer than ``MIN_LITERAL`` plain words is too common to be
@@ -48,7 +48,7 @@ UNITS = ("kg", "g", "mg", "lb", "lbs", "oz", "tons", "ton", "km", "m", "cm", "mm
 MARK = "\x01"
 NUMBER, NAME, START, UNIT = MARK + "d", MARK + "n", MARK + "s", MARK + "u"
 #: The placeholders that stand as a name in each form of a window; the others of these two stay words.
-VARIANTS = ((), (NAME,))
+VARIANTS = ((), (NAME,), (NAME, START))
 
 _NUMBER = r"\p{Nd}+(?:[.,:/]\p{Nd}+)*"
 _LETTERS = r"[\p{L}\p{M}]"

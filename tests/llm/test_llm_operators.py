@@ -344,6 +344,31 @@ def test_decontamination_finds_planted_items(spark, docs):
     assert want <= got and len(got - want) <= 0.05 * len(want) + 1
 
 
+COPIED = ["What is 12 * 5 + 30 - 4 * 2 + 9?", "Solve for x: 3x + 7 = 22, 5x - 4 = 21 and 2x + 9 = 19.",
+          "What is 17 times 23?", "What is the capital of the northern province called today?"]
+TOM = "Tom has 5 apples. Tom eats 2 apples. How many apples does Tom have?"
+
+
+def test_decontamination_finds_copies_and_renamed_starts(spark):
+    """Number-dense, short and starting-with-a-capital items, and names that start sentences."""
+    sara = TOM.replace("Tom", "Sara").replace("5", "7").replace("2", "3")
+    n = [len(re.findall(r"[^\W\d_]+|\d+", t)) for t in (*COPIED, TOM)]
+    texts, want = {}, set()
+    for k, t in enumerate(COPIED):
+        for text in (t, "some running text before " + t + " and 3 words after", "A line.\n" + t.upper(), t.lower()):
+            want.add((len(texts), k, n[k], n[k]))
+            texts[len(texts)] = text
+        if n[k] < decontaminate.MIN_COVER + 1:  # of these every token is asked for
+            texts[len(texts)] = "some running text before " + " ".join(t.split()[:-2])
+    for text in (sara, "and so " + sara, 'She said: "' + sara + '"', TOM.lower(), TOM.upper()):
+        want.add((len(texts), 4, n[4], n[4]))
+        texts[len(texts)] = text
+    texts[len(texts)] = sara.replace("Sara eats", "Peter eats")  # one name became two
+    b = spark.createDataFrame(list(enumerate((*COPIED, TOM))), "item_id long, text string")
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {(r.id, r.item, r.item_tokens, r.covered) for r in decontaminate.leaks(d, b).collect()} == want
+
+
 def test_canonical_tokens_align(spark, docs):
     df = spark.createDataFrame([(t,) for _, t, _ in docs] + [("Don't pay 3.5kg, 7,000 or 5 Km to Mr. Élan\x01d x",)], "t string")
     bad = df.where(F.size(decontaminate.tokens(F.col("t"))) != F.size(decontaminate.canonical_tokens(F.col("t"))))
