@@ -5,6 +5,8 @@ from __future__ import annotations
 from marquee.llm.chat_format import CONTROL, END, ENTITIES, START
 from marquee.llm.line_dedup import MIN_SITES, MIN_WORDS
 from marquee.llm.quality_rules import HOST_LIMIT, MAX_DUP_LINE_RATIO, MAX_SYMBOL_RATIO, RULES
+from marquee.llm.queries import JUNK_LEAST, JUNK_RUNS, URL_RULES
+from marquee.llm.url_filter import MIRRORS, TRACKING, rule_order
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -93,4 +95,34 @@ select ls.doc_id, case when ls.l is null then null else coalesce(kept.n, 1) end
 from ls left join kept on ls.doc_id = kept.doc_id left join cnt on ls.doc_id = cnt.doc_id
 """
 
-ORACLE = {"op7_quality_rules": OP7, "op8_line_dedup": OP8, "op9_chat_format": OP9}
+_TRACKS = " or ".join(f"starts_with(split_part(q, '=', 1), '{t[:-1]}')" if t.endswith("*") else f"split_part(q, '=', 1) = '{t}'"
+                      for t in TRACKING)
+
+
+def _case(value: int) -> str:
+    return "case " + " ".join(
+        f"when (host = '{r[1]}' or ends_with(host, '.{r[1]}')) and starts_with(path, '{r[2]}') then '{r[value]}'"
+        for r in rule_order(URL_RULES)) + " end"
+
+
+OP11 = rf"""
+with a as (select page_id, html, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+p as (
+  select page_id, html,
+    translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1), '&'),
+      lambda q: not (q = '' or {_TRACKS}))), '&') as query from a),
+c as materialized (
+  select page_id, html, host, path, {_case(0)} as rule, {_case(3)} as says,
+    case when host <> '' then
+      regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^({"|".join(m.replace(".", "[.]") for m in MIRRORS)})', '')
+      || regexp_replace(regexp_replace(regexp_replace(path, '/index[.]html$', '/'), '[.]html$', ''), '/+$', '')
+      || case when query <> '' then '?' || query else '' end end as canonical from p),
+bad as (select distinct canonical from c where canonical is not null and len(regexp_extract_all(html, '{JUNK_RUNS}')) >= {JUNK_LEAST})
+select page_id, host, path, rule, coalesce(says, case when b.canonical is not null then 'block' else 'allow' end) as verdict,
+  c.canonical, rule is null and b.canonical is not null as listed
+from c left join bad b on c.canonical = b.canonical
+"""
+
+ORACLE = {"op11_url_filter": OP11, "op7_quality_rules": OP7, "op8_line_dedup": OP8, "op9_chat_format": OP9}

@@ -20,6 +20,7 @@ from marquee.llm import quality_rules as Q
 from marquee.llm import simhash as S
 from marquee.llm import suffix_dedup as R
 from marquee.llm import token_shards as K
+from marquee.llm import url_filter as U
 from marquee.llm.common import new_folder, table
 
 #: The vocabulary file of the contract; a parameter of the operators.
@@ -104,6 +105,18 @@ def op9_chat_format(spark, sf_dir):
     return C.digests(C.format_chat(turns))
 
 
+#: The rules of the contract.
+URL_RULES = (("net/", U.BLOCK), ("example.net/en/", U.ALLOW), ("example.com/de/", U.BLOCK), ("org/fr/", U.ALLOW))
+#: A page is junk, and its address listed, if runs of three equal symbols stand in its markup this often.
+JUNK_RUNS, JUNK_LEAST = r"\*{3}|%{3}|\${3}|#{3}", 20
+
+
+def op11_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    x = U.url_filter(pages, U.junk_urls(pages, JUNK_RUNS, JUNK_LEAST), URL_RULES)
+    return x.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", F.col("key").alias("canonical"), "listed")
+
+
 def queries():
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
