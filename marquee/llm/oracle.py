@@ -125,4 +125,22 @@ select page_id, host, path, rule, coalesce(says, case when b.canonical is not nu
 from c left join bad b on c.canonical = b.canonical
 """
 
-ORACLE = {"op11_url_filter": OP11, "op7_quality_rules": OP7, "op8_line_dedup": OP8, "op9_chat_format": OP9}
+OP13 = """
+with r as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as materialized (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_inner_product(a.q, c.q)::bigint as score
+  from r a join r c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id),
+pos as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, row_number() over w::int as rank, s.vec_id as negative_id, positive_score, s.score as negative_score
+from pos join s using (anchor_id)
+where not same and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+window w as (partition by anchor_id, positive_id order by s.score desc, s.vec_id) qualify row_number() over w <= 3
+"""
+
+ORACLE = {"op13_hard_negatives": OP13, "op11_url_filter": OP11, "op7_quality_rules": OP7, "op8_line_dedup": OP8, "op9_chat_format": OP9}

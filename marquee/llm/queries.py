@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from marquee.llm import bpe as B
 from marquee.llm import chat_format as C
 from marquee.llm import decontaminate as D
+from marquee.llm import hard_negatives as H
 from marquee.llm import language_id as I
 from marquee.llm import line_dedup as L
 from marquee.llm import lm_score as M
@@ -117,6 +118,12 @@ def op11_url_filter(spark, sf_dir):
     return x.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", F.col("key").alias("canonical"), "listed")
 
 
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return H.hard_negatives(rows.withColumn("label", noisy), F.col("id") % 50 == 0)
+
+
 def queries():
     found = {n: f for n, f in globals().items() if n.startswith("op") and n[2].isdigit()}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
