@@ -125,6 +125,51 @@ select page_id, host, path, rule, coalesce(says, case when b.canonical is not nu
 from c left join bad b on c.canonical = b.canonical
 """
 
+def _leaf(n_chars: str) -> str:
+    return "sha256(concat(" + ", ".join(
+        f"case when {c} is null then '-' else concat(strlen({c}::varchar), ':', {c}::varchar) end"
+        for c in ("doc_id", "source", "lang", n_chars, "text")) + "))"
+
+
+# crc32 bit by bit: 0xEDB88320 is its reversed polynomial
+_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''),
+    lambda c: list_transform(range(8), lambda i: (ascii(c) >> i) & 1)))),
+  lambda a, b: case when xor(a, b) & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end), 4294967295::bigint)"""
+
+OP12 = f"""
+with recursive d as materialized (
+  select lang, doc_id, {_leaf("n_chars")} as leaf,
+    case when {_CRC} % 7 = 0 then {_leaf("(n_chars::hugeint + 1)")} else {_leaf("n_chars")} end as claimed from documents),
+l as materialized (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as idx, count(*) over (partition by lang) as n from d),
+t as (
+  select 0 as lv, lang, idx, leaf as h, n as w from l
+  union all
+  select lv + 1, lang, idx // 2, sha256(string_agg(h, '' order by idx)), any_value((w + 1) // 2) from t where w > 1 group by lv, lang, idx // 2),
+subs as materialized (
+  select lang, h as subroot, lv as top, row_number() over (order by encode(lang) nulls first) - 1 as place, count(*) over () as n
+  from t where w = 1),
+u as (
+  select 0 as lv, place as idx, subroot as h, n as w from subs
+  union all
+  select lv + 1, idx // 2, sha256(string_agg(h, '' order by idx)), any_value((w + 1) // 2) from u where w > 1 group by lv, idx // 2),
+p as (
+  select l.doc_id, l.lang, l.idx as seat, l.claimed, l.leaf, 0 as lv, l.idx, l.claimed as h, '' as proof, subs.top, subs.subroot, subs.place
+  from l join subs on l.lang is not distinct from subs.lang
+  union all
+  select p.doc_id, p.lang, p.seat, p.claimed, p.leaf, p.lv + 1, p.idx // 2,
+    sha256(case when p.idx % 2 = 1 then concat(s.h, p.h) else concat(p.h, s.h) end), concat(p.proof, s.h), p.top, p.subroot, p.place
+  from p left join t s on s.lang is not distinct from p.lang and s.lv = p.lv and s.idx = xor(p.idx, 1) where p.lv < p.top),
+q as (
+  select doc_id, lang, seat, leaf, subroot, 0 as lv, place as idx, h, proof from p where lv = top
+  union all
+  select q.doc_id, q.lang, q.seat, q.leaf, q.subroot, q.lv + 1, q.idx // 2,
+    sha256(case when q.idx % 2 = 1 then concat(s.h, q.h) else concat(q.h, s.h) end), concat(q.proof, s.h)
+  from q left join u s on s.lv = q.lv and s.idx = xor(q.idx, 1) where q.lv < (select max(lv) from u))
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, q.h as folded_root, q.h = root as verified
+from q, (select h as root, lv as peak from u where w = 1) r where q.lv = r.peak
+"""
+
 OP13 = """
 with r as materialized (
   select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
@@ -143,4 +188,4 @@ where not same and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95
 window w as (partition by anchor_id, positive_id order by s.score desc, s.vec_id) qualify row_number() over w <= 3
 """
 
-ORACLE = {"op13_hard_negatives": OP13, "op11_url_filter": OP11, "op7_quality_rules": OP7, "op8_line_dedup": OP8, "op9_chat_format": OP9}
+ORACLE = {"op12_merkle_manifest": OP12, "op13_hard_negatives": OP13, "op11_url_filter": OP11, "op7_quality_rules": OP7, "op8_line_dedup": OP8, "op9_chat_format": OP9}

@@ -17,6 +17,7 @@ from marquee.llm import hard_negatives as H
 from marquee.llm import language_id as I
 from marquee.llm import line_dedup as L
 from marquee.llm import lm_score as M
+from marquee.llm import merkle as T
 from marquee.llm import quality_rules as Q
 from marquee.llm import simhash as S
 from marquee.llm import suffix_dedup as R
@@ -118,6 +119,18 @@ def op11_url_filter(spark, sf_dir):
     return x.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", F.col("key").alias("canonical"), "listed")
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("decimal(20,0)")
+    forged = F.coalesce(_remainder(7) == 0, F.lit(False)) & F.col("n_chars").isNotNull()
+    leaf = T.leaf_hash(fields)
+    claimed = F.when(forged, T.leaf_hash(fields[:3] + [more] + fields[4:])).otherwise(F.col("leaf"))
+    leaves = docs.withColumn("leaf", leaf).select(
+        F.col("lang").alias("group"), F.col("doc_id").alias("id"), "leaf", claimed.alias("claimed"))
+    return T.manifest(leaves).withColumnRenamed("id", "doc_id")
+
+
 def op13_hard_negatives(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
     noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
