@@ -12,7 +12,7 @@ the input (tested within a tolerance), so no shuffle is spent on ordering it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
@@ -22,6 +22,7 @@ from marquee.functions.ranking import dense_index, top_k
 from marquee.functions.targets import restrict_to
 from marquee.operators.feedback import append_ratings
 from marquee.operators.popularity import attach_titles
+from marquee.operators.topk import best_products, item_blocks
 from marquee.schema import ALS_MAX_ITER, ALS_RANK, ALS_REG_PARAM, DEFAULT_SEED, N_RECOMMENDATIONS
 from marquee.session import CHECKPOINT_CONF, checkpoint_dir
 
@@ -35,6 +36,7 @@ class Als:
     model: ALSModel
     users: DataFrame
     items: DataFrame
+    _blocks: list[DataFrame] = field(default_factory=list)
 
     def user_factors(self) -> DataFrame:
         """``(userId, features)``."""
@@ -44,6 +46,12 @@ class Als:
         """``(movieId, features)``."""
         return self.model.itemFactors.withColumnRenamed("id", ITEM).join(self.items, ITEM).select("movieId", "features")
 
+    def item_blocks(self) -> DataFrame:
+        """The item factors as packed blocks by norm, made once for a model."""
+        if not self._blocks:
+            self._blocks.append(item_blocks(self.item_factors().withColumnRenamed("movieId", "item"), "als-item-blocks"))
+        return self._blocks[0]
+
     def scored(self, pairs: DataFrame) -> DataFrame:
         """``pairs`` with a ``prediction``; pairs of an unknown user or movie give no row."""
         x = pairs.join(self.users, "userId").join(self.items, "movieId")
@@ -94,30 +102,30 @@ def score_requests(model: Als, requests: DataFrame, movies: DataFrame) -> DataFr
 def top_for_users(model: Als, users: DataFrame | None, movies: DataFrame, n: int = N_RECOMMENDATIONS,
                   seen: DataFrame | None = None) -> DataFrame:
     """The ``n`` highest predicted movies per user ``(userId, rank, movieId,
-    title, score)``.
+    title, score)``, ties by the smaller movie id.
 
-    Spark ML scores each target against every movie, so ``users`` is meant to be
-    a set of targets; ``users=None`` scores every user of the model.  Movies the
-    user already rated are not excluded (as in the original) unless ``seen``
-    gives the ratings: then as many more movies are ranked as the targets' largest
-    number of seen ones (one small aggregation job), and the seen ones drop out.
+    ``users=None`` takes every user of the model.  Only the blocks of movies whose norms allow a
+    score above the user's n-th best so far are scored (``operators.topk``).  Movies the user already rated are not
+    excluded (as in the original) unless ``seen`` gives the ratings: then a user with s seen
+    movies looks for the n + s best, and the seen ones drop out.
     """
-    more = 0
-    targets = model.users if users is None else users.select("userId").distinct().join(model.users, "userId")
+    factors = model.user_factors()
+    if users is not None:
+        factors = restrict_to(factors, users.select("userId"))
+    top = F.lit(n)
     if seen is not None:
-        seen = restrict_to(seen.select("userId", "movieId"), targets.select("userId")).distinct()
-        more = seen.groupBy("userId").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if users is None:
-        recs = model.model.recommendForAllUsers(n + more)
-    else:
-        recs = model.model.recommendForUserSubset(targets.select(USER), n + more)
-    flat = recs.select(USER, F.posexplode("recommendations").alias("pos", "r")).select(
-        USER, (F.col("pos") + 1).alias("rank"), F.col(f"r.{ITEM}").alias(ITEM), F.col("r.rating").alias("score"))
-    flat = flat.join(model.users, USER).join(model.items, ITEM)
+        seen = restrict_to(seen.select("userId", "movieId"), factors.select("userId")).distinct()
+        counts = seen.groupBy("userId").agg(F.count(F.lit(1)).alias("_seen"))
+        factors = factors.join(counts, "userId", "left")
+        top = F.lit(n) + F.coalesce("_seen", F.lit(0))
+    items = model.item_factors().withColumnRenamed("movieId", "item")
+    found = best_products(factors.select(F.col("userId").alias("user"), "features", top.alias("top")), items, model.item_blocks())
+    kinds = model.users.schema["userId"].dataType, model.items.schema["movieId"].dataType
+    found = found.select(F.col("user").cast(kinds[0]).alias("userId"), F.col("item").cast(kinds[1]).alias("movieId"), "score")
     if seen is not None:
-        kept = flat.join(seen, ["userId", "movieId"], "left_anti").drop("rank")
-        flat = top_k(kept, ["userId"], [F.col("score").desc(), F.col("movieId").asc()], n)
-    return attach_titles(flat, movies).select("userId", "rank", "movieId", "title", "score")
+        found = found.join(seen, ["userId", "movieId"], "left_anti")
+    best = top_k(found, ["userId"], [F.col("score").desc(), F.col("movieId").asc()], n)
+    return attach_titles(best, movies).select("userId", "rank", "movieId", "title", "score")
 
 
 def mean_squared_error(scored: DataFrame) -> DataFrame:
