@@ -1,9 +1,8 @@
 """Latent-factor model (Spark ML ALS), scoring and evaluation.
 
-Spark ML's ALS takes 32-bit ids only.  Users and movies are therefore numbered
-densely, each side by a distributed count over its distinct ids, and ``Als``
-keeps both numberings: ids of any integral type and size go in and come back
-unchanged.
+Spark ML's ALS takes 32-bit ids only.  Ids whose range fits are shifted to begin at
+0 (``Numbering``); wider ones are numbered densely by a distributed count over the
+distinct ids.  Either way ids of any integral type and size go in and come back unchanged.
 
 With the seed, a refit on the same ratings gives the same factors up to the
 order in which Spark sums floating-point numbers, whatever the partitioning of
@@ -12,11 +11,13 @@ the input (tested within a tolerance), so no shuffle is spent on ordering it.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from marquee.functions.ranking import dense_index, top_k
 from marquee.functions.targets import restrict_to
@@ -25,37 +26,97 @@ from marquee.operators.popularity import attach_titles
 from marquee.operators.topk import best_products, item_blocks
 from marquee.schema import ALS_MAX_ITER, ALS_RANK, ALS_REG_PARAM, DEFAULT_SEED, N_RECOMMENDATIONS
 from marquee.session import CHECKPOINT_CONF, checkpoint_dir
+from marquee.sources.tables import materialize
 
 USER, ITEM = "_user", "_item"
 
 
+@dataclass
+class Numbering:
+    """32-bit numbers for the ids of one column: ``id - first``, or those of ``table (col, index)``."""
+
+    col: str
+    index: str
+    kind: DataType
+    first: int | None = None
+    table: DataFrame | None = None
+
+    @classmethod
+    def of(cls, ids: DataFrame, *names: tuple[str, str]) -> list["Numbering"]:
+        """One numbering for each ``(col, index)``."""
+        ends = ids.agg(*[f(c) for c, _ in names for f in (F.min, F.max)]).first()
+        out = []
+        for i, (col, index) in enumerate(names):
+            low, high, kind = ends[2 * i], ends[2 * i + 1], ids.schema[col].dataType
+            if low is None or high - low < 1 << 31:
+                out.append(cls(col, index, kind, first=low or 0))
+            else:
+                distinct = materialize(ids.select(col).distinct(), f"als-{col}-ids")
+                out.append(cls(col, index, kind, table=materialize(dense_index(distinct, col, index), f"als-{col}-numbers")))
+        return out
+
+    def encode(self, df: DataFrame) -> DataFrame:
+        """``df`` with the number of each id; rows with a null id (or one that is not in the table) drop out."""
+        if self.table is not None:
+            return df.join(self.table, self.col)
+        return df.where(F.col(self.col).isNotNull()).withColumn(
+            self.index, (F.col(self.col).cast("long") - F.lit(self.first).cast("long")).cast("int"))
+
+    def decode(self, df: DataFrame) -> DataFrame:
+        """``df`` with the id of each number."""
+        if self.table is not None:
+            return df.join(self.table, self.index)
+        return df.withColumn(self.col, (F.col(self.index).cast("long") + F.lit(self.first).cast("long")).cast(self.kind))
+
+
 @dataclass
 class Als:
-    """A fitted model with the numberings ``(userId, _user)`` and ``(movieId, _item)``."""
+    """A fitted model with the numberings of its users and movies.
+
+    What scoring needs is stored once for a model: the factors by real id and the
+    item blocks (``sources.tables.materialize``; ``release`` frees them).
+    """
 
     model: ALSModel
-    users: DataFrame
-    items: DataFrame
-    _blocks: list[DataFrame] = field(default_factory=list)
+    user_ids: Numbering
+    item_ids: Numbering
+    _kept: dict[str, DataFrame] = field(default_factory=dict)
+    _name: str = field(default_factory=lambda: f"als-{uuid.uuid4().hex[:8]}")
+
+    def _keep(self, name: str, build) -> DataFrame:
+        if name not in self._kept:
+            self._kept[name] = materialize(build(), f"{self._name}-{name}")
+        return self._kept[name]
 
     def user_factors(self) -> DataFrame:
         """``(userId, features)``."""
-        return self.model.userFactors.withColumnRenamed("id", USER).join(self.users, USER).select("userId", "features")
+        return self._keep("users", lambda: self.user_ids.decode(
+            self.model.userFactors.withColumnRenamed("id", USER)).select("userId", "features"))
 
     def item_factors(self) -> DataFrame:
         """``(movieId, features)``."""
-        return self.model.itemFactors.withColumnRenamed("id", ITEM).join(self.items, ITEM).select("movieId", "features")
+        return self._keep("items", lambda: self.item_ids.decode(
+            self.model.itemFactors.withColumnRenamed("id", ITEM)).select("movieId", "features"))
 
     def item_blocks(self) -> DataFrame:
-        """The item factors as packed blocks by norm, made once for a model."""
-        if not self._blocks:
-            self._blocks.append(item_blocks(self.item_factors().withColumnRenamed("movieId", "item"), "als-item-blocks"))
-        return self._blocks[0]
+        """The item factors as packed blocks by norm."""
+        if "blocks" not in self._kept:
+            self._kept["blocks"] = item_blocks(self.item_factors().withColumnRenamed("movieId", "item"), f"{self._name}-blocks")
+        return self._kept["blocks"]
 
     def scored(self, pairs: DataFrame) -> DataFrame:
         """``pairs`` with a ``prediction``; pairs of an unknown user or movie give no row."""
-        x = pairs.join(self.users, "userId").join(self.items, "movieId")
-        return self.model.transform(x).drop(USER, ITEM)
+        x = pairs.join(self.user_factors().withColumnRenamed("features", "_u"), "userId").join(
+            self.item_factors().withColumnRenamed("features", "_v"), "movieId")
+        return x.withColumn("prediction", product(F.col("_u"), F.col("_v"), self.model.rank).cast("float")).drop("_u", "_v")
+
+
+def product(u: Column, v: Column, rank: int) -> Column:
+    """Inner product of two factors, summed in double precision."""
+    out = F.lit(0.0)
+    for i in range(rank):
+        out = out + u[i].cast("double") * v[i].cast("double")
+    return out
 
 
 def _parallelism(spark) -> int:
@@ -76,9 +137,8 @@ def train_als(ratings: DataFrame, *, rank: int = ALS_RANK, max_iter: int = ALS_M
     if spark.conf.get(CHECKPOINT_CONF, None):
         checkpoint_dir(spark)
     parts = blocks or _parallelism(spark)
-    users = dense_index(ratings, "userId", USER)
-    items = dense_index(ratings, "movieId", ITEM)
-    data = ratings.select("userId", "movieId", "rating").join(users, "userId").join(items, "movieId")
+    users, items = Numbering.of(ratings, ("userId", USER), ("movieId", ITEM))
+    data = items.encode(users.encode(ratings.select("userId", "movieId", "rating")))
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, implicitPrefs=False, seed=seed,
               userCol=USER, itemCol=ITEM, ratingCol="rating", coldStartStrategy="drop",
               numUserBlocks=parts, numItemBlocks=parts)
@@ -120,8 +180,8 @@ def top_for_users(model: Als, users: DataFrame | None, movies: DataFrame, n: int
         top = F.lit(n) + F.coalesce("_seen", F.lit(0))
     items = model.item_factors().withColumnRenamed("movieId", "item")
     found = best_products(factors.select(F.col("userId").alias("user"), "features", top.alias("top")), items, model.item_blocks())
-    kinds = model.users.schema["userId"].dataType, model.items.schema["movieId"].dataType
-    found = found.select(F.col("user").cast(kinds[0]).alias("userId"), F.col("item").cast(kinds[1]).alias("movieId"), "score")
+    found = found.select(F.col("user").cast(model.user_ids.kind).alias("userId"),
+                         F.col("item").cast(model.item_ids.kind).alias("movieId"), "score")
     if seen is not None:
         found = found.join(seen, ["userId", "movieId"], "left_anti")
     best = top_k(found, ["userId"], [F.col("score").desc(), F.col("movieId").asc()], n)
@@ -136,8 +196,9 @@ def mean_squared_error(scored: DataFrame) -> DataFrame:
 
 
 def refresh(ratings: DataFrame, new_ratings: DataFrame, **als_kw) -> tuple[DataFrame, Als]:
-    """Append new ratings and retrain; returns ``(ratings, model)``."""
-    updated = append_ratings(ratings, new_ratings)
+    """Append new ratings and retrain; returns ``(ratings, model)``.  The appended
+    ratings are stored, since training reads them twice and the caller goes on with them."""
+    updated = materialize(append_ratings(ratings, new_ratings), "appended-ratings")
     return updated, train_als(updated, **als_kw)
 
 

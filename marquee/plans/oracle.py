@@ -197,8 +197,17 @@ SELECT userId, movieId, rating, "timestamp" FROM rat
 UNION ALL SELECT userId, movieId, rating, CAST(NULL AS BIGINT) FROM acc""",
     "o10_als_check": _with(_RAT) + "SELECT userId, count(*) AS n_ratings, true AS solved FROM rat GROUP BY userId",
     "o11_als_check": _with(_RAT) + "SELECT userId, count(*) AS n_scored, true AS sound FROM rat GROUP BY userId",
-    "o13_als_check": _with(_RAT) + f"SELECT userId, CAST(20 AS BIGINT) AS n_items, true AS sound FROM {_LIGHT} u",
+    "o12_als_check": _with(_RAT, _MOV) + """
+SELECT userId, count(*) AS n_requests,
+       md5(string_agg(said, chr(10) ORDER BY said)) AS titles_md5, true AS sound
+FROM (SELECT r.userId, concat(CAST(r.movieId AS VARCHAR), ' ', coalesce(m.title, '')) AS said
+      FROM rat r LEFT JOIN mov m USING (movieId)) x GROUP BY userId""",
+    "o13_als_check": _with(_RAT) + """
+SELECT userId, least(20, (SELECT count(DISTINCT movieId) FROM rat)) AS n_items, true AS sound FROM rat GROUP BY userId""",
     "o14_als_check": _with(_RAT) + "SELECT count(*) AS n, true AS is_mean, true AS beats_mean FROM rat",
+    "o27_refresh_check": _with(_RAT, _ANS) + """
+SELECT userId, count(*) AS n_ratings, true AS solved
+FROM (SELECT userId, movieId FROM rat UNION ALL SELECT userId, movieId FROM acc) x GROUP BY userId""",
     "o15_co_rated": _with(_RAT, _SIM) + "SELECT userId1, movieId, rat1, userId2, rat2 FROM co",
     "o16_user_cosine": _with(_RAT, _SIM) + """
 SELECT userId1, userId2, floor((round((cosineSim) * 1e9) + 500) / 1000) / 1e6 AS cosineSim FROM sim""",

@@ -113,6 +113,12 @@ def _model(spark, sf_dir):
     return r, m, memoize(spark, f"als@{sf_dir}", lambda: FA.train_als(r))
 
 
+def _scored(spark, sf_dir):
+    """Every rating with its prediction, scored once per application and shared by O11, O12 and O14."""
+    r, m, model = _model(spark, sf_dir)
+    return r, m, model, materialize(FA.score_known(model, r), f"scored@{sf_dir}")
+
+
 def o10_als_user_factors(spark, sf_dir):
     _, _, model = _model(spark, sf_dir)
     return model.user_factors()
@@ -126,8 +132,7 @@ def o10_als_check(spark, sf_dir):
 
 
 def o11_als_scored(spark, sf_dir):
-    r, _, model = _model(spark, sf_dir)
-    return FA.score_known(model, r)
+    return _scored(spark, sf_dir)[3]
 
 
 def o12_als_requests(spark, sf_dir):
@@ -147,43 +152,57 @@ def o13_als_top20_unseen(spark, sf_dir):
 
 
 def o13_als_check(spark, sf_dir):
-    """Per target: 20 movies in falling order, each scored by its factors' product."""
+    """Per user: 20 movies in falling order, each scored by its factors' product."""
     r, m, model = _model(spark, sf_dir)
-    top = FA.top_for_users(model, light_users(r), m)
-    x = top.join(model.user_factors().withColumnRenamed("features", "u"), "userId").join(
-        model.item_factors().withColumnRenamed("features", "v"), "movieId")
-    product = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, b: a + b)
+    top = FA.top_for_users(model, None, m)
+    x = _with_product(model, top).withColumn("n", F.row_number().over(Window.partitionBy("userId").orderBy("rank")))
     w = Window.partitionBy("userId").orderBy("rank")
-    x = x.withColumn("ok", (F.abs(product - F.col("score")) < ALS_TOLERANCE)
+    x = x.withColumn("ok", (F.abs(F.col("product") - F.col("score")) < ALS_TOLERANCE) & (F.col("n") == F.col("rank"))
                      & (F.coalesce(F.lag("score").over(w), F.col("score")) >= F.col("score")))
     return x.groupBy("userId").agg(F.count(F.lit(1)).alias("n_items"), F.bool_and("ok").alias("sound"))
 
 
+def _with_product(model, pairs: DataFrame) -> DataFrame:
+    """``pairs`` with ``product``, the product of their factors by higher-order functions (not by the scoring code)."""
+    x = pairs.join(model.user_factors().withColumnRenamed("features", "u"), "userId").join(
+        model.item_factors().withColumnRenamed("features", "v"), "movieId")
+    each = F.zip_with("u", "v", lambda a, b: a.cast("double") * b)
+    return x.withColumn("product", F.aggregate(each, F.lit(0.0), lambda a, b: a + b)).drop("u", "v")
+
+
 def o11_als_check(spark, sf_dir):
     """Per user: every rating has one prediction, and it is the product of the factors."""
-    r, _, model = _model(spark, sf_dir)
-    x = FA.score_known(model, r).join(model.user_factors().withColumnRenamed("features", "u"), "userId").join(
-        model.item_factors().withColumnRenamed("features", "v"), "movieId")
-    product = F.aggregate(F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, b: a + b)
-    return x.groupBy("userId").agg(F.count(F.lit(1)).alias("n_scored"),
-                                   F.bool_and(F.abs(product - F.col("prediction")) < ALS_TOLERANCE).alias("sound"))
+    _, _, model, scored = _scored(spark, sf_dir)
+    return _with_product(model, scored).groupBy("userId").agg(
+        F.count(F.lit(1)).alias("n_scored"),
+        F.bool_and(F.abs(F.col("product") - F.col("prediction")) < ALS_TOLERANCE).alias("sound"))
+
+
+def o12_als_check(spark, sf_dir):
+    """Per user: every request is answered, by the product of its factors and that rounded half up; the titles as one digest."""
+    r, m, model = _model(spark, sf_dir)
+    x = _with_product(model, FA.score_requests(model, r.select("userId", "movieId"), m))
+    p = F.col("product")
+    near = F.abs(p - F.col("prediction")) < ALS_TOLERANCE
+    # a product this close to a half may round either way
+    rounds = (F.col("rounded") == F.floor(p + 0.5)) | (F.abs(p + 0.5 - F.round(p + 0.5)) < ALS_TOLERANCE)
+    said = F.array_join(F.array_sort(F.collect_list(F.concat(F.col("movieId").cast("string"), F.lit(" "), F.coalesce("title", F.lit(""))))), "\n")
+    return x.groupBy("userId").agg(F.count(F.lit(1)).alias("n_requests"), F.md5(said).alias("titles_md5"),
+                                   F.bool_and(near & rounds).alias("sound"))
 
 
 def o14_als_check(spark, sf_dir):
     """The error is the mean of the squared differences of o11, and below the variance of the ratings."""
-    r, _, model = _model(spark, sf_dir)
-    scored = FA.score_known(model, r)
+    r, _, _, scored = _scored(spark, sf_dir)
     by_user = scored.groupBy("userId").agg(F.sum(F.pow(F.col("rating") - F.col("prediction"), 2)).alias("s"))
-    mean = by_user.agg(F.sum("s").alias("s"))
-    spread = r.agg(F.var_pop("rating").alias("v"))
-    x = FA.mean_squared_error(scored).join(F.broadcast(mean), F.lit(True)).join(F.broadcast(spread), F.lit(True))
-    return x.select("n", (F.abs(F.col("s") / F.col("n") - F.col("mse")) < 1e-9).alias("is_mean"),
-                    (F.col("mse") < F.col("v")).alias("beats_mean"))
+    total = by_user.agg(F.sum("s")).scalar()
+    spread = r.agg(F.var_pop("rating")).scalar()
+    return FA.mean_squared_error(scored).select(
+        "n", (F.abs(total / F.col("n") - F.col("mse")) < 1e-9).alias("is_mean"), (F.col("mse") < spread).alias("beats_mean"))
 
 
 def o14_als_mse(spark, sf_dir):
-    r, _, model = _model(spark, sf_dir)
-    return FA.mean_squared_error(FA.score_known(model, r))
+    return FA.mean_squared_error(_scored(spark, sf_dir)[3])
 
 
 def o15_co_rated(spark, sf_dir):
@@ -275,14 +294,27 @@ def o26_content_report(spark, sf_dir):
     return C.content_report(r, m, vocabulary=VOCAB)
 
 
+def _refreshed(spark, sf_dir):
+    """The ratings with the new users' answers and the model trained on them, once per application."""
+    r, m = _data(spark, sf_dir)
+    new = materialize(FB.accepted_ratings(_answers(spark, sf_dir)), f"accepted@{sf_dir}")
+    both, model = memoize(spark, f"als-refreshed@{sf_dir}", lambda: FA.refresh(r, new))
+    return new, m, both, model
+
+
 def o27_refresh_top20(spark, sf_dir):
     """Every new user with accepted answers."""
-    r, m = _data(spark, sf_dir)
-    new = FB.accepted_ratings(_answers(spark, sf_dir))
-    _, model = FA.refresh(r, new)
+    new, m, _, model = _refreshed(spark, sf_dir)
     return FA.top_for_users(model, new.select("userId"), m)
 
 
+def o27_refresh_check(spark, sf_dir):
+    """Per user of the appended ratings, old or new: the normal equations hold for the retrained model."""
+    _, _, both, model = _refreshed(spark, sf_dir)
+    return FA.normal_equation_residuals(model, both).select(
+        "userId", "n_ratings", (F.col("residual") < ALS_TOLERANCE).alias("solved"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "o" and name[1:3].isdigit()
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +27,64 @@ def test_prediction_is_factor_dot_product(fitted):
     assert one.prediction == pytest.approx(sum(a * b for a, b in zip(u, i)), rel=1e-5)
 
 
+def _numpy_als(r, mask, rank, reg, seed, rounds=300):
+    """Alternating least squares with the ratings' count as weight of the penalty, from a random start."""
+    rng = np.random.default_rng(seed)
+    u, v = rng.normal(size=(r.shape[0], rank)), rng.normal(size=(r.shape[1], rank))
+
+    def half(fixed, ratings, there):
+        return np.array([np.linalg.solve(fixed[t].T @ fixed[t] + reg * t.sum() * np.eye(rank), fixed[t].T @ x[t])
+                         for x, t in zip(ratings, there)])
+    for _ in range(rounds):
+        v = half(u, r.T, mask.T)
+        u = half(v, r, mask)
+    error = ((r - u @ v.T) ** 2 * mask).sum()
+    return error + reg * ((mask.sum(1) * (u ** 2).sum(1)).sum() + (mask.sum(0) * (v ** 2).sum(1)).sum()), u @ v.T
+
+
+def test_agrees_with_an_independent_numpy_als(spark):
+    rng = np.random.default_rng(11)
+    n, m, reg = 24, 15, 0.05
+    r = rng.uniform(0.5, 2, (n, 2)) @ rng.uniform(0.5, 1.5, (2, m)) + rng.normal(0, 0.1, (n, m))
+    mask = rng.random((n, m)) < 0.7
+    data = [(u, i, float(r[u, i])) for u in range(n) for i in range(m) if mask[u, i]]
+    model = FA.train_als(spark.createDataFrame(data, "userId int, movieId int, rating double"), rank=2, max_iter=60, reg_param=reg, blocks=2)
+    u = np.array([x.features for x in model.user_factors().orderBy("userId").collect()])
+    v = np.array([x.features for x in model.item_factors().orderBy("movieId").collect()])
+    loss = ((r - u @ v.T) ** 2 * mask).sum() + reg * ((mask.sum(1) * (u ** 2).sum(1)).sum() + (mask.sum(0) * (v ** 2).sum(1)).sum())
+    best, want = min((_numpy_als(r, mask, 2, reg, s) for s in range(5)), key=lambda x: x[0])
+    assert loss == pytest.approx(best, rel=1e-3)
+    assert np.abs(u @ v.T - want).max() < 0.02
+
+
+def test_last_half_step_equals_numpy_solve(fitted):
+    """Each user's factors from the item factors by numpy's solver, for every user (also of a refreshed model)."""
+    r, _, model = fitted
+    v = {x.movieId: np.array(x.features, float) for x in model.item_factors().collect()}
+    u = {x.userId: np.array(x.features, float) for x in model.user_factors().collect()}
+    mine = {}
+    for x in r.collect():
+        mine.setdefault(x.userId, []).append((v[x.movieId], x.rating))
+    assert set(mine) == set(u)
+    for i, rows in mine.items():
+        a, y = np.array([p[0] for p in rows]), np.array([p[1] for p in rows])
+        want = np.linalg.solve(a.T @ a + 0.01 * len(y) * np.eye(a.shape[1]), a.T @ y)
+        assert np.abs(u[i] - want).max() < 5e-3 * max(1.0, np.abs(want).max())
+
+
+def test_requests_equal_products_of_exported_factors(fitted):
+    r, m, model = fitted
+    v = {x.movieId: np.array(x.features, float) for x in model.item_factors().collect()}
+    u = {x.userId: np.array(x.features, float) for x in model.user_factors().collect()}
+    titles = {x.movieId: x.title for x in m.collect()}
+    got = FA.score_requests(model, r.select("userId", "movieId"), m).collect()
+    assert len(got) == r.count()
+    for x in got:
+        p = float(u[x.userId] @ v[x.movieId])
+        assert x.prediction == pytest.approx(p, abs=1e-5) and x.title == titles[x.movieId]
+        assert x.rounded in {int(np.floor(p + 0.5 - 1e-5)), int(np.floor(p + 0.5 + 1e-5))}
+
+
 def test_mse_beats_the_mean(fitted):
     r, _, model = fitted
     scored = FA.score_known(model, r)

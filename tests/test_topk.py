@@ -81,10 +81,10 @@ def test_equal_to_spark_ml_for_all_users(spark):
     r, m = TD.ratings(spark, SF_SMALL).persist(), TD.movies(spark, SF_SMALL)
     model = FA.train_als(r)
     mine = FA.top_for_users(model, None, m)
-    theirs = model.model.recommendForAllUsers(20).join(model.users, FA.USER).select(
+    theirs = model.user_ids.decode(model.model.recommendForAllUsers(20)).select(
         "userId", F.posexplode("recommendations").alias("at", "x")).select("userId", (F.col("at") + 1).alias("rank"), F.col("x.rating").alias("s"))
     both = mine.join(theirs, ["userId", "rank"], "full")
     assert both.where("s is null or score is null or abs(score - s) > 2e-6").count() == 0
-    assert both.count() == 20 * model.users.count()
+    assert both.count() == 20 * model.user_factors().count()
     plan = physical_plan(mine)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
