@@ -51,6 +51,10 @@ def light_users(ratings: DataFrame, most: int = LIGHT_USER_RATINGS) -> DataFrame
     return ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= most).select("userId")
 
 
+def _light(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(light_users(_ratings(spark, sf_dir)), f"light-users@{sf_dir}")
+
+
 def _r6(c: str) -> F.Column:
     return round6(F.col(c)).alias(c)
 
@@ -90,7 +94,7 @@ def o07_random_candidates(spark, sf_dir):
 
 def o07_random_candidates_set(spark, sf_dir):
     r, m = _data(spark, sf_dir)
-    return P.random_candidates(r, m, light_users(r))
+    return P.random_candidates(r, m, _light(spark, sf_dir))
 
 
 def o08_accepted_ratings(spark, sf_dir):
@@ -148,7 +152,7 @@ def o13_als_top20(spark, sf_dir):
 
 def o13_als_top20_unseen(spark, sf_dir):
     r, m, model = _model(spark, sf_dir)
-    return FA.top_for_users(model, light_users(r), m, seen=r)
+    return FA.top_for_users(model, _light(spark, sf_dir), m, seen=r)
 
 
 def o13_als_check(spark, sf_dir):
@@ -223,7 +227,7 @@ def o16_user_cosine_corated(spark, sf_dir):
 
 def o16_user_cosine_set(spark, sf_dir):
     r, _ = _data(spark, sf_dir)
-    return N.cosine_similarity(r, light_users(r)).select("userId1", "userId2", _r6("cosineSim"))
+    return N.cosine_similarity(r, _light(spark, sf_dir)).select("userId1", "userId2", _r6("cosineSim"))
 
 
 def o17_neighbour_predictions(spark, sf_dir):
@@ -239,7 +243,7 @@ def o18_neighbour_top20(spark, sf_dir):
 
 def o18_neighbour_top20_set(spark, sf_dir):
     r, m = _data(spark, sf_dir)
-    return N.neighbour_recommendations(r, m, light_users(r)).select(
+    return N.neighbour_recommendations(r, m, _light(spark, sf_dir)).select(
         "userId", "rank", "movieId", "title", _r6("cosSim"), "rating", _r6("ratingPredicted"))
 
 

@@ -84,3 +84,63 @@ def test_answers_with_one_hot_session(spark):
     assert acc.where(F.col("userId") == -(10**12)).count() == 20
     # the other users are unaffected by the hot one
     assert rows(acc.where(F.col("userId") != -(10**12))) == rows(FB.accepted_ratings(a))
+
+
+@pytest.fixture
+def splits(monkeypatch, spark):
+    """Small shares, so that the hot movie and user of the fixture count as heavy; sort-merge joins only, no adaptive execution."""
+    from marquee.functions import skew
+
+    monkeypatch.setattr(skew, "PARTS", 128)
+    monkeypatch.setattr(skew, "LEAST_ROWS", 40)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield skew
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_heavy_keys_are_dealt_evenly(skewed, splits):
+    r, _ = skewed
+    heavy = splits.heavy_keys(r, "movieId")
+    n = r.count()
+    share = max(-(-n // 128), 40)
+    assert 0 < heavy.count() <= 128
+    by_split = splits.dealt(r, "movieId", "userId", heavy).groupBy("movieId", splits.SPLIT).count()
+    assert by_split.agg(F.max("count")).first()[0] < 2 * share < r.where("movieId = 1").count()
+    pairs = splits.repeated(r.select("movieId").distinct(), "movieId", heavy)
+    assert by_split.join(pairs, ["movieId", splits.SPLIT], "left_anti").count() == 0
+    assert splits.dealt(r, "movieId", "userId", heavy).count() == n
+
+
+def test_neighbours_same_with_split_movies_and_users(spark, skewed, splits, monkeypatch):
+    r, m = skewed
+    targets = [0, 3, HOT_USER]
+
+    def results():
+        return [rows(N.co_rated(r, targets)),
+                rows(N.cosine_similarity(r, targets).select("userId1", "userId2", F.round("cosineSim", 9))),
+                rows(N.predicted_ratings(r, m, targets).select("userId", "movieId", F.round("ratingPredicted", 9))),
+                rows(N.neighbour_recommendations(r, m, targets), "userId", "rank", "movieId", "rating")]
+    split = results()
+    monkeypatch.setattr(splits, "LEAST_ROWS", 10**9)
+    assert results() == split
+
+
+def test_first_rows_by_counted_prefix(skewed, spark):
+    """The nearest neighbours' rows hold the same first rows as all neighbours' rows do."""
+    from pyspark.sql import Window
+
+    r, m = skewed
+    r = r.unionByName(r.where("userId % 5 = 0")).unionByName(r.where("userId = 7").withColumn("rating", F.col("rating") + 0.25))
+    targets = [0, 1, 2, 7, 11, HOT_USER]
+    got = rows(N.neighbour_recommendations(r, m, targets).select("userId", "rank", "movieId", "rating", F.round("ratingPredicted", 9)))
+    every = N.neighbour_ratings(r, m, N.cosine_similarity(r, targets), targets)
+    whole = every.select("userId", "movieId", "title", "cosSim", "rating").distinct().join(
+        N.predict_from_neighbours(every), ["userId", "movieId"])
+    w = Window.partitionBy("userId").orderBy(F.round("cosSim", 9).desc(), F.round("ratingPredicted", 9).desc(), "movieId", "rating")
+    want = rows(whole.withColumn("rank", F.row_number().over(w)).where("rank <= 20").select(
+        "userId", "rank", "movieId", "rating", F.round("ratingPredicted", 9)))
+    assert got == want
