@@ -85,8 +85,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     gone = stored(removed_positions(docs, id_col, text_col, site_col, min_sites, min_words), "removed-lines")
     h, gid, gh, gp = fresh(docs, "text_hash", "gone_id", "gone_hash", "gone_at")
-    # the documents with lines to remove are a share of all: a plain join at every size
-    g = gone.select(F.col("id").alias(gid), F.col("text_hash").alias(gh), F.col("gone").alias(gp))
+    # the documents with lines to remove are a share of all: one sort-merge join at every size
+    g = gone.hint("merge").select(F.col("id").alias(gid), F.col("text_hash").alias(gh), F.col("gone").alias(gp))
     x = docs.withColumn(h, F.xxhash64(F.col(text_col)))
     x = x.join(g, (x[h] == g[gh]) & x[id_col].eqNullSafe(g[gid]), "left")
     out = [(_kept(F.col(text_col), F.col(gp)).alias(c) if c == text_col else F.col(c)) for c in docs.columns]
