@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marquee.schema import GENRE_SEPARATOR
 
-MAX_VOCABULARY = 62  # bits of a non-negative bigint mask
+WORD_NAMES = 62  # bits of a non-negative bigint
 
 
 def genre_list(genres: Column) -> Column:
@@ -35,17 +35,41 @@ def multi_hot(genre_arr: Column, vocabulary: Sequence[str]) -> Column:
                      for g in vocabulary])
 
 
-def genre_mask(genre_arr: Column, vocabulary: Sequence[str]) -> Column:
-    """``bigint`` bit mask of the vocabulary names present in the array."""
-    if len(vocabulary) > MAX_VOCABULARY:
-        raise ValueError(f"vocabulary larger than {MAX_VOCABULARY} names")
+def _word(genre_arr: Column, names: Sequence[str]) -> Column:
     out = F.lit(0).cast("bigint")
-    for i, g in enumerate(vocabulary):
+    for i, g in enumerate(names):
         out = out.bitwiseOR(F.when(F.array_contains(genre_arr, g), F.lit(1 << i).cast("bigint"))
                             .otherwise(F.lit(0).cast("bigint")))
     return out
 
 
+def genre_mask(genre_arr: Column, vocabulary: Sequence[str]) -> Column:
+    """The vocabulary names present in the array as bits: a ``bigint``, or an
+    ``array<bigint>`` of words for a vocabulary of more than ``WORD_NAMES`` names."""
+    if len(vocabulary) <= WORD_NAMES:
+        return _word(genre_arr, vocabulary)
+    return F.array(*[_word(genre_arr, vocabulary[i:i + WORD_NAMES]) for i in range(0, len(vocabulary), WORD_NAMES)])
+
+
+def mask_literal(value: int, k: int) -> Column:
+    """A mask that no set has, of the type that ``k`` names need."""
+    word = F.lit(value).cast("bigint")
+    return word if k <= WORD_NAMES else F.array(word)
+
+
+def mask_size(mask: Column, vocabulary: Sequence[str]) -> Column:
+    """The number of names in a mask."""
+    if len(vocabulary) <= WORD_NAMES:
+        return F.bit_count(mask)
+    return F.aggregate(mask, F.lit(0), lambda n, word: n + F.bit_count(word))
+
+
+def mask_positions(mask: str, k: int) -> Column:
+    """``array<int>``: 1-based vocabulary positions of a mask, ascending."""
+    word = mask if k <= WORD_NAMES else f"element_at({mask}, cast(floor((i - 1) / {WORD_NAMES}) as int) + 1)"
+    return F.expr(f"filter(sequence(1, {int(k)}), i -> (shiftright({word}, cast((i - 1) % {WORD_NAMES} as int)) & 1) = 1)")
+
+
 def unknown_genres(genre_arr: Column, vocabulary: Sequence[str]) -> Column:
     """Names in the array that are not in the vocabulary."""
     vocab = F.array(*[F.lit(g) for g in vocabulary])

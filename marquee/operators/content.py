@@ -1,17 +1,14 @@
 """Content-based recommendation from genres and user taste profiles.
 
 Scores depend on a movie only through its genre set, so movies are grouped
-into *signatures* (distinct genre sets, at most 2**k for a vocabulary of k
-names).  The exact top-n per user is found without a cross join and without
+into *signatures* (distinct genre sets; the vocabulary may have any size).  The exact top-n per user is found without a cross join and without
 emitting every (user, movie) pair:
 
-1. every profiled user is scored against the signature catalogue inside one
-   row (built-in higher-order functions); the catalogue reaches the row by an
-   equi-join on (chunk, salt), which adaptive execution turns into a broadcast
-   when the catalogue is small;
-2. the signatures that can matter, a prefix by score whose movies number at
-   least ``n`` plus the user's seen ones, become rows (at most n + seen of them
-   per user); the seen counts join them, and a running sum keeps the signatures
+1. users meet the signature catalogue by inverted lists with bounds
+   (``genre_index``), which touch only the sets that can be among a user's best;
+   packed users and the catalogue's chunks meet by an equi-join on (chunk, salt);
+2. these, a prefix by score whose movies number at least ``n`` plus the user's
+   seen ones, are rows (at most n + seen of them per user); the seen counts join them, and a running sum keeps the signatures
    before which fewer than n unseen movies stand (ties kept whole);
 3. a kept signature needs at most ``n + seen(user, signature)`` of its movies,
    taken in id order: positions 1..K are generated and equi-joined to the
@@ -35,6 +32,7 @@ from pyspark.sql import functions as F
 from marquee.functions import vectors as V
 from marquee.functions.ranking import rank_within, round6, top_k
 from marquee.functions.targets import restrict_to
+from marquee.operators.genre_index import best_sets
 from marquee.operators.popularity import attach_titles
 from marquee.schema import (
     DEFAULT_GENRES, EXCLUDE_LABEL, LIKED_THRESHOLD, N_LIKED, N_RECOMMENDATIONS, NO_GENRE_LABEL,
@@ -78,14 +76,14 @@ def genre_matrix(movies: DataFrame, vocabulary: Sequence[str] = DEFAULT_GENRES,
     mask = F.col("mask")
     if unknown == "error":
         # more distinct names than recognised bits means an unknown name
-        bad = F.size(F.array_distinct("_names")) > F.bit_count(mask)
+        bad = F.size(F.array_distinct("_names")) > V.mask_size(mask, vocabulary)
         mask = F.when(bad, F.raise_error(F.concat(
             F.lit("genre not in vocabulary: "), F.element_at(V.unknown_genres(F.col("_names"), vocabulary), 1),
             F.lit(" (movie "), F.col("movieId").cast("string"), F.lit(")")))).otherwise(mask)
     elif unknown != "ignore":
         raise ValueError(f"unknown={unknown!r}")
     return m.select("movieId", V.multi_hot(F.col("_names"), vocabulary).alias("g"), mask.alias("mask"),
-                    F.bit_count("mask").alias("n_genres"))
+                    V.mask_size(F.col("mask"), vocabulary).alias("n_genres"))
 
 
 def user_profiles(liked: DataFrame, matrix: DataFrame, k: int) -> DataFrame:
@@ -108,16 +106,10 @@ def seen_items(ratings: DataFrame) -> DataFrame:
 
 
 def _signatures(matrix: DataFrame, k: int) -> DataFrame:
-    """Distinct genre sets ``(mask, size, idx, n_genres)``; ``idx`` lists the
+    """Distinct genre sets ``(mask, size, idx)``; ``idx`` lists the
     1-based vocabulary positions of the set, computed once per set."""
     sigs = matrix.groupBy("mask").agg(F.count(F.lit(1)).alias("size"))
-    idx = F.expr(f"filter(sequence(1, {int(k)}), i -> (shiftright(mask, i - 1) & 1) = 1)")
-    return sigs.select("mask", "size", idx.alias("idx"), F.bit_count("mask").alias("n_genres"))
-
-
-def _score(profile, norm_p, idx, n_genres) -> "F.Column":
-    dot = F.aggregate(idx, F.lit(0.0), lambda acc, i: acc + F.element_at(profile, i))
-    return V.scaled_cosine(dot, norm_p, F.sqrt(n_genres.cast("double")), SCORE_SCALE)
+    return sigs.select("mask", "size", V.mask_positions("mask", k).alias("idx"))
 
 
 def _catalogue(matrix: DataFrame, k: int, salt: int) -> tuple[DataFrame, F.Column]:
@@ -126,7 +118,7 @@ def _catalogue(matrix: DataFrame, k: int, salt: int) -> tuple[DataFrame, F.Colum
     n_sig = sigs.agg(F.count(F.lit(1))).scalar()
     chunks = F.greatest(F.lit(1), F.ceil(n_sig / F.lit(CHUNK_SIGNATURES))).cast("int")
     lists = (sigs.withColumn("chunk", F.pmod(F.xxhash64("mask"), chunks).cast("int")).groupBy("chunk")
-             .agg(F.collect_list(F.struct("mask", "size", "idx", "n_genres")).alias("sigs")))
+             .agg(F.collect_list(F.struct("mask", "size", "idx")).alias("sigs")))
     return lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))), chunks
 
 
@@ -143,27 +135,10 @@ def _kept_signatures(profiles: DataFrame, seen: DataFrame, matrix: DataFrame, n:
              .withColumn("need", F.lit(n) + F.coalesce("seen_total", F.lit(0).cast("bigint")))
              .withColumn("norm_p", V.norm(F.col("profile"))))
 
-    # Raw scores of every genre set, sorted.  The prefix whose sizes add up to
-    # n + (the user's seen movies) holds at least n unseen movies, so no set that
-    # scores below it (minus the rounding margin) can be kept.
-    x = (users.where(F.col("norm_p") > 0)
-         .withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-         .withColumn("salt", F.pmod(F.xxhash64("userId"), F.lit(salt)).cast("int"))
-         .join(catalogue, ["chunk", "salt"]))
-    raw = F.sort_array(F.transform("sigs", lambda s: F.struct(
-        (-_score(F.col("profile"), F.col("norm_p"), s["idx"], s["n_genres"])).alias("neg"),
-        s["mask"].alias("mask"), s["size"].alias("size"))))
-    zero = F.struct(F.lit(0).cast("bigint").alias("cum"), F.lit(None).cast("double").alias("tau"))
-
-    def step(acc, e):
-        nxt = F.struct((acc["cum"] + e["size"]).alias("cum"), (-e["neg"]).alias("tau"))
-        return F.when(acc["cum"] >= F.col("need"), acc).otherwise(nxt)
-
-    x = x.select("userId", raw.alias("raw"), "need").withColumn("f", F.aggregate("raw", zero, step))
-    bound = F.when(F.col("f.cum") >= F.col("need"), F.col("f.tau") - F.lit(RANK_ROUNDING_MARGIN))
-    prefix = F.filter("raw", lambda e: bound.isNull() | (-e["neg"] >= bound))
-    x = x.select("userId", F.explode(prefix).alias("e")).select(
-        "userId", F.col("e.mask").alias("mask"), (-F.col("e.neg")).alias("score"), F.col("e.size").alias("size"))
+    # The sets down to the score at which n + (the user's seen movies) movies are reached hold at
+    # least n unseen ones, so no set that scores below that (minus the rounding margin) can be kept.
+    x = best_sets(users.where(F.col("norm_p") > 0).select("userId", "need", "profile"), catalogue, chunks, salt, k,
+                  SCORE_SCALE, RANK_ROUNDING_MARGIN)
 
     # The exact threshold: unseen movies of strictly better signatures number fewer than n.
     x = x.join(seen_sig, ["userId", "mask"], "left").withColumn("seen", F.coalesce("seen", F.lit(0).cast("bigint")))
@@ -174,7 +149,7 @@ def _kept_signatures(profiles: DataFrame, seen: DataFrame, matrix: DataFrame, n:
     kept = x.withColumn("_better", better).where((F.col("_better") < n) & (F.col("_unseen") > 0)).select(
         "userId", "mask", "score", "rscore", F.least(F.col("size"), F.lit(n) + F.col("seen")).cast("long").alias("k_take"))
     flat = users.where(F.col("norm_p") == 0).select(
-        "userId", F.lit(EVERY_MOVIE).cast("bigint").alias("mask"), F.lit(0.0).alias("score"), F.lit(0.0).alias("rscore"),
+        "userId", V.mask_literal(EVERY_MOVIE, k).alias("mask"), F.lit(0.0).alias("score"), F.lit(0.0).alias("rscore"),
         F.col("need").cast("long").alias("k_take"))
     return kept.unionByName(flat)
 
@@ -199,7 +174,7 @@ def content_scores(ratings: DataFrame, movies: DataFrame, *, vocabulary: Sequenc
     profiles = user_profiles(liked, matrix, len(vocabulary))
     seen = seen_items(ratings)
     kept = _kept_signatures(profiles, seen, matrix, n, len(vocabulary), salt)
-    members = matrix.select("movieId", F.explode(F.array("mask", F.lit(EVERY_MOVIE).cast("bigint"))).alias("mask"))
+    members = matrix.select("movieId", F.explode(F.array("mask", V.mask_literal(EVERY_MOVIE, len(vocabulary)))).alias("mask"))
     positions = rank_within(members, "mask", "movieId", "pos")
     cand = (kept.withColumn("pos", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k_take"))))
             .join(positions, ["mask", "pos"])
