@@ -7,14 +7,16 @@ included.  A Viterbi search over the words, in which a change of language costs
 ``SWITCH``, labels spans; the document's language is the one whose spans have
 the most letters, and its score is their share of all letters.
 
-The search is exact but skips what it can prove: if for no other language any
-stretch of words beats the document's best single language by more than one
-``SWITCH``, the single language is the best path.  Only the other documents are
-searched, word by word, all documents of a slice in lockstep.
+The search is exact but skips what it can prove.  Let no stretch of words in another
+language beat the document's best single language by more than g.  A path with p
+stretches of other languages gains p g at most and has p - 1 changes at least (for
+p = 1 one change, or it is a single language itself), so with g up to half a ``SWITCH`` the single
+language is the best path.  Only the other documents are searched, word by word, all
+documents of a slice in lockstep.
 
 The classifier is fitted on a bounded sample of labelled rows: about
-``sample_docs`` documents of every language, chosen by the hash of their text
-(documented bound; whole texts).  The fitted tables have ``BUCKETS`` rows and a
+``sample_docs`` different texts of every language, chosen by the hash of the text
+(documented bound; whole texts; copies count once).  The fitted tables have ``BUCKETS`` rows and a
 column per language, whatever the corpus.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
@@ -129,7 +131,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     sizes = broadcast_if_small(stored(x.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages"), row_bytes=512)
     part = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = x.join(sizes, "lang").where(part * F.col("n") < sample_docs).select("lang", "text")
+    sample = x.join(sizes, "lang").where(part * F.col("n") < sample_docs).select("lang", "text").distinct()
     sums = sample.mapInArrow(_count, "lang string, kind int, bucket int, n bigint").groupBy("lang", "kind", "bucket").agg(F.sum("n").alias("n"))
     got = sums.toArrow()  # languages x (buckets + scripts) rows at most
     langs = sorted(set(got.column("lang").to_pylist()))
@@ -219,7 +221,7 @@ class Labeller:
             low = np.minimum.accumulate(before) if len(c) else c
             if len(c):
                 np.maximum.at(gain, doc, c + down[doc] - low)
-        mixed = np.flatnonzero(gain > SWITCH)
+        mixed = np.flatnonzero(gain > SWITCH / 2)
         if len(mixed):
             self._search(score, mixed, ends - n, n, path)
         return path, words, ends

@@ -48,6 +48,36 @@ def test_language_held_out_accuracy(spark, docs):
     assert all(0 <= v[2] <= 1 for v in got.values())
 
 
+def _best_value(score):
+    v = score[0].copy()
+    for row in score[1:]:
+        v = np.maximum(v, v.max() - language_id.SWITCH) + row
+    return v.max()
+
+
+def _labels_of(score):
+    """What the labeller says for one text whose words have these scores."""
+    m = language_id.Labeller.__new__(language_id.Labeller)
+    m.langs, m.score = [f"l{k}" for k in range(score.shape[1])], score
+    m.words = lambda texts: (np.arange(len(score)), np.array([len(score)]))
+    return m.label(["x"])[0]
+
+
+def test_language_search_is_not_skipped_where_three_languages_mix():
+    """B beats A by 0.7 a word on the first half, C on the second: no stretch gains more than SWITCH, yet B C is best."""
+    score = np.zeros((20, 3))
+    score[:10, 1], score[10:, 1] = 0.7, -5
+    score[:10, 2], score[10:, 2] = -5, 0.7
+    assert _labels_of(score).tolist() == [1] * 10 + [2] * 10
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n, k = int(rng.integers(1, 40)), int(rng.integers(2, 5))
+        score = np.repeat(rng.normal(0, rng.choice([0.3, 1, 3]), (-(-n // 5), k)), 5, axis=0)[:n]
+        path = _labels_of(score)
+        value = score[np.arange(n), path].sum() - language_id.SWITCH * (path[1:] != path[:-1]).sum()
+        assert value == pytest.approx(_best_value(score), abs=1e-9)
+
+
 def test_viterbi_is_optimal_and_finds_spans(spark, docs):
     model = language_id.train(table(spark, SF, "documents"))
     m = language_id.Labeller(model)
