@@ -176,6 +176,9 @@ FROM (SELECT m.movieId, m.title, s.total / (SELECT CAST(count(*) AS DOUBLE) FROM
     "o06_unseen_movies": _with(_RAT, _MOV) + f"""
 SELECT CAST({TARGET_USER} AS BIGINT) AS userId, movieId, title FROM mov m
 WHERE NOT EXISTS (SELECT 1 FROM rat r WHERE r.userId = {TARGET_USER} AND r.movieId = m.movieId)""",
+    "o06_unseen_movies_set": _with(_RAT, _MOV) + f"""
+SELECT u.userId, m.movieId, m.title FROM {_LIGHT} u CROSS JOIN mov m
+WHERE NOT EXISTS (SELECT 1 FROM rat r WHERE r.userId = u.userId AND r.movieId = m.movieId)""",
     "o07_random_candidates": _with(_RAT, _MOV) + f"""
 SELECT CAST({TARGET_USER} AS BIGINT) AS userId,
        CAST(row_number() OVER (ORDER BY k, movieId) AS INTEGER) AS rank, movieId, title

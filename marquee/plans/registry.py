@@ -87,6 +87,11 @@ def o06_unseen_movies(spark, sf_dir):
     return P.unseen_movies(r, m, TARGET_USER)
 
 
+def o06_unseen_movies_set(spark, sf_dir):
+    r, m = _data(spark, sf_dir)
+    return P.unseen_movies(r, m, _light(spark, sf_dir))
+
+
 def o07_random_candidates(spark, sf_dir):
     r, m = _data(spark, sf_dir)
     return P.random_candidates(r, m, TARGET_USER)
