@@ -58,19 +58,43 @@ ans_first AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY userId ORDER BY candidate_rank) AS k
     FROM ans_dec WHERE decision = 'accepted') WHERE k <= 20),
-ans_cut AS (
-  SELECT userId, max(candidate_rank) AS last_rank FROM ans_first GROUP BY userId HAVING count(*) >= 20),
-ans_log AS (
-  SELECT c.userId, c.candidate_rank, c.attempt, c.movieId, c.answer, c.value,
-         CASE WHEN u.last_rank IS NOT NULL AND c.candidate_rank > u.last_rank THEN 'unused_after_limit'
-              WHEN d.decision_attempt IS NOT NULL
-                   AND (c.attempt > d.decision_attempt
-                        OR (c.attempt = d.decision_attempt AND c.answer IS DISTINCT FROM d.decision_answer))
-                   THEN 'unused_after_decision'
-              ELSE c.cls END AS status
-  FROM ans_cls c LEFT JOIN ans_dec d USING (userId, candidate_rank) LEFT JOIN ans_cut u USING (userId)),
 acc AS (SELECT userId, dmovie AS movieId, CAST(dvalue AS DOUBLE) AS rating FROM ans_first)"""
 
+# The log in one pass of windows over the answers: the first deciding answer of a question, the running number of
+# accepted questions of a user, and the question with which the limit is reached.
+_ANSWER_LOG = """
+SELECT userId, candidate_rank, attempt, movieId, answer, value,
+       CASE WHEN candidate_rank > last_rank THEN 'unused_after_limit'
+            WHEN (attempt, answer) > decided THEN 'unused_after_decision' ELSE cls END AS status
+FROM (
+  SELECT *, min(CASE WHEN n_accepted >= 20 THEN candidate_rank END) OVER (PARTITION BY userId) AS last_rank
+  FROM (
+    SELECT *, sum(CASE WHEN cls = 'accepted' AND (attempt, answer) = decided THEN 1 ELSE 0 END)
+             OVER (PARTITION BY userId ORDER BY candidate_rank) AS n_accepted
+    FROM (
+      SELECT *, min(CASE WHEN cls IN ('accepted', 'skipped') THEN (attempt, answer) END)
+               OVER (PARTITION BY userId, candidate_rank) AS decided
+      FROM (
+        SELECT *, CASE WHEN value IS NULL THEN 'rejected_not_integer' WHEN value = 6 THEN 'skipped'
+                       WHEN value BETWEEN 1 AND 5 THEN 'accepted' ELSE 'rejected_out_of_range' END AS cls
+        FROM (
+          SELECT -1 - o_custkey AS userId, CAST('0x' || substr(key, 1, 15) AS BIGINT) AS candidate_rank,
+                 attempt, l_partkey AS movieId, answer,
+                 CASE WHEN regexp_full_match(answer, '[+-]?[0-9]+') THEN TRY_CAST(answer AS INTEGER) END AS value
+          FROM (
+            SELECT o_custkey, l_partkey, key, CAST(1 AS BIGINT) AS attempt,
+                   CASE WHEN q = 0 THEN 'x' WHEN q = 7 THEN '0' WHEN q = 8 THEN '4.5'
+                        WHEN l_partkey % 13 = 0 THEN ' ' || CAST(q AS VARCHAR) ELSE CAST(q AS VARCHAR) END AS answer
+            FROM (SELECT *, CAST(trunc(l_quantity) AS BIGINT) % 9 AS q, md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey,
+                         l_suppkey, CAST(trunc(l_quantity) AS BIGINT), CAST(epoch(l_shipdate) AS BIGINT))) AS key
+                  FROM lineitem JOIN orders ON l_orderkey = o_orderkey) a
+            UNION ALL
+            SELECT o_custkey, l_partkey, key, 2, CAST(1 + l_partkey % 7 AS VARCHAR)
+            FROM (SELECT *, CAST(trunc(l_quantity) AS BIGINT) % 9 AS q, md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey,
+                         l_suppkey, CAST(trunc(l_quantity) AS BIGINT), CAST(epoch(l_shipdate) AS BIGINT))) AS key
+                  FROM lineitem JOIN orders ON l_orderkey = o_orderkey) b
+            WHERE q IN (0, 7, 8) OR l_partkey % 13 = 0) c) d) e) f) g) h"""
+
 _SIM = f"""
 t AS (SELECT DISTINCT userId, movieId, rating FROM rat WHERE userId = {TARGET_USER}),
 co AS (
@@ -193,8 +217,7 @@ SELECT userId, CAST(rank AS INTEGER) AS rank, movieId, title FROM (
   WHERE NOT EXISTS (SELECT 1 FROM rat r WHERE r.userId = u.userId AND r.movieId = m.movieId)) x
 WHERE rank <= 150""",
     "o08_accepted_ratings": _with(_ANS) + "SELECT userId, movieId, rating FROM acc",
-    "o08_answer_log": _with(_ANS) + """
-SELECT userId, candidate_rank, attempt, movieId, answer, value, status FROM ans_log""",
+    "o08_answer_log": _ANSWER_LOG,
     "o09_appended_ratings": _with(_RAT, _ANS) + """
 SELECT userId, movieId, rating, "timestamp" FROM rat
 UNION ALL SELECT userId, movieId, rating, CAST(NULL AS BIGINT) FROM acc""",
