@@ -2,8 +2,9 @@
 
 Prompt, instruction and message layouts are told apart by a fingerprint: the
 SHA-256 of the sorted nested field paths of a record (``messages[].role``,
-``prompt``, ...), restricted to the paths that some mapping knows, so that ids
-and metadata do not matter.  The fingerprint selects a declarative mapping to
+``prompt``, ...), restricted for each layout to the paths that it knows, so that ids,
+metadata and fields of other layouts do not matter.  The first layout whose required
+fields are there (in the order of ``LAYOUTS``) gives the declarative mapping to
 canonical turns ``(id, turn, role, text)``.  Typed tables are fingerprinted
 once by their schema, JSON records one by one.
 
@@ -111,7 +112,8 @@ def _prefixed(prefix: str, names: Column) -> Column:
 
 
 def json_fingerprint(record: Column, layouts=LAYOUTS) -> Column:
-    """The fingerprint of one JSON record; null for null or unreadable records."""
+    """The fingerprint by which the first layout that a JSON record has knows it (null without one, and for null or
+    unreadable records).  Layouts are tried in their order; a layout is there if its required fields are."""
     known = known_paths(layouts)
     tops = sorted(p for p in known if "[]" not in p)
     lists = sorted({p.split("[].")[0] for p in known if "[]" in p})
@@ -126,7 +128,16 @@ def json_fingerprint(record: Column, layouts=LAYOUTS) -> Column:
             here = F.when(seen.startswith("ARRAY<OBJECT<"),
                           F.array_intersect(F.regexp_extract_all(seen, F.lit("[<, ]([A-Za-z_]+): "), F.lit(1)), names))
             found = F.concat(found, _prefixed(f"{a}[].", F.coalesce(here, F.array().cast("array<string>"))))
-        return F.when(v.isNotNull(), F.sha2(F.array_join(F.array_sort(found), "\n"), 256))
+        # of each layout the fields that it knows are fingerprinted, so fields of others do not matter
+        def choose(found: Column) -> Column:
+            out = F.lit(None).cast("string")
+            for layout in reversed(layouts):
+                own = F.array(*[F.lit(p) for p in sorted(known_paths([layout]))])
+                fp = F.sha2(F.array_join(F.array_sort(F.array_intersect(found, own)), "\n"), 256)
+                out = F.when(fp.isin(*[fingerprint(s) for s in layout.path_sets()]), fp).otherwise(out)
+            return out
+
+        return F.when(v.isNotNull(), let(found, choose))
 
     return let(F.try_parse_json(record), of)
 
@@ -186,11 +197,12 @@ def turns_from_json(records: DataFrame, id_col: str, json_col: str, layouts=LAYO
 
 def turns_from_table(rows: DataFrame, id_col: str, layouts=LAYOUTS) -> DataFrame:
     """The same for a typed table, whose schema's fingerprint selects the mapping."""
-    here = [p for p in schema_paths(rows.schema) if p in known_paths(layouts) and p != id_col]
-    found = [x for x in layouts if fingerprint(here) in {fingerprint(s) for s in x.path_sets()}]
+    here = [p for p in schema_paths(rows.schema) if p != id_col]
+    own = [(x, sorted(set(here) & known_paths([x]))) for x in layouts]
+    found = [(x, p) for x, p in own if fingerprint(p) in {fingerprint(s) for s in x.path_sets()}]
     if not found:
         raise ValueError(f"no layout has the field paths {sorted(here)}")
-    layout = found[0]
+    layout, here = found[0]
     if layout.rows:
         return rows.select(F.col(id_col).alias("id"), F.lit(layout.name).alias("layout"),
                            F.col("turn").cast("bigint").alias("turn"),

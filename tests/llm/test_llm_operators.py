@@ -439,3 +439,25 @@ def test_typed_layouts(spark):
     assert [(r.turn, r.role, r.text) for r in chat_format.turns_from_table(nested, "k").orderBy("turn").collect()] == [(0, "user", "q"), (1, "assistant", "a")]
     with pytest.raises(ValueError):
         chat_format.turns_from_table(spark.createDataFrame([(1, 2)], "a int, b int"), "a")
+
+
+def test_chat_layouts_with_fields_of_other_layouts(spark):
+    import json
+
+    records = [{"instruction": "i", "input": "x", "output": "o", "text": "all of it"},
+               {"prompt": "p", "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]},
+               {"question": "q", "answer": "a", "turn": 3, "role": "r", "input": "z"},
+               {"prompt": "p", "response": "r", "question": "unused"}, {"role": "user", "question": "no answer"}]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "id long, j string")
+    got = {}
+    for r in chat_format.turns_from_json(df, "id", "j").orderBy("id", "turn").collect():
+        got.setdefault((r.id, r.layout), []).append((r.role, r.text))
+    assert got == {(0, "instruction"): [("user", "i\nx"), ("assistant", "o")], (1, "messages"): [("user", "q"), ("assistant", "a")],
+                   (2, "question and answer"): [("user", "q"), ("assistant", "a")],
+                   (3, "prompt and response"): [("user", "p"), ("assistant", "r")], (4, None): [(None, None)]}
+    rows = spark.createDataFrame([(1, 0, "user", "hi", "sys", "p"), (1, 1, "assistant", "yo", None, None)],
+                                 "conv_id long, turn long, role string, text string, system string, prompt string")
+    assert [(r.layout, r.text) for r in chat_format.turns_from_table(rows, "conv_id").orderBy("turn").collect()] == [
+        ("turn rows", "hi"), ("turn rows", "yo")]
+    nested = spark.createDataFrame([(1, "i", "o", "t")], "k long, instruction string, output string, text string")
+    assert [r.text for r in chat_format.turns_from_table(nested, "k").orderBy("turn").collect()] == ["i", "o"]
