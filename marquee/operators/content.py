@@ -14,7 +14,7 @@ emitting every (user, movie) pair:
    taken in id order: positions 1..K are generated and equi-joined to the
    movies' position inside their signature (computed without one task per
    signature, see ``rank_within``);
-4. seen movies are removed by an anti join and ``row_number <= n`` (partial
+4. seen movies are removed by the user's containers (``seen``) and ``row_number <= n`` (partial
    WindowGroupLimit) picks the final list; ties are broken by movie id.
 
 A user whose profile is all zeros scores 0 everywhere, so the list is the first
@@ -34,6 +34,7 @@ from marquee.functions.ranking import rank_within, round6, top_k
 from marquee.functions.targets import restrict_to
 from marquee.operators.genre_index import best_sets
 from marquee.operators.popularity import attach_titles
+from marquee.operators.seen import seen_containers, without_seen
 from marquee.schema import (
     DEFAULT_GENRES, EXCLUDE_LABEL, LIKED_THRESHOLD, N_LIKED, N_RECOMMENDATIONS, NO_GENRE_LABEL,
     REPORT_ITEM_FORMAT, REPORT_ITEM_SEPARATOR, REPORT_USER_PREFIX, REPORT_USER_SUFFIX,
@@ -99,8 +100,8 @@ def user_profiles(liked: DataFrame, matrix: DataFrame, k: int) -> DataFrame:
 def seen_items(ratings: DataFrame) -> DataFrame:
     """The seen relation, distinct ``(userId, movieId)``.
 
-    (The original built a set per user on the driver; the relation is what the
-    anti joins need, and a per-user set has no size bound.)
+    (The original built a set per user on the driver; ``seen.seen_containers`` is that
+    set in rows of at most 4 KB.)
     """
     return ratings.select("userId", "movieId").distinct()
 
@@ -177,8 +178,8 @@ def content_scores(ratings: DataFrame, movies: DataFrame, *, vocabulary: Sequenc
     members = matrix.select("movieId", F.explode(F.array("mask", V.mask_literal(EVERY_MOVIE, len(vocabulary)))).alias("mask"))
     positions = rank_within(members, "mask", "movieId", "pos")
     cand = (kept.withColumn("pos", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k_take"))))
-            .join(positions, ["mask", "pos"])
-            .join(seen, ["userId", "movieId"], "left_anti"))
+            .join(positions, ["mask", "pos"]))
+    cand = without_seen(cand, seen_containers(ratings))
     return top_k(cand, ["userId"], [F.col("rscore").desc(), F.col("movieId").asc()], n).select(
         "userId", "rank", "movieId", "score", "rscore")
 

@@ -23,6 +23,7 @@ from marquee.functions.ranking import dense_index, top_k
 from marquee.functions.targets import restrict_to
 from marquee.operators.feedback import append_ratings
 from marquee.operators.popularity import attach_titles
+from marquee.operators.seen import seen_containers, without_seen
 from marquee.operators.topk import best_products, item_blocks
 from marquee.schema import ALS_MAX_ITER, ALS_RANK, ALS_REG_PARAM, DEFAULT_SEED, N_RECOMMENDATIONS
 from marquee.session import CHECKPOINT_CONF, checkpoint_dir
@@ -174,8 +175,8 @@ def top_for_users(model: Als, users: DataFrame | None, movies: DataFrame, n: int
         factors = restrict_to(factors, users.select("userId"))
     top = F.lit(n)
     if seen is not None:
-        seen = restrict_to(seen.select("userId", "movieId"), factors.select("userId")).distinct()
-        counts = seen.groupBy("userId").agg(F.count(F.lit(1)).alias("_seen"))
+        containers = seen_containers(restrict_to(seen.select("userId", "movieId"), factors.select("userId")))
+        counts = containers.groupBy("userId").agg(F.sum("n_seen").alias("_seen"))
         factors = factors.join(counts, "userId", "left")
         top = F.lit(n) + F.coalesce("_seen", F.lit(0))
     items = model.item_factors().withColumnRenamed("movieId", "item")
@@ -183,7 +184,7 @@ def top_for_users(model: Als, users: DataFrame | None, movies: DataFrame, n: int
     found = found.select(F.col("user").cast(model.user_ids.kind).alias("userId"),
                          F.col("item").cast(model.item_ids.kind).alias("movieId"), "score")
     if seen is not None:
-        found = found.join(seen, ["userId", "movieId"], "left_anti")
+        found = without_seen(found, containers)
     best = top_k(found, ["userId"], [F.col("score").desc(), F.col("movieId").asc()], n)
     return attach_titles(best, movies).select("userId", "rank", "movieId", "title", "score")
 

@@ -8,6 +8,7 @@ views; ``rat``, ``mov`` and ``ans`` below are the adapter views.
 
 from __future__ import annotations
 
+from marquee.operators.seen import DENSE
 from marquee.plans.registry import LIGHT_USER_RATINGS, TARGET_USER, VOCAB
 
 _RAT = """
@@ -258,6 +259,14 @@ SELECT userId, movieId, rating, "timestamp", recency FROM liked""",
 SELECT movieId, mask AS genre_mask, CAST(bit_count(mask) AS INTEGER) AS n_genres FROM gm""",
     "o22_user_profiles": _with(_RAT, _MOV, _CONTENT) + "SELECT userId, genre, weight FROM prof",
     "o23_seen_items": _with(_RAT) + "SELECT DISTINCT userId, movieId FROM rat",
+    "o23_seen_containers": _with(_RAT) + f"""
+SELECT userId, bucket, n_seen, CASE WHEN n_seen < {DENSE} THEN array_to_string(list_sort(ps), ',') END AS positions,
+       CASE WHEN n_seen >= {DENSE} THEN array_to_string(list_transform(range(4096), lambda b: printf('%02X', list_sum(
+         list_prepend(0, list_transform(list_filter(ps, lambda p: p // 8 = b), lambda p: 1 << (p % 8))))::INTEGER)), '') END AS bits
+FROM (SELECT userId, bucket, CAST(count(DISTINCT p) AS INTEGER) AS n_seen, list(DISTINCT p) AS ps
+      FROM (SELECT userId, CAST(CASE WHEN movieId > 0 THEN (movieId - 1) // 32768 + 1 ELSE -((-movieId) // 32768) END AS INTEGER) AS bucket,
+                   CASE WHEN movieId > 0 THEN (movieId - 1) % 32768 ELSE (-movieId) % 32768 END AS p FROM rat) y
+      GROUP BY userId, bucket) x""",
     "o24_content_scores": _with(_RAT, _MOV, _CONTENT) + """
 SELECT r.userId, r.movieId, floor((round((s.score) * 1e9) + 500) / 1000) / 1e6 AS score
 FROM rat r JOIN gm USING (movieId) JOIN sscore s ON s.userId = r.userId AND s.mask = gm.mask""",

@@ -20,6 +20,7 @@ from marquee.operators import factors as FA
 from marquee.operators import feedback as FB
 from marquee.operators import neighbours as N
 from marquee.operators import popularity as P
+from marquee.operators import seen as SE
 from marquee.sources import testdata as TD
 from marquee.sources.tables import materialize, memoize
 
@@ -281,6 +282,14 @@ def o23_seen_items(spark, sf_dir):
     return C.seen_items(r)
 
 
+def o23_seen_containers(spark, sf_dir):
+    """Every user's containers; the positions as text and the bitmap in hexadecimal."""
+    r, _ = _data(spark, sf_dir)
+    return SE.seen_containers(r).select(
+        "userId", "bucket", "n_seen", F.array_join(F.transform("positions", lambda p: p.cast("string")), ",").alias("positions"),
+        F.hex("bits").alias("bits"))
+
+
 def o24_content_scores(spark, sf_dir):
     """Requested pairs: every (user, movie) that was rated."""
     r, m = _data(spark, sf_dir)
