@@ -54,7 +54,8 @@ def op3_suffix_dedup(spark, sf_dir):
     x = R.suffix_dedup(table(spark, sf_dir, "documents"), length=400)
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["length"])
     return x.select(F.col("id").alias("doc_id"), "n_bytes", n_removed.alias("n_removed"),
-                    F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                    F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                    F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 
 
 def op4_token_shards(spark, sf_dir):
