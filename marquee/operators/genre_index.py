@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 #: So many times the needed sets are read before the first threshold is taken.
 LEAD = 4
 #: Users in one packed row.
-BATCH_USERS = 2048
+BATCH_USERS = 512
 _USERS = "ids binary, needs binary, profiles binary"
 
 
@@ -187,6 +187,8 @@ def best_sets(users: DataFrame, catalogue: DataFrame, chunks: Column, salt: int,
     packed = users.select(F.col("userId").cast("long"), F.col("need").cast("long"), "profile").mapInArrow(_pack_users, _USERS)
     packed = (packed.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
               .withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salt)).cast("int")))
-    joined = packed.join(catalogue, ["chunk", "salt"]).select("ids", "needs", "profiles", "chunk", "sigs")
+    # few bytes, much work: the number of tasks must not follow the bytes
+    tasks = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    joined = packed.repartition(tasks, "chunk", "salt").join(catalogue, ["chunk", "salt"]).select("ids", "needs", "profiles", "chunk", "sigs")
     found = joined.mapInArrow(_search(k, scale, margin), f"userId long, mask {kinds[1].simpleString()}, score double, size long")
     return found.withColumn("userId", F.col("userId").cast(kinds[0]))

@@ -145,4 +145,6 @@ def best_products(users: DataFrame, items: DataFrame, blocks: DataFrame) -> Data
     work = users.select(F.col("user").cast("long"), "features", F.col("top").cast("long")).mapInArrow(
         _plan(rank, top, np.array([e["norm"] for e in edges]), np.array([e["block"] for e in edges], np.int64)), _WORK)
     copies = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return work.join(copies, ["block", "salt"]).mapInArrow(_score(rank), _FOUND).withColumn("score", F.col("score").cast("float"))
+    # few bytes, much work: the number of tasks must not follow the bytes
+    tasks = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return work.repartition(tasks, "block", "salt").join(copies, ["block", "salt"]).mapInArrow(_score(rank), _FOUND).withColumn("score", F.col("score").cast("float"))
