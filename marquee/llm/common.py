@@ -49,8 +49,18 @@ def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     This cuts the lineage: what follows survives lost executors without
     repeating the work behind ``df``, and several readers share it.
     """
+    return read_back(df, written(df, name, codec))
+
+
+def written(df: DataFrame, name: str, codec: str = "snappy", partition_by: str | None = None) -> str:
+    """The new folder to which ``df`` was written; ``remove`` frees it once it was read."""
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path, compression=codec)
+    df.write.parquet(path, partitionBy=partition_by, compression=codec)
+    return path
+
+
+def read_back(df: DataFrame, path: str) -> DataFrame:
+    """What ``written`` wrote, without a look at the files for the schema."""
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,14 +2,23 @@
 
 Tokens are the words of a text (A-Z in lower case) and one end after them.  The
 model holds the counts of single tokens and of pairs of neighbours (the end of
-a text stands before its first word).  Counts are quantised to levels,
-``1 + floor(log_b count)``; an n-gram of level q is in the filter q times, as
-(n-gram, 1) ... (n-gram, q), and a count is read by probing the levels until one
-is missing.  The probability of a token w after h mixes the pair's share with
-the token's own, with more weight on the latter the fewer h was seen:
-
-    p(w)   = (c(w) + 1) / (N + V + 1)
-    p(w|h) = (c(h w) + k p(w)) / (c(h) + k),   k = c(h) ** VARIETY
+a text stands before its first word).  Counts are quantised to levels, the steps
+of a ladder 1, 2, 3, ... whose steps grow by ``STEP`` once that is more than one;
+an n-gram of level q is in the filter q times, as (n-gram, 1) ... (n-gram, q), and
+a count is read by probing the levels until one is missing.  The probability of a
+token w after h mixes the pair's share with the token's own, with more weight on
+the latter the fewer h was seen:
+
+    p(w)   = (c(w) + 1) / Z,  Z = the sum of c + 1 over the training words and the unknown word
+    p(w|h) = (c(h w) + k p(w)) / (c(h) + SURPLUS + k),  k = c(h) ** VARIETY;  p(w) where h is unknown
+
+c(w) and c(h w) are read from the filter; the true counts, which the base score needs
+anyway, normalise: Z sums the levels' values, c(h) is true, and c(h w) is at most
+c(h) and the true c(w), so a pair with an unknown word has none.  A pair that was never
+seen but is found in the filter would add to the sum of p(w|h) over w.  The first level
+therefore has as many probes as keep the expected number of such pairs at ``SURPLUS``
+for a history, whatever the vocabulary (``first_words``), and that number is part of
+the denominator.  So the probabilities sum to 1 but for the rounding of counts.
 
 The base score is exact: ``sum log10((c + 1) / (N + V + 1))`` with the true
 training counts of the words.
@@ -19,14 +28,12 @@ dictionary and compressed token numbers, written once.  The dictionaries are
 exploded, one row per chunk and word; the counts of a word are summed over its
 rows and go back to the chunks, one list per chunk.  Pairs
 are counted in every task first and shuffled as sorted binary blocks, one per
-task and shard.  Every shard builds its own part of the filter, with ``BITS``
-bits for each (n-gram, level), and writes it to the shared folder; the filter
-grows with the distinct n-grams, and its rate of false positives (about 1 in 100
-for a level) is the same at every size.  Runs of shards of up to ``PASS_BYTES``
-are sent to the workers, one run after the other.  If one run holds everything,
-the texts are scored at once; otherwise every pass writes the levels of the
-n-grams that belong to its shards, one byte each, and the texts are scored from
-the levels of all passes.
+task and shard.  Every shard builds its own part of the filter and writes it to the
+shared folder; the filter grows with the distinct n-grams.  Every chunk lists the
+distinct n-grams it asks for, once, by runs of shards of up to ``PASS_BYTES``.  The
+runs are sent to the workers one after the other, and the pass of a run reads the
+n-grams of that run only and writes one level each; the texts are scored from the
+levels.  So the passes together read what was asked once, at any number of passes.
 
 Defined cases: null and empty texts consist of the end; without training rows
 all counts are zero; rows are scored one by one, so repeated rows, null ids and
@@ -38,7 +45,6 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,20 +55,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.arrow import batch
-from marquee.llm.common import stored
+from marquee.llm.common import new_folder, read_back, remove, stored, written
 
 CHUNK_BYTES = 32 << 20
-STEP = 1.5  # b: the ratio of neighbouring levels
+STEP = 1.2  # the ratio of neighbouring levels
 VARIETY = 0.8
-BITS = 10
-PROBES = 5
+#: Expected number of pairs that a history was never seen with, but that the filter holds.
+SURPLUS = 1 / 32
+#: Bits of one 64-bit word that an entry sets, and bits of the filter for each such word: about half are set.
+MARKS = 6
+WORD_BITS = 9
+#: About 1 in 2 ** SIEVE absent entries passes one word (measured: 1 in 38).
+SIEVE = 5.2
 #: Bytes of the filter that are sent to the workers at once.
-PASS_BYTES = 128 << 20
+PASS_BYTES = 64 << 20
 SHARD_KEYS = 1 << 20
+#: Groups of chunks whose requests to one run of shards are written together.
+RUN_FILES = 64
 #: Tokens scored at once.
 BLOCK = 1 << 18
 #: Bytes of a key in a block of n-grams, below the bits that name the shard.
-KEY_BYTES = 5
+KEY_BYTES = 6
 END = "\n"  # no word has white space in it
 
 U = np.uint64
@@ -78,40 +91,41 @@ def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mix(before * U(0xC2B2AE3D27D4EB4F) + word, 2)
 
 
-def levels(counts: np.ndarray) -> np.ndarray:
-    """1 + floor(log_b c), exactly: the number of powers of b that are not above c."""
-    return np.searchsorted(_POWERS, counts.astype(np.float64), side="right")
+def _ladder() -> np.ndarray:
+    out = [1]
+    while out[-1] < 1 << 45:
+        out.append(max(out[-1] + 1, math.ceil(out[-1] * STEP)))
+    return np.array(out, np.int64)
 
 
-_POWERS = STEP ** np.arange(0, 120)
+LADDER = _ladder()
+#: The count that stands for a level: the middle of the counts that have it.
+VALUES = np.concatenate([[0.0], (LADDER[:-1] + LADDER[1:] - 1) / 2])
 
 
-def _values() -> np.ndarray:
-    """The count that stands for a level: the mean of the whole numbers that have it."""
-    out = [0.0]
-    for low, high in zip(_POWERS[:-1], _POWERS[1:]):
-        a, z = math.ceil(low), math.ceil(high) - 1
-        out.append((a + z) / 2 if z >= a else low)
-    return np.array(out)
+def levels(counts: np.ndarray) -> np.ndarray:
+    """The number of steps of the ladder that are not above the count."""
+    return np.minimum(np.searchsorted(LADDER, counts, side="right"), len(VALUES) - 1)
 
 
-VALUES = _values()
+def first_words(vocabulary: int) -> int:
+    """Words that the first level of an n-gram is probed in, so that ``SURPLUS`` false pairs a history are expected."""
+    return max(1, math.ceil(math.log2(max(2, vocabulary) / SURPLUS) / SIEVE))
 
 
 class Filter:
-    """Shards of the Bloom filter, one after the other in ``bits``; an n-gram of another shard has level 0."""
+    """Shards of the Bloom filter, one after the other in ``words``; an n-gram of another shard has level 0."""
 
-    def __init__(self, parts: list[tuple[int, bytes]], shift: int):
+    def __init__(self, parts: list[tuple[int, bytes]], shift: int, first: int):
         sizes = np.zeros(1 << shift, np.int64)
         for shard, data in parts:
-            sizes[shard] = len(data)
-        self.shift = shift
-        self.at = (np.cumsum(sizes) - sizes).astype(np.uint64) * U(8)
-        self.size = (sizes * 8).astype(np.uint64)
-        self.bits = np.zeros(int(sizes.sum()), np.uint8)
+            sizes[shard] = len(data) // 8
+        self.shift, self.first = shift, first
+        self.at, self.size = np.cumsum(sizes) - sizes, sizes.astype(np.uint64)
+        self.words = np.zeros(int(sizes.sum()), np.uint64)
         for shard, data in parts:
-            a = int(self.at[shard]) // 8
-            self.bits[a:a + len(data)] = np.frombuffer(data, np.uint8)
+            a = int(self.at[shard])
+            self.words[a:a + len(data) // 8] = np.frombuffer(data, np.uint64)
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Dequantised counts."""
@@ -128,12 +142,9 @@ class Filter:
         n = 0
         while len(live) and n < len(VALUES) - 1:
             n += 1
-            k, first, length = keys[live], at[live], size[live]
-            hit = np.ones(len(live), bool)
-            for p in positions(k, n, length):
-                p += first
-                hit &= (self.bits[p >> U(3)] >> (p & U(7)).astype(np.uint8)) & 1 > 0
-            live = live[hit]
+            for j in range(self.first if n == 1 else 1):
+                place, marks = probe(keys[live], n, j, size[live])
+                live = live[(self.words[at[live] + place] & marks) == marks]
             level[live] = n
         return level
 
@@ -142,25 +153,27 @@ def shard_of(keys: np.ndarray, shift: int) -> np.ndarray:
     return (keys >> U(64 - shift)).astype(np.int64) if shift else np.zeros(len(keys), np.int64)
 
 
-def positions(keys: np.ndarray, level, size: np.ndarray) -> list[np.ndarray]:
-    """The bits of (n-gram, level): ``PROBES`` of them, by double hashing."""
+def probe(keys: np.ndarray, level, j: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``j``-th word of (n-gram, level) among ``size`` words (up to 2 ** 32), and the bits it sets there."""
     k = keys + np.asarray(level).astype(np.uint64) * U(0xA0761D6478BD642F)
-    a, b = _mix(k, 11), _mix(k, 29) | U(1)
-    return [(a + U(j) * b) % size for j in range(PROBES)]
+    h, m = _mix(k, 11 + 36 * j), _mix(k, 29 + 36 * j)
+    marks = np.zeros(len(keys), np.uint64)
+    for i in range(MARKS):
+        marks |= U(1) << ((m >> U(6 * i)) & U(63))
+    return (((h >> U(32)) * size) >> U(32)).astype(np.int64), marks
 
 
-def shard_bits(keys: np.ndarray, counts: np.ndarray, max_bytes: int | None = None) -> bytes:
-    """One shard's part of the filter from distinct keys and their counts: ``BITS`` for each level."""
+def shard_bits(keys: np.ndarray, counts: np.ndarray, first: int) -> bytes:
+    """One shard's part of the filter from distinct keys and their counts: ``WORD_BITS`` for each word of each level."""
     q = levels(counts)
-    size = int(q.sum()) * BITS // 8 + 8
-    if max_bytes is not None:
-        size = min(size, max(8, max_bytes))
-    bits = np.zeros(size * 8, bool)
-    k = np.repeat(keys, q)
-    n = np.arange(len(k)) - np.repeat(np.cumsum(q) - q, q) + 1
-    for p in positions(k, n, np.full(len(k), size * 8, U)):
-        bits[p] = True
-    return np.packbits(bits, bitorder="little").tobytes()
+    words = np.zeros((int(q.sum()) + (first - 1) * len(keys)) * WORD_BITS // 64 + 1, np.uint64)
+    size = np.full(len(keys), len(words), np.uint64)
+    for n in range(1, int(q.max(initial=0)) + 1):
+        has = q >= n
+        for j in range(first if n == 1 else 1):
+            place, marks = probe(keys[has], n, j, size[has])
+            np.bitwise_or.at(words, place, marks)
+    return words.tobytes()
 
 
 CHUNKS = "n_words array<bigint>, numbers binary, words array<string>, hashes binary, counts array<bigint>, n_tokens bigint"
@@ -250,11 +263,10 @@ def gram_blocks(packed: DataFrame, shift: int) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             keys, counts = merged()
             cuts = np.searchsorted(shard_of(keys, shift), np.arange((1 << shift) + 1))
-            low = (keys << U(shift) >> U(64 - 8 * KEY_BYTES)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
             for shard in np.flatnonzero(np.diff(cuts)):
                 a, z = cuts[shard], cuts[shard + 1]
-                yield batch(("shard", pa.array([shard], pa.int32())), ("keys", pa.array([low[a:z].tobytes()], pa.binary())),
-                            ("counts", pa.array([counts[a:z].astype("<u4").tobytes()], pa.binary())))
+                yield batch(("shard", pa.array([shard], pa.int32())), ("keys", pa.array([squeezed(keys[a:z], shift)], pa.binary())),
+                            ("counts", pa.array([planes(counts[a:z], 6)], pa.binary())))
 
         for b in batches:
             for i in range(b.num_rows):
@@ -280,11 +292,30 @@ def gram_blocks(packed: DataFrame, shift: int) -> DataFrame:
     return packed.select("train", "n_words", "numbers", "hashes", "counts").mapInArrow(run, "shard int, keys binary, counts binary")
 
 
-def full_keys(shard: int, low: bytes, shift: int) -> np.ndarray:
-    """64-bit keys (the lowest bits zero) of a block."""
-    raw = np.zeros((len(low) // KEY_BYTES, 8), np.uint8)
-    raw[:, :KEY_BYTES] = np.frombuffer(low, np.uint8).reshape(-1, KEY_BYTES)
-    keys = raw.view("<u8").ravel().astype(np.uint64) << U(64 - 8 * KEY_BYTES) >> U(shift)
+def planes(x: np.ndarray, width: int) -> bytes:
+    """Whole numbers below 256 ** width, byte plane after byte plane, compressed."""
+    import zstandard
+    return zstandard.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes(), 1)
+
+
+def from_planes(data: bytes, width: int) -> np.ndarray:
+    import zstandard
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(width, -1)
+    out = np.zeros((raw.shape[1], 8), np.uint8)
+    out[:, :width] = raw.T
+    return out.view("<u8").ravel()
+
+
+def squeezed(keys: np.ndarray, shift: int) -> bytes:
+    """Sorted keys as differences of the ``KEY_BYTES`` below the shard's bits (modulo their range, where a shard ends)."""
+    low = keys << U(shift) >> U(64 - 8 * KEY_BYTES)
+    return planes(np.diff(low, prepend=U(0)) & U((1 << 8 * KEY_BYTES) - 1), KEY_BYTES)
+
+
+def full_keys(shard: int, data: bytes, shift: int) -> np.ndarray:
+    """The keys of a block, without the bits that ``rounded`` drops."""
+    low = np.cumsum(from_planes(data, KEY_BYTES), dtype=np.uint64) & U((1 << 8 * KEY_BYTES) - 1)
+    keys = low << U(64 - 8 * KEY_BYTES) >> U(shift)
     return keys | (U(shard) << U(64 - shift) if shift else U(0))
 
 
@@ -294,8 +325,8 @@ def rounded(keys: np.ndarray, shift: int) -> np.ndarray:
     return keys >> U(drop) << U(drop)
 
 
-def build_filter(packed: DataFrame) -> tuple[DataFrame, int]:
-    """The filter of the training texts of all chunks, ``(shard, bits)`` in the shared folder, and the bits that name a shard."""
+def build_filter(packed: DataFrame, first: int) -> tuple[DataFrame, str, int]:
+    """The filter of the training texts of all chunks, ``(shard, bits)``, its folder, and the bits that name a shard."""
     tokens = packed.agg(F.sum("n_tokens")).first()[0] or 0
     shift = max(0, math.ceil(math.log2(max(1, tokens) / SHARD_KEYS)))
 
@@ -306,7 +337,7 @@ def build_filter(packed: DataFrame) -> tuple[DataFrame, int]:
             k, c = np.concatenate(keys), np.concatenate(counts)
             distinct, inverse = np.unique(k, return_inverse=True)
             total = np.bincount(inverse, c).astype(np.int64)
-            return batch(("shard", pa.array([last], pa.int32())), ("bits", pa.array([shard_bits(distinct, total)], pa.binary())))
+            return batch(("shard", pa.array([last], pa.int32())), ("bits", pa.array([shard_bits(distinct, total, first)], pa.binary())))
 
         for b in batches:
             for i in range(b.num_rows):
@@ -316,13 +347,14 @@ def build_filter(packed: DataFrame) -> tuple[DataFrame, int]:
                     keys, counts = [], []
                 last = shard
                 keys.append(full_keys(shard, b.column(1)[i].as_py(), shift))
-                counts.append(np.frombuffer(b.column(2)[i].as_py(), "<u4"))
+                counts.append(from_planes(b.column(2)[i].as_py(), 6).astype(np.int64))
         if last is not None:
             yield part()
 
     n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = gram_blocks(packed, shift).repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, bits binary")
-    return stored(parts, "lm-filter"), shift
+    path = written(parts, "lm-filter")
+    return read_back(parts, path), path, shift
 
 
 def passes(parts: DataFrame, pass_bytes: int) -> list[tuple[int, int]]:
@@ -338,61 +370,77 @@ def passes(parts: DataFrame, pass_bytes: int) -> list[tuple[int, int]]:
     return runs
 
 
-def loaded(parts: DataFrame, shift: int, run: tuple[int, int]) -> Filter:
+def loaded(parts: DataFrame, shift: int, first: int, run: tuple[int, int]) -> Filter:
     """The filter of one run of shards."""
     got = parts.where(F.col("shard").between(run[0], run[1] - 1)).toArrow()
-    return Filter(list(zip(got.column("shard").to_pylist(), got.column("bits").to_pylist())), shift)
+    return Filter(list(zip(got.column("shard").to_pylist(), got.column("bits").to_pylist())), shift, first)
 
 
-def pass_levels(packed: DataFrame, filt: Broadcast, run: tuple[int, int]) -> DataFrame:
-    """``(chunk, first, end, levels)``: levels of a chunk's words, then of its pairs, that belong to one run of shards."""
+def _asked(hashes: np.ndarray, word: np.ndarray, before: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of a chunk (sorted), where its words are among them, and where the pairs of its tokens are."""
+    one = rounded(_mix(hashes, 1), shift)
+    two = rounded(pair_keys(hashes[before], hashes[word]), shift)
+    keys, place = np.unique(np.concatenate([one, two]), return_inverse=True)
+    return keys, place[:len(one)], place[len(one):]
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-        f: Filter = filt.value
+
+def _cuts(keys: np.ndarray, shift: int, starts: list[int]) -> np.ndarray:
+    """Where the keys of each run begin in sorted keys; the first run takes what is before it, too."""
+    return np.append(np.concatenate([[0], np.searchsorted(shard_of(keys, shift), starts[1:])]), len(keys)).astype(np.int64)
+
+
+def routed(packed: DataFrame, shift: int, starts: list[int]) -> DataFrame:
+    """``(chunk, run, keys)``: the n-grams that a chunk asks of each run of shards."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 hashes = np.frombuffer(b.column(3)[i].as_py(), np.uint64)
                 word, before, _ = _unpacked(b.column(2)[i].as_py(), b.column(1)[i].values.to_numpy().astype(np.int64))
-                found = []
-                for keys in _key_blocks(hashes, word, before, f.shift):
-                    found.append(f.levels(keys[_inside(keys, f.shift, run)]).astype(np.uint8))
-                yield batch(("chunk", b.column(0).slice(i, 1)), ("first", pa.array([run[0]], pa.int32())),
-                            ("end", pa.array([run[1]], pa.int32())),
-                            ("levels", pa.array([zstandard.compress(np.concatenate(found).tobytes(), 1)], pa.binary())))
+                keys, _, _ = _asked(hashes, word, before, shift)
+                drop = U(max(0, 64 - 8 * KEY_BYTES - shift))
+                cuts = _cuts(keys, shift, starts)
+                for r in range(len(starts)):
+                    part = keys[cuts[r]:cuts[r + 1]] >> drop
+                    yield batch(("chunk", b.column(0).slice(i, 1)), ("run", pa.array([r], pa.int32())),
+                                ("keys", pa.array([planes(np.diff(part, prepend=U(0)), 8)], pa.binary())))
+
+    return packed.select("chunk", "n_words", "numbers", "hashes").mapInArrow(run, "chunk bigint, run int, keys binary")
 
-    return packed.select("chunk", "n_words", "numbers", "hashes").mapInArrow(
-        probe, "chunk bigint, first int, end int, levels binary")
 
+def pass_levels(asked: DataFrame, filt: Broadcast) -> DataFrame:
+    """``(chunk, levels)``: one byte for each n-gram asked of one run of shards."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+        f: Filter = filt.value
+        drop = U(max(0, 64 - 8 * KEY_BYTES - f.shift))
+        for b in batches:
+            for i in range(b.num_rows):
+                keys = np.cumsum(from_planes(b.column(1)[i].as_py(), 8), dtype=np.uint64) << drop
+                yield batch(("chunk", b.column(0).slice(i, 1)),
+                            ("levels", pa.array([zstandard.compress(f.levels(keys).astype(np.uint8).tobytes(), 1)], pa.binary())))
 
-def _key_blocks(hashes: np.ndarray, word: np.ndarray, before: np.ndarray, shift: int) -> Iterator[np.ndarray]:
-    """Keys of the words of a chunk, and then of its pairs, ``BLOCK`` tokens at a time."""
-    yield rounded(_mix(hashes, 1), shift)
-    for a in range(0, len(word), BLOCK):
-        yield rounded(pair_keys(hashes[before[a:a + BLOCK]], hashes[word[a:a + BLOCK]]), shift)
+    return asked.select("chunk", "keys").mapInArrow(look, "chunk bigint, levels binary")
 
 
-def _inside(keys: np.ndarray, shift: int, run: tuple[int, int]) -> np.ndarray:
-    shard = shard_of(keys, shift)
-    return (shard >= run[0]) & (shard < run[1])
+def probabilities(one, two, alone_total: float, past: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """p(w|h) from the filter's counts of w and of the pair, and the true counts of h (``past``) and w (``own``)."""
+    alone = (one + 1) / alone_total
+    pair = np.minimum(two, np.minimum(past, own))
+    k = past ** VARIETY
+    return np.where(past > 0, (pair + k * alone) / np.maximum(past + SURPLUS + k, 1), alone)
 
 
-class Levels:
-    """Reads the levels of one chunk's keys back, in the order in which the passes wrote them."""
+def _value_sum(exact: DataFrame) -> float:
+    """The sum over the training words of the counts that their levels stand for."""
 
-    def __init__(self, found: list[dict], shift: int):
-        import zstandard
-        self.shift = shift
-        self.runs = [((x["first"], x["end"]), np.frombuffer(zstandard.decompress(x["levels"]), np.uint8)) for x in found]
-        self.read = [0] * len(self.runs)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column(0).flatten().to_numpy(zero_copy_only=False)
+            yield batch(("value", pa.array([float(VALUES[levels(own.astype(np.int64))].sum())], pa.float64())))
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        level = np.zeros(len(keys), np.uint8)
-        for j, (run, values) in enumerate(self.runs):
-            at = np.flatnonzero(_inside(keys, self.shift, run))
-            level[at] = values[self.read[j]:self.read[j] + len(at)]
-            self.read[j] += len(at)
-        return VALUES[level]
+    return exact.select("own").mapInArrow(run, "value double").agg(F.sum("value")).first()[0] or 0.0
 
 
 def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -401,16 +449,6 @@ def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
     x = docs.select(F.col(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"))
     packed = stored(chunks(x), "lm-chunks")
     sc = docs.sparkSession.sparkContext
-    parts, shift = build_filter(packed)
-    runs = passes(parts, pass_bytes)
-    filt, found = None, []
-    if len(runs) < 2:
-        filt = sc.broadcast(loaded(parts, shift, runs[0]) if runs else Filter([], shift))
-    else:
-        for one_run in runs:
-            sent = sc.broadcast(loaded(parts, shift, one_run))
-            found.append(stored(pass_levels(packed, sent, one_run), "lm-levels"))
-            sent.destroy()
     words = packed.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
         "chunk", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     # a word has one row per chunk: its count is summed where these rows meet, and one of them names it
@@ -418,20 +456,34 @@ def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
     words = words.select("chunk", "at", F.sum("n").over(by_word).alias("c"),
                          (F.row_number().over(by_word.orderBy("chunk")) == 1).alias("first")).where("c > 0")
     exact = stored(words.groupBy("chunk").agg(F.collect_list("at").alias("known_at"), F.collect_list("c").alias("known"),
-                                              F.count_if("first").alias("types")), "lm-counts")
-    types = exact.agg(F.sum("types")).first()[0] or 0
+                                              F.collect_list(F.when(F.col("first"), F.col("c"))).alias("own")), "lm-counts")
+    types = exact.agg(F.sum(F.size("own"))).first()[0] or 0
     sums = packed.select(F.aggregate("counts", F.lit(0).cast("long"), lambda a, v: a + v).alias("n")).agg(F.sum("n")).first()[0] or 0
-    rows = packed.select("chunk", "ids", "n_words", "numbers", "hashes").join(exact, "chunk", "left")
-    columns = ["ids", "n_words", "numbers", "hashes", "known_at", "known"]
-    if found:
-        every = reduce(DataFrame.unionByName, found).groupBy("chunk").agg(
-            F.collect_list(F.struct("first", "end", "levels")).alias("found"))
-        rows, columns = rows.join(every, "chunk", "left"), [*columns, "found"]
-    rows = rows.select(columns)
+    alone_total = _value_sum(exact) + types + 1
+    first = first_words(types)
+    parts, filter_path, shift = build_filter(packed, first)
+    runs = passes(parts, pass_bytes) or [(0, 1 << shift)]
+    spark = docs.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # few files for each run, however many tasks ask; a run's part of a chunk stays one row
+    asked = routed(packed, shift, [r[0] for r in runs]).repartition(n, "run", F.pmod("chunk", F.lit(RUN_FILES)))
+    asked_path = written(asked, "lm-asked", partition_by="run")
+    asked, found_path = read_back(asked, asked_path), new_folder(spark, "lm-levels")
+    for r, one_run in enumerate(runs):
+        sent = sc.broadcast(loaded(parts, shift, first, one_run))
+        pass_levels(asked.where(F.col("run") == r), sent).write.parquet(f"{found_path}/run={r}", compression="uncompressed")
+        sent.destroy()
+    remove(spark, asked_path)
+    remove(spark, filter_path)
+    found = spark.read.schema("chunk bigint, levels binary, run int").parquet(found_path)
+    every = found.groupBy("chunk").agg(F.collect_list(F.struct("run", "levels")).alias("found"))
+    rows = packed.select("chunk", "ids", "n_words", "numbers", "hashes").join(exact.drop("own"), "chunk", "left").join(every, "chunk", "left")
+    rows = rows.select("ids", "n_words", "numbers", "hashes", "known_at", "known", "found")
     schema = T.StructType([T.StructField("id", x.schema["id"].dataType), *T._parse_datatype_string(
         "n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
         floor = math.log10(sums + types + 1)
         for b in batches:
             for i in range(b.num_rows):
@@ -442,18 +494,14 @@ def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
                     true[b.column(4)[i].values.to_numpy()] = b.column(5)[i].values.to_numpy()
                 word, before, doc = _unpacked(b.column(2)[i].as_py(), n_words)
                 n = len(n_words)
-                f = filt.value if filt is not None else Levels(b.column(6)[i].as_py(), shift)
-                keys = _key_blocks(hashes, word, before, shift)
-                one = f.counts(next(keys))
-                alone = (one + 1) / (sums + types + 1)
-                base, known, score = np.log10(true + 1) - floor, np.zeros(n), np.zeros(n)
-                total = np.zeros(n)
+                _, at_one, at_two = _asked(hashes, word, before, shift)
+                by_run = sorted((x["run"], x["levels"]) for x in b.column(6)[i].as_py())
+                level = np.frombuffer(b"".join(zstandard.decompress(x) for _, x in by_run), np.uint8)
+                one = VALUES[level[at_one]]
+                base, known, score, total = np.log10(true + 1) - floor, np.zeros(n), np.zeros(n), np.zeros(n)
                 for a in range(0, len(word), BLOCK):
                     w, h, d = word[a:a + BLOCK], before[a:a + BLOCK], doc[a:a + BLOCK]
-                    pair = f.counts(next(keys))
-                    past = np.maximum(one[h], pair)
-                    k = np.maximum(past, 1) ** VARIETY
-                    p = np.minimum((pair + k * alone[w]) / (past + k), 1.0)
+                    p = probabilities(one[w], VALUES[level[at_two[a:a + BLOCK]]], alone_total, true[h], true[w])
                     low, size = int(d[0]), int(d[-1]) - int(d[0]) + 1
                     for out, v in ((score, np.log10(p)), (total, base[w]), (known, (true > 0)[w])):
                         out[low:low + size] += np.bincount(d - low, v, size)
