@@ -26,14 +26,14 @@ training counts of the words.
 How it runs: texts are packed into chunks of about ``CHUNK_BYTES`` with a
 dictionary and compressed token numbers, written once.  The dictionaries are
 exploded, one row per chunk and word; the counts of a word are summed over its
-rows and go back to the chunks, one list per chunk.  Pairs
-are counted in every task first and shuffled as sorted binary blocks, one per
-task and shard.  Every shard builds its own part of the filter and writes it to the
-shared folder; the filter grows with the distinct n-grams.  Every chunk lists the
-distinct n-grams it asks for, once, by runs of shards of up to ``PASS_BYTES``.  The
-runs are sent to the workers one after the other, and the pass of a run reads the
-n-grams of that run only and writes one level each; the texts are scored from the
-levels.  So the passes together read what was asked once, at any number of passes.
+rows and go back to the chunks, one list per chunk.  The distinct n-grams
+of a chunk, with their counts in its training texts, are shuffled once as sorted binary
+blocks, one per chunk and shard.  Every shard adds them up to its own part of the filter
+and writes that and the blocks to the shared folder, by runs of shards of up to
+``PASS_BYTES``; the filter grows with the distinct n-grams.  The runs are sent to the
+workers one after the other, and the pass of a run reads the blocks of that run only and
+writes one level for each n-gram; the texts are scored from the levels.  So the passes
+together read every block once, however many passes there are.
 
 Defined cases: null and empty texts consist of the end; without training rows
 all counts are zero; rows are scored one by one, so repeated rows, null ids and
@@ -68,10 +68,8 @@ WORD_BITS = 9
 #: About 1 in 2 ** SIEVE absent entries passes one word (measured: 1 in 38).
 SIEVE = 5.2
 #: Bytes of the filter that are sent to the workers at once.
-PASS_BYTES = 64 << 20
+PASS_BYTES = 128 << 20
 SHARD_KEYS = 1 << 20
-#: Groups of chunks whose requests to one run of shards are written together.
-RUN_FILES = 64
 #: Tokens scored at once.
 BLOCK = 1 << 18
 #: Bytes of a key in a block of n-grams, below the bits that name the shard.
@@ -245,51 +243,37 @@ def _unpacked(numbers: bytes, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return word, before, doc
 
 
+def _grams(hashes: np.ndarray, word: np.ndarray, before: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of a chunk (sorted), where its words are among them, and where the pairs of its tokens are."""
+    one = rounded(_mix(hashes, 1), shift)
+    two = rounded(pair_keys(hashes[before], hashes[word]), shift)
+    keys, place = np.unique(np.concatenate([one, two]), return_inverse=True)
+    return keys, place[:len(one)], place[len(one):]
+
+
 def gram_blocks(packed: DataFrame, shift: int) -> DataFrame:
-    """``(shard, keys, counts)``: per task and shard, sorted keys (``KEY_BYTES`` below the shard's bits) and their counts."""
+    """``(chunk, shard, keys, counts)``: the distinct n-grams of a chunk in a shard, and how often its training texts hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys = np.concatenate([k for k, _ in held])
-            counts = np.concatenate([c for _, c in held])
-            order = np.argsort(keys, kind="stable")
-            keys, counts = keys[order], counts[order]
-            start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            return keys[start], np.add.reduceat(counts, start)
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            keys, counts = merged()
-            cuts = np.searchsorted(shard_of(keys, shift), np.arange((1 << shift) + 1))
-            for shard in np.flatnonzero(np.diff(cuts)):
-                a, z = cuts[shard], cuts[shard + 1]
-                yield batch(("shard", pa.array([shard], pa.int32())), ("keys", pa.array([squeezed(keys[a:z], shift)], pa.binary())),
-                            ("counts", pa.array([planes(counts[a:z], 6)], pa.binary())))
-
         for b in batches:
             for i in range(b.num_rows):
-                learn = np.array(b.column(0)[i].as_py(), bool)
-                n_words = np.array(b.column(1)[i].as_py(), np.int64)
-                hashes = np.frombuffer(b.column(3)[i].as_py(), np.uint64)
-                own = np.array(b.column(4)[i].as_py(), np.int64)
-                word, before, doc = _unpacked(b.column(2)[i].as_py(), n_words)
-                use = learn[doc] if len(doc) else np.zeros(0, bool)
-                pairs, counts = np.unique(pair_keys(hashes[before[use]], hashes[word[use]]), return_counts=True)
-                seen = own > 0
-                held += [(pairs, counts), (_mix(hashes[seen], 1), own[seen])]
-                size += len(pairs) + int(seen.sum())
-                if size > 4 * SHARD_KEYS:
-                    held = [merged()]
-                    size = len(held[0][0])
-                    if size > 2 * SHARD_KEYS:
-                        yield from flush()
-                        held, size = [], 0
-        if size:
-            yield from flush()
-
-    return packed.select("train", "n_words", "numbers", "hashes", "counts").mapInArrow(run, "shard int, keys binary, counts binary")
+                learn = np.array(b.column(1)[i].as_py(), bool)
+                n_words = np.array(b.column(2)[i].as_py(), np.int64)
+                hashes = np.frombuffer(b.column(4)[i].as_py(), np.uint64)
+                own = np.array(b.column(5)[i].as_py(), np.int64)
+                word, before, doc = _unpacked(b.column(3)[i].as_py(), n_words)
+                keys, at_one, at_two = _grams(hashes, word, before, shift)
+                counts = np.bincount(at_two[learn[doc]], minlength=len(keys))
+                np.add.at(counts, at_one, own)
+                cuts = np.searchsorted(shard_of(keys, shift), np.arange((1 << shift) + 1))
+                for shard in np.flatnonzero(np.diff(cuts)):
+                    a, z = cuts[shard], cuts[shard + 1]
+                    yield batch(("chunk", b.column(0).slice(i, 1)), ("shard", pa.array([shard], pa.int32())),
+                                ("keys", pa.array([squeezed(keys[a:z], shift)], pa.binary())),
+                                ("counts", pa.array([planes(counts[a:z], 6)], pa.binary())))
+
+    return packed.select("chunk", "train", "n_words", "numbers", "hashes", "counts").mapInArrow(
+        run, "chunk bigint, shard int, keys binary, counts binary")
 
 
 def planes(x: np.ndarray, width: int) -> bytes:
@@ -325,103 +309,72 @@ def rounded(keys: np.ndarray, shift: int) -> np.ndarray:
     return keys >> U(drop) << U(drop)
 
 
-def build_filter(packed: DataFrame, first: int) -> tuple[DataFrame, str, int]:
-    """The filter of the training texts of all chunks, ``(shard, bits)``, its folder, and the bits that name a shard."""
+def build_filter(packed: DataFrame, first: int, pass_bytes: int = PASS_BYTES) -> tuple[DataFrame, str, int]:
+    """``(shard, chunk, keys, bits, run)`` in a new folder, that folder, and the number of bits that name a shard.
+
+    Rows with ``bits`` are the filter of the training texts of all chunks, those with ``keys`` the
+    n-grams that a chunk asks for.  A run is as many neighbouring shards as ``pass_bytes`` allows.
+    """
     tokens = packed.agg(F.sum("n_tokens")).first()[0] or 0
     shift = max(0, math.ceil(math.log2(max(1, tokens) / SHARD_KEYS)))
+    together = max(1, pass_bytes // (SHARD_KEYS * WORD_BITS * (first + 1) // 8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, keys, counts = None, [], []
 
+        def row(shard: int, chunk, asked: bytes | None, bits: bytes | None) -> pa.RecordBatch:
+            return batch(("shard", pa.array([shard], pa.int32())), ("chunk", pa.array([chunk], pa.int64())),
+                         ("keys", pa.array([asked], pa.binary())), ("bits", pa.array([bits], pa.binary())),
+                         ("run", pa.array([shard // together], pa.int32())))
+
         def part() -> pa.RecordBatch:
             k, c = np.concatenate(keys), np.concatenate(counts)
             distinct, inverse = np.unique(k, return_inverse=True)
             total = np.bincount(inverse, c).astype(np.int64)
-            return batch(("shard", pa.array([last], pa.int32())), ("bits", pa.array([shard_bits(distinct, total, first)], pa.binary())))
+            return row(last, None, None, shard_bits(distinct, total, first))
 
         for b in batches:
             for i in range(b.num_rows):
-                shard = b.column(0)[i].as_py()
+                shard, asked = b.column(1)[i].as_py(), b.column(2)[i].as_py()
                 if shard != last and last is not None:
                     yield part()
                     keys, counts = [], []
                 last = shard
-                keys.append(full_keys(shard, b.column(1)[i].as_py(), shift))
-                counts.append(from_planes(b.column(2)[i].as_py(), 6).astype(np.int64))
+                k, c = full_keys(shard, asked, shift), from_planes(b.column(3)[i].as_py(), 6).astype(np.int64)
+                keys.append(k[c > 0])
+                counts.append(c[c > 0])
+                yield row(shard, b.column(0)[i].as_py(), asked, None)
         if last is not None:
             yield part()
 
     n = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = gram_blocks(packed, shift).repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard int, bits binary")
-    path = written(parts, "lm-filter")
+    parts = gram_blocks(packed, shift).repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(
+        run, "shard int, chunk bigint, keys binary, bits binary, run int")
+    path = written(parts, "lm-filter", partition_by="run")
     return read_back(parts, path), path, shift
 
 
-def passes(parts: DataFrame, pass_bytes: int) -> list[tuple[int, int]]:
-    """Runs ``[first, end)`` of shards whose parts take up to ``pass_bytes`` together (a larger shard is a run of its own)."""
-    sizes = sorted(tuple(r) for r in parts.select("shard", F.octet_length("bits")).collect())
-    runs, size = [], 0
-    for shard, n in sizes:
-        if not runs or size + n > pass_bytes:
-            runs.append((shard, shard + 1))
-            size = 0
-        runs[-1] = (runs[-1][0], shard + 1)
-        size += n
-    return runs
-
-
-def loaded(parts: DataFrame, shift: int, first: int, run: tuple[int, int]) -> Filter:
-    """The filter of one run of shards."""
-    got = parts.where(F.col("shard").between(run[0], run[1] - 1)).toArrow()
+def loaded(parts: DataFrame, shift: int, first: int, run: int | None = None) -> Filter:
+    """The filter of one run of shards (None: of all)."""
+    parts = parts.where(F.col("bits").isNotNull() & (F.lit(True) if run is None else F.col("run") == run))
+    got = parts.select("shard", "bits").toArrow()
     return Filter(list(zip(got.column("shard").to_pylist(), got.column("bits").to_pylist())), shift, first)
 
 
-def _asked(hashes: np.ndarray, word: np.ndarray, before: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct n-grams of a chunk (sorted), where its words are among them, and where the pairs of its tokens are."""
-    one = rounded(_mix(hashes, 1), shift)
-    two = rounded(pair_keys(hashes[before], hashes[word]), shift)
-    keys, place = np.unique(np.concatenate([one, two]), return_inverse=True)
-    return keys, place[:len(one)], place[len(one):]
-
-
-def _cuts(keys: np.ndarray, shift: int, starts: list[int]) -> np.ndarray:
-    """Where the keys of each run begin in sorted keys; the first run takes what is before it, too."""
-    return np.append(np.concatenate([[0], np.searchsorted(shard_of(keys, shift), starts[1:])]), len(keys)).astype(np.int64)
-
-
-def routed(packed: DataFrame, shift: int, starts: list[int]) -> DataFrame:
-    """``(chunk, run, keys)``: the n-grams that a chunk asks of each run of shards."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                hashes = np.frombuffer(b.column(3)[i].as_py(), np.uint64)
-                word, before, _ = _unpacked(b.column(2)[i].as_py(), b.column(1)[i].values.to_numpy().astype(np.int64))
-                keys, _, _ = _asked(hashes, word, before, shift)
-                drop = U(max(0, 64 - 8 * KEY_BYTES - shift))
-                cuts = _cuts(keys, shift, starts)
-                for r in range(len(starts)):
-                    part = keys[cuts[r]:cuts[r + 1]] >> drop
-                    yield batch(("chunk", b.column(0).slice(i, 1)), ("run", pa.array([r], pa.int32())),
-                                ("keys", pa.array([planes(np.diff(part, prepend=U(0)), 8)], pa.binary())))
-
-    return packed.select("chunk", "n_words", "numbers", "hashes").mapInArrow(run, "chunk bigint, run int, keys binary")
-
-
 def pass_levels(asked: DataFrame, filt: Broadcast) -> DataFrame:
-    """``(chunk, levels)``: one byte for each n-gram asked of one run of shards."""
+    """``(chunk, shard, levels)``: one byte for each n-gram that a chunk asks of a shard."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         f: Filter = filt.value
-        drop = U(max(0, 64 - 8 * KEY_BYTES - f.shift))
         for b in batches:
             for i in range(b.num_rows):
-                keys = np.cumsum(from_planes(b.column(1)[i].as_py(), 8), dtype=np.uint64) << drop
-                yield batch(("chunk", b.column(0).slice(i, 1)),
-                            ("levels", pa.array([zstandard.compress(f.levels(keys).astype(np.uint8).tobytes(), 1)], pa.binary())))
+                found = f.levels(full_keys(b.column(1)[i].as_py(), b.column(2)[i].as_py(), f.shift)).astype(np.uint8)
+                yield batch(("chunk", b.column(0).slice(i, 1)), ("shard", b.column(1).slice(i, 1)),
+                            ("levels", pa.array([zstandard.compress(found.tobytes(), 1)], pa.binary())))
 
-    return asked.select("chunk", "keys").mapInArrow(look, "chunk bigint, levels binary")
+    return asked.where(F.col("keys").isNotNull()).select("chunk", "shard", "keys").mapInArrow(
+        look, "chunk bigint, shard int, levels binary")
 
 
 def probabilities(one, two, alone_total: float, past: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -461,22 +414,17 @@ def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
     sums = packed.select(F.aggregate("counts", F.lit(0).cast("long"), lambda a, v: a + v).alias("n")).agg(F.sum("n")).first()[0] or 0
     alone_total = _value_sum(exact) + types + 1
     first = first_words(types)
-    parts, filter_path, shift = build_filter(packed, first)
-    runs = passes(parts, pass_bytes) or [(0, 1 << shift)]
+    parts, filter_path, shift = build_filter(packed, first, pass_bytes)
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # few files for each run, however many tasks ask; a run's part of a chunk stays one row
-    asked = routed(packed, shift, [r[0] for r in runs]).repartition(n, "run", F.pmod("chunk", F.lit(RUN_FILES)))
-    asked_path = written(asked, "lm-asked", partition_by="run")
-    asked, found_path = read_back(asked, asked_path), new_folder(spark, "lm-levels")
-    for r, one_run in enumerate(runs):
-        sent = sc.broadcast(loaded(parts, shift, first, one_run))
-        pass_levels(asked.where(F.col("run") == r), sent).write.parquet(f"{found_path}/run={r}", compression="uncompressed")
+    found_path = new_folder(spark, "lm-levels")
+    for r in sorted(x.run for x in parts.select("run").distinct().collect()):
+        sent = sc.broadcast(loaded(parts, shift, first, r))
+        pass_levels(parts.where(F.col("run") == r), sent).write.parquet(f"{found_path}/run={r}", compression="uncompressed")
         sent.destroy()
-    remove(spark, asked_path)
     remove(spark, filter_path)
-    found = spark.read.schema("chunk bigint, levels binary, run int").parquet(found_path)
-    every = found.groupBy("chunk").agg(F.collect_list(F.struct("run", "levels")).alias("found"))
+    found = spark.read.schema("chunk bigint, shard int, levels binary, run int").parquet(found_path) if packed.take(1) \
+        else spark.createDataFrame([], "chunk bigint, shard int, levels binary, run int")
+    every = found.groupBy("chunk").agg(F.collect_list(F.struct("shard", "levels")).alias("found"))
     rows = packed.select("chunk", "ids", "n_words", "numbers", "hashes").join(exact.drop("own"), "chunk", "left").join(every, "chunk", "left")
     rows = rows.select("ids", "n_words", "numbers", "hashes", "known_at", "known", "found")
     schema = T.StructType([T.StructField("id", x.schema["id"].dataType), *T._parse_datatype_string(
@@ -494,9 +442,9 @@ def lm_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: s
                     true[b.column(4)[i].values.to_numpy()] = b.column(5)[i].values.to_numpy()
                 word, before, doc = _unpacked(b.column(2)[i].as_py(), n_words)
                 n = len(n_words)
-                _, at_one, at_two = _asked(hashes, word, before, shift)
-                by_run = sorted((x["run"], x["levels"]) for x in b.column(6)[i].as_py())
-                level = np.frombuffer(b"".join(zstandard.decompress(x) for _, x in by_run), np.uint8)
+                _, at_one, at_two = _grams(hashes, word, before, shift)
+                by_shard = sorted((x["shard"], x["levels"]) for x in b.column(6)[i].as_py())
+                level = np.frombuffer(b"".join(zstandard.decompress(x) for _, x in by_shard), np.uint8)
                 one = VALUES[level[at_one]]
                 base, known, score, total = np.log10(true + 1) - floor, np.zeros(n), np.zeros(n), np.zeros(n)
                 for a in range(0, len(word), BLOCK):

@@ -149,7 +149,7 @@ def test_lm_probabilities_sum_to_one(spark, docs):
     first = lm_score.first_words(len(vocabulary))
     packed = lm_score.stored(lm_score.chunks(df.select(F.col("doc_id").alias("id"), train.alias("train"), "text")), "test")
     parts, _, shift = lm_score.build_filter(packed, first)
-    f = lm_score.loaded(parts, shift, first, (0, 1 << shift))
+    f = lm_score.loaded(parts, shift, first)
     hashes = np.array([xxh64_intdigest(w.encode()) for w in vocabulary], np.uint64)
     own = np.array([one[w] for w in vocabulary], float)
     values = f.counts(lm_score.rounded(lm_score._mix(hashes, 1), shift))
@@ -208,14 +208,13 @@ def test_filter_grows_and_is_read_in_passes(spark, docs):
     lm_score.SHARD_KEYS = 1 << 12  # as many shards as a larger corpus has
     try:
         packed = lm_score.stored(lm_score.chunks(df.select(F.col("doc_id").alias("id"), train.alias("train"), "text")), "test")
-        parts, _, shift = lm_score.build_filter(packed, 2)
-        total = sum(len(r.bits) for r in parts.collect())
-        runs = lm_score.passes(parts, total // 4)
-        assert shift > 2 and len(runs) > 3 and runs[0][0] == 0 and all(a[1] <= b[0] for a, b in zip(runs, runs[1:]))
-        one = lm_score.loaded(parts, shift, 2, (0, 1 << shift))
+        parts, _, shift = lm_score.build_filter(packed, 2, pass_bytes=1 << 17)
+        sizes = {r.run: r.n for r in parts.groupBy("run").agg(F.sum(F.octet_length("bits")).alias("n")).collect()}
+        assert shift > 2 and len(sizes) > 3 and max(sizes.values()) <= 1 << 17
+        one = lm_score.loaded(parts, shift, 2)
         unseen = np.random.default_rng(3).integers(0, 2**64, 200_000, dtype=np.uint64)
         assert (one.counts(unseen) > 0).mean() < 2 * 2 ** (-lm_score.SIEVE * 2)
-        single, many = (read(lm_score.lm_score(df, train, pass_bytes=n)) for n in (1 << 30, total // 4))
+        single, many = (read(lm_score.lm_score(df, train, pass_bytes=n)) for n in (1 << 30, 1 << 17))
     finally:
         lm_score.SHARD_KEYS = old
     assert set(whole) == set(single) == set(many) == {d[0] for d in docs}
