@@ -221,6 +221,9 @@ WHERE rank <= 150""",
     "o08_answer_log": _ANSWER_LOG,
     "o09_appended_ratings": _with(_RAT, _ANS) + """
 SELECT userId, movieId, rating, "timestamp" FROM rat
+UNION ALL SELECT userId, movieId, rating, CAST(NULL AS BIGINT) FROM acc""",
+    "o09_rating_store": _with(_RAT, _ANS) + """
+SELECT userId, movieId, rating, "timestamp" FROM rat
 UNION ALL SELECT userId, movieId, rating, CAST(NULL AS BIGINT) FROM acc""",
     "o10_als_check": _with(_RAT) + "SELECT userId, count(*) AS n_ratings, true AS solved FROM rat GROUP BY userId",
     "o11_als_check": _with(_RAT) + "SELECT userId, count(*) AS n_scored, true AS sound FROM rat GROUP BY userId",

@@ -9,6 +9,8 @@ program always recommends for.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,13 +23,17 @@ from marquee.operators import feedback as FB
 from marquee.operators import neighbours as N
 from marquee.operators import popularity as P
 from marquee.operators import seen as SE
+from marquee.session import checkpoint_dir
 from marquee.sources import testdata as TD
-from marquee.sources.tables import materialize, memoize
+from marquee.sources.rating_store import RatingStore
+from marquee.sources.tables import materialize, memoize, shared_folder
 
 TARGET_USER = 0
 #: Users with at most this many ratings are the target set of the ``_set`` plans.
 LIGHT_USER_RATINGS = 20
 VOCAB = TD.ADAPTER_GENRES
+#: Buckets of the rating store: as many as the largest append needs to be files of about 128 MB.
+STORE_BUCKETS = 16
 
 
 def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +122,22 @@ def o09_appended_ratings(spark, sf_dir):
     return FB.append_ratings(r, FB.accepted_ratings(_answers(spark, sf_dir)))
 
 
+def o09_rating_store(spark, sf_dir):
+    """O9 through the store: the ratings and the accepted answers as two appends, read back by user."""
+    r = _ratings(spark, sf_dir)
+
+    def filled() -> RatingStore:
+        folder = shared_folder(spark)
+        if not folder and spark.sparkContext.master.startswith("local"):
+            folder = "file:" + tempfile.mkdtemp(prefix="marquee-store-")  # one machine: tests and bench
+        store = RatingStore(spark, f"{folder or checkpoint_dir(spark)}/marquee-store/{uuid.uuid4().hex}", r.schema, STORE_BUCKETS)
+        store.append(r)
+        store.append(FB.accepted_ratings(_answers(spark, sf_dir)))
+        return store
+
+    return memoize(spark, f"store@{sf_dir}", filled).read("userId")
+
+
 def _model(spark, sf_dir):
     """The model is trained once per application and shared by O10-O14, as
     the original trains once and then scores, evaluates and recommends."""
