@@ -88,3 +88,31 @@ def test_equal_to_spark_ml_for_all_users(spark):
     assert both.count() == 20 * model.user_factors().count()
     plan = physical_plan(mine)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_users_are_shuffled_once(monkeypatch):
+    """A pack of users was sent to every block that it needed; now each user is in one packed row."""
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    v, u = rng.normal(size=(512, 6)), rng.normal(size=(700, 6))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)  # equal norms: every block is needed
+    batch = pa.RecordBatch.from_pydict({"user": pa.array(range(700), pa.int64()), "features": pa.array(u.tolist(), pa.list_(pa.float32())),
+                                        "top": pa.array([20] * 700, pa.int64())})
+
+    class Context:
+        partitionId = staticmethod(lambda: 0)
+    monkeypatch.setattr(K, "TaskContext", type("T", (), {"get": staticmethod(lambda: Context)}))
+    work = list(K._plan(6, v[:64], np.ones(8), np.arange(8))([batch]))
+    names = "users" if "users" in work[0].schema.names else "ids"
+    assert sum(len(b.column(names)[0].as_py()) for b in work) == 700 * 8
+
+
+def test_users_drop_out_where_norms_fall():
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(4096, 6)) * np.geomspace(10, 0.01, 4096)[:, None]
+    v = v[np.argsort(-np.linalg.norm(v, axis=1))]
+    s = K.Slice(np.arange(50), rng.normal(size=(50, 6)), np.full(50, 20), np.full(50, -np.inf))
+    for at in range(0, 4096, 64):
+        if not s.take(np.arange(at, at + 64), v[at:at + 64], float(np.linalg.norm(v[at]))):
+            break
+    assert 0 < s.scored < 32  # of 64 blocks
