@@ -40,6 +40,7 @@ from marquee.schema import (
     REPORT_ITEM_FORMAT, REPORT_ITEM_SEPARATOR, REPORT_USER_PREFIX, REPORT_USER_SUFFIX,
     REPORT_USERS, SCORE_SCALE,
 )
+from marquee.sources.tables import materialize
 
 # Signatures per catalogue row (bounds the array one row carries).
 CHUNK_SIGNATURES = 1 << 14
@@ -170,7 +171,10 @@ def content_scores(ratings: DataFrame, movies: DataFrame, *, vocabulary: Sequenc
     """
     if users is not None:  # before anything is computed for anybody
         ratings = restrict_to(ratings, users.select("userId"))
-    matrix = genre_matrix(movies, vocabulary, no_genre_label, unknown)
+    # few bytes, much work: the catalogue's genre sets are read once, in as many tasks as a shuffle has
+    tasks = int(movies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = movies.select("movieId", "genres").repartition(tasks, "movieId")
+    matrix = materialize(genre_matrix(spread, vocabulary, no_genre_label, unknown), "genre-matrix")
     liked = liked_ratings(ratings, movies, n_liked, threshold, exclude_label)
     profiles = user_profiles(liked, matrix, len(vocabulary))
     seen = seen_items(ratings)
