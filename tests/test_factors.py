@@ -199,3 +199,24 @@ def test_top20_plans_cover_all_their_users(spark):
     assert users(registry.o13_als_top20(spark, folder)) == users(testdata.ratings(spark, folder))
     new = users(feedback.accepted_ratings(testdata.answers(spark, folder)))
     assert new and users(registry.o27_refresh_top20(spark, folder)) == new
+
+
+def test_products_lie_by_user_for_the_checks(spark):
+    """The checks group products by user; joined by movie last, every row was shuffled once more for it."""
+    from types import SimpleNamespace
+
+    from conftest import physical_plan, rows
+    from marquee.plans import registry as R
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as at sizes where no side is broadcast
+    try:
+        u = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(4)], "userId long, features array<float>")
+        v = spark.createDataFrame([(i, [2.0, float(i)]) for i in range(3)], "movieId long, features array<float>")
+        pairs = spark.createDataFrame([(i, j) for i in range(4) for j in range(3)] + [(1, 1), (None, 1), (9, 9)], "userId long, movieId long")
+        x = R._with_product(SimpleNamespace(user_factors=lambda: u, item_factors=lambda: v), pairs)
+        grouped = x.groupBy("userId").agg(F.sum("product").alias("s"), F.count(F.lit(1)).alias("n"))
+        assert physical_plan(grouped).count("Exchange hashpartitioning") == physical_plan(x).count("Exchange hashpartitioning") == 4
+        assert rows(grouped) == [(i, 6.0 + 3 * i + (3.0 if i == 1 else 0.0), 3 + (i == 1)) for i in range(4)]
+    finally:
+        spark.conf.set(key, kept)
