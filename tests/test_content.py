@@ -244,3 +244,17 @@ def test_trailing_separators(spark):
     bad = spark.createDataFrame([(1, "a", "Action||Drama")], "movieId int, title string, genres string")
     with pytest.raises(Exception, match="not in vocabulary"):
         C.genre_matrix(bad, VOC3).collect()
+
+
+def test_genre_sets_are_read_once_in_many_tasks(spark, monkeypatch):
+    """A small catalogue file was parsed in one task, again for every branch of the plan."""
+    read = []
+    kept = C.genre_matrix
+    monkeypatch.setattr(C, "genre_matrix", lambda movies, *a, **kw: read.append(movies.rdd.getNumPartitions()) or kept(movies, *a, **kw))
+    r = spark.createDataFrame([(1, 1, 4.0, 1), (1, 2, 5.0, 2), (2, 3, 3.0, 1)], "userId long, movieId long, rating double, timestamp long")
+    m = spark.createDataFrame([(i, f"m{i}", "Action|Drama" if i % 2 else "Comedy") for i in range(1, 9)],
+                              "movieId long, title string, genres string").coalesce(1)
+    out = C.content_recommendations(r, m, n=2)
+    assert read == [8]  # the session's shuffle partitions
+    assert rows(out, "userId", "rank", "movieId") == [(1, 1, 3), (1, 2, 5), (2, 1, 1), (2, 2, 5)]
+    assert "regexp_replace" not in physical_plan(out)
