@@ -81,12 +81,18 @@ def _form(c: Column, real: Column, names: tuple[str, ...]) -> Column:
     return F.zip_with(c, real, lambda x, r: F.when(x.isin(words), r).otherwise(x))
 
 
-def _hash(c: Column, at: Column | int, length: int, *salt: Column) -> Column:
-    return F.xxhash64(*salt, *[F.get(c, at + k) for k in range(length)])
+def _each(c: Column) -> Column:
+    """Every token as a number; windows are hashed from these."""
+    return F.transform(c, lambda x: F.xxhash64(x))
 
 
-def _real_hash(real: Column, at: Column | int, length: int) -> Column:
-    return _hash(real, at, length, F.lit(MARK), F.lit(length))
+def _hash(each: Column, at: Column | int, length: int, *salt: Column) -> Column:
+    """Hash of the window at ``at`` of the numbers of ``_each``."""
+    return F.xxhash64(*salt, *[F.get(each, at + k) for k in range(length)])
+
+
+def _real_hash(each: Column, at: Column | int, length: int) -> Column:
+    return _hash(each, at, length, F.lit(MARK), F.lit(length))
 
 
 def _with_tokens(text: Column, body) -> Column:
@@ -95,26 +101,26 @@ def _with_tokens(text: Column, body) -> Column:
     return let(canonical_tokens(text), lambda c: let(real, lambda r: body(c, r)))
 
 
-def _windows(text: Column, lengths: list[int]) -> Column:
-    """``array<struct<pos, h>>``, h: the hashes of a window in all forms, and of the ``lengths`` real tokens at its start."""
-    least = min([WINDOW, *lengths])
-
-    def of(c: Column, real: Column) -> Column:
-        def hashes(marked: Column, *forms: Column) -> Column:
-            def one(_: Column, i: Column) -> Column:
-                h = [_hash(forms[0], i, WINDOW)]
-                for k, form in enumerate(forms[1:]):
-                    h.append(F.when(marked[k], _hash(form, i, WINDOW)))
-                return F.struct(i.alias("pos"), F.array(*h, *[_real_hash(real, i, n) for n in lengths]).alias("h"))
-            return F.slice(F.transform(forms[0], one), F.lit(1), F.greatest(F.size(c) - least + 1, F.lit(0)))
-
-        def bind(rest, *got: Column) -> Column:
-            return let(_form(c, real, rest[0]), lambda x: bind(rest[1:], *got, x)) if rest else hashes(*got)
+def _window_hashes(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """``(id, text_hash, pos, h)`` of ``docs (id, text_hash, text)``: the hashes of the window at ``pos`` in all forms, and of
+    the ``lengths`` real tokens at its start.
 
-        # a text without such words has the same windows in the next form
-        return let(F.array(F.array_contains(c, NAME), F.array_contains(c, START)), lambda marked: bind(VARIANTS, marked))
+    Higher-order functions number the tokens, once; the windows, eight times as many, come from plain expressions over rows.
+    """
+    def numbered(c: Column, real: Column) -> Column:
+        return F.struct(F.size(c).alias("n"), *[_each(_form(c, real, v)).alias(f"f{k}") for k, v in enumerate(VARIANTS)],
+                        _each(real).alias("real"))
 
-    return _with_tokens(text, of)
+    x = docs.select("id", "text_hash", _with_tokens(F.col("text"), numbered).alias("t")).select("id", "text_hash", "t.*")
+    last = F.col("n") - min([WINDOW, *lengths])
+    # explode_outer: before explode() Spark puts a filter that evaluates the argument once more
+    x = x.withColumn("pos", F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), last)))).where("pos is not null")
+    forms = [f"h{k}" for k in range(len(VARIANTS))]
+    x = x.select("id", "text_hash", "pos", *[_hash(F.col(f"f{k}"), F.col("pos"), WINDOW).alias(h) for k, h in enumerate(forms)],
+                 *[_real_hash(F.col("real"), F.col("pos"), n).alias(f"r{n}") for n in lengths])
+    # a window without such words is the same in the next form
+    new = [F.col(forms[0]), *[F.when(F.col(h) != F.col(before), F.col(h)) for before, h in zip(forms, forms[1:])]]
+    return x.select("id", "text_hash", "pos", F.explode_outer(F.array(*new, *[F.col(f"r{n}") for n in lengths])).alias("h"))
 
 
 def item_texts(benchmark: DataFrame, text_col: str) -> DataFrame:
@@ -133,14 +139,14 @@ def item_seeds(texts: DataFrame) -> DataFrame:
 
     def one(i: Column) -> Column:
         def seed(form: Column) -> Column:
-            return F.when(~few(form, i), F.struct(i.alias("pos"), _hash(form, i, WINDOW).alias("h"), none.alias("length")))
+            return F.when(~few(form, i), F.struct(i.alias("pos"), _hash(_each(form), i, WINDOW).alias("h"), none.alias("length")))
         plain = _form(c, real, ())
-        exact = F.when(few(plain, i), F.struct(i.alias("pos"), _real_hash(real, i, WINDOW).alias("h"), F.lit(WINDOW).alias("length")))
+        exact = F.when(few(plain, i), F.struct(i.alias("pos"), _real_hash(_each(real), i, WINDOW).alias("h"), F.lit(WINDOW).alias("length")))
         return F.filter(F.array(*[seed(_form(c, real, v)) for v in VARIANTS], exact), lambda x: x.isNotNull())
 
     short = F.array()
     for k in range(WINDOW - 1, MIN_LITERAL - 1, -1):
-        whole = F.array(F.struct(F.lit(0).alias("pos"), _real_hash(real, F.lit(0), k).alias("h"), F.lit(k).alias("length")))
+        whole = F.array(F.struct(F.lit(0).alias("pos"), _real_hash(_each(real), F.lit(0), k).alias("h"), F.lit(k).alias("length")))
         short = F.when(n == k, whole).otherwise(short) if k < WINDOW - 1 else whole
     seeds = F.when(n < WINDOW, short).otherwise(F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))), one)))
     return texts.select("item_hash", "item_tokens", F.explode_outer(seeds).alias("s")).select(
@@ -209,9 +215,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     lengths = sorted(r[0] for r in seeds.where("length is not null").select("length").distinct().collect())  # WINDOW numbers at most
     text = F.col(text_col)
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    # explode_outer: before explode() Spark puts a filter that evaluates the argument once more; the joins drop its nulls
-    x = d.select("id", "text_hash", F.explode_outer(_windows(F.col("text"), lengths)).alias("w")).select(
-        "id", "text_hash", F.col("w.pos").alias("pos"), F.explode_outer(F.array_distinct("w.h")).alias("h"))
+    x = _window_hashes(d, lengths)
     hits = stored(x.join(broadcast_if_small(seeds.drop("length"), row_bytes=64), "h").select(
         "id", "text_hash", "item_hash", "item_tokens", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct(), "leak-hits")
     by_doc = hits.groupBy(F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).agg(

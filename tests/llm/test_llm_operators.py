@@ -510,3 +510,22 @@ def test_chat_layouts_with_fields_of_other_layouts(spark):
         ("turn rows", "hi"), ("turn rows", "yo")]
     nested = spark.createDataFrame([(1, "i", "o", "t")], "k long, instruction string, output string, text string")
     assert [r.text for r in chat_format.turns_from_table(nested, "k").orderBy("turn").collect()] == ["i", "o"]
+
+
+def test_decontamination_hashes_windows_in_compiled_rows(spark):
+    """Windows were hashed inside higher-order functions, which Spark interprets element by element."""
+    from conftest import physical_plan
+
+    from marquee.llm import decontaminate as D
+    text = "we met Anna Berg on 4 May in Oslo before the old bridge was closed and she paid 20 dollars"
+    docs = spark.createDataFrame([(1, 1, text), (2, 2, "too short"), (3, 3, None)], "id long, text_hash long, text string")
+    x = D._window_hashes(docs, [D.WINDOW])
+    plan = physical_plan(x)
+    hashed = [line for line in plan.splitlines() if "Project" in line and "AS h0" in line]
+    assert hashed and all("*(" in line for line in hashed)
+    rows = x.where("h is not null").collect()
+    n = len(text.split())
+    assert {r["id"] for r in rows} == {1} and {r["pos"] for r in rows} == set(range(n - D.WINDOW + 1))
+    assert max(sum(r["pos"] == p for r in rows) for p in range(n - D.WINDOW + 1)) <= len(D.VARIANTS) + 1
+    swapped = docs.select("id", "text_hash", F.regexp_replace("text", "Berg", "Holm").alias("text"))
+    assert {r["h"] for r in rows if r["pos"] == 0} & {r["h"] for r in D._window_hashes(swapped, [D.WINDOW]).where("pos = 0").collect()}
