@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, physical_plan
 from marquee.operators import factors as FA
 from marquee.operators import feedback as FB
 from marquee.sources import testdata as TD
@@ -220,3 +220,27 @@ def test_products_lie_by_user_for_the_checks(spark):
         assert rows(grouped) == [(i, 6.0 + 3 * i + (3.0 if i == 1 else 0.0), 3 + (i == 1)) for i in range(4)]
     finally:
         spark.conf.set(key, kept)
+
+
+def test_residuals_shuffle_the_ratings_twice(spark):
+    """They were joined by user, by movie and once more with the movies' factors, and the sums were shuffled by user again."""
+    rows = [(u, m, float((u * m) % 5 + 1)) for u in range(12) for m in range(9) if (u + m) % 3]
+    ratings = spark.createDataFrame(rows, "userId long, movieId long, rating double")
+    model = FA.train_als(ratings, blocks=2)
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = FA.normal_equation_residuals(model, ratings)
+        plan = physical_plan(out)
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
+    assert plan.count("Exchange hashpartitioning") == 4  # the ratings by movie and by user, the factors of both
+    got = {r["userId"]: r for r in out.collect()}
+    u, v = ({r[0]: np.array(r[1]) for r in f.collect()} for f in (model.user_factors(), model.item_factors()))
+    for user, r in got.items():
+        own = [(m, s) for a, m, s in rows if a == user]
+        g = sum((np.float32(u[user] @ v[m]) - s) * v[m] for m, s in own) / len(own) + FA.ALS_REG_PARAM * u[user]
+        assert r["n_ratings"] == len(own) and abs(r["residual"] - np.abs(g).max()) < 1e-5
+    assert set(got) == {a for a, _, _ in rows}
