@@ -1,5 +1,12 @@
 """Byte-pair encoding and decoding with a public byte-level vocabulary (operator 5).
 
+The pre-tokenizer's words are cut from the code points of many texts at once: a
+word starts where the class of the characters changes (letters, numbers, white
+space, others), and three corrections for a space before a word, for the other
+white space before it and for contractions give the rule of ``PATTERN``.  Words
+are found again by a hash over their code points, and every word found is held
+against the one that was remembered, so equal hashes never stand for equality.
+
 A word of the pre-tokenizer is encoded by a contiguous rank array: the ids of
 its parts stand side by side with the rank of every adjacent pair.  The array
 is scanned for the smallest rank (the leftmost of equals), that boundary is
@@ -25,6 +32,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +44,17 @@ from pyspark.sql import types as T
 from marquee.llm.arrow import batch, binary, slices, spans
 from marquee.llm.common import fresh
 
-#: The pre-tokenizer of the byte-level vocabularies (white space as in Unicode).
+#: The pre-tokenizer of the byte-level vocabularies (white space as in Unicode); ``_word_starts`` does the same.
 PATTERN = (r"'(?:[stmd]|re|ve|ll)| ?(?:\p{L}++|\p{N}++|[^\p{White_Space}\p{L}\p{N}]++)"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 LONG = 96
 #: Distinct words a worker remembers before it starts anew.
 CACHE_WORDS = 400_000
-NONE = np.int64(1 << 40)
+#: Characters whose words are cut and looked up at once.
+BLOCK = 1 << 20
+#: Leading bits of a hash by which most words are found without a search.
+SLOT_BITS = 20
+NONE = np.int32(1 << 30)
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,6 +64,46 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: Classes of characters.
+OTHER, LETTER, NUMBER, WHITE = range(4)
+
+
+@lru_cache(maxsize=1)
+def character_classes() -> np.ndarray:
+    """The class of every code point."""
+    import regex
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    out = np.full(0x110000, OTHER, np.uint8)
+    for kind, of in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\p{White_Space}+")):
+        for m in regex.finditer(of, every):
+            out[ord(every[m.start()]):ord(every[m.end() - 1]) + 1] = kind
+    return out
+
+
+def _word_starts(codes: np.ndarray, kind: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the words of ``PATTERN`` start in texts that stand one after the other, none of them empty."""
+    n = len(codes)
+    text = np.zeros(n + 3, bool)  # a text starts here
+    text[starts] = text[n:] = True
+    new = text.copy()
+    new[1:n] |= kind[1:] != kind[:-1]
+    # the last white space before a word stands alone, or is the word's if it is a space
+    white = kind == WHITE
+    last = np.flatnonzero(white[:-1] & ~white[1:] & ~text[1:n])
+    new[last] = True
+    new[last[codes[last] == 32] + 1] = False
+    # contractions
+    mark = np.flatnonzero(codes == 39)
+    mark = mark[new[mark] & ~text[mark + 1]]
+    one, two = (np.append(codes, [0, 0])[mark + k] for k in (1, 2))
+    short = mark[np.isin(one, [ord(c) for c in "stmd"])]
+    new[short + 1], new[short + 2] = False, True
+    both = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    both = mark[both & ~text[mark + 2]]
+    new[both + 1], new[both + 3] = False, True
+    return np.flatnonzero(new[:n])
+
+
 def load_vocabulary(spark: SparkSession, path: str) -> dict:
     """The parsed vocabulary file (a size fixed by the vocabulary, whatever the corpus)."""
     with open(path, encoding="utf-8") as f:
@@ -69,7 +121,8 @@ def load_vocabulary(spark: SparkSession, path: str) -> dict:
     single = np.zeros(256, np.int64)
     for c, b in letters.items():
         single[b] = ids[c]
-    return {"vocab": vocab, "special": special, "left": left, "right": right, "made": made, "single": single}
+    return {"vocab": vocab, "special": special, "left": left, "right": right, "made": made, "single": single,
+            "classes": character_classes()}
 
 
 class Encoder:
@@ -79,9 +132,11 @@ class Encoder:
         import regex
         key = v["left"] << 20 | v["right"]
         order = np.argsort(key)
-        self.keys, self.ranks, self.made = key[order], order.astype(np.int64), v["made"][order]
-        self.single = v["single"]
-        self.words = regex.compile(PATTERN).findall
+        self.keys, self.ranks, self.made = key[order], order.astype(np.int32), v["made"][order].astype(np.int32)
+        self.single = v["single"].astype(np.int32)
+        self.first = self._pair(np.repeat(self.single, 256), np.tile(self.single, 256))  # of every two bytes
+        self.classes = v["classes"]
+        self.seam = regex.compile(r"(?<=\P{White_Space})\p{White_Space}").search
         self.special = v["special"]
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")").split \
             if self.special else None
@@ -91,17 +146,22 @@ class Encoder:
             self.token_len[i] = len(b)
         self.token_at = np.cumsum(self.token_len) - self.token_len
         self.token_bytes = np.frombuffer(b"".join(v["vocab"].get(i, b"") for i in range(size)), np.uint8)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.at = np.zeros(0, np.int64)
-        self.len = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int64)
+        self._clear(0)
+
+    def _clear(self, seed: int) -> None:
+        self.seed = seed
+        self.factors = np.zeros(0, np.uint64)
+        self.hashes = np.zeros(0, np.uint64)  # sorted, and the numbers of their words
+        self.number = np.zeros(0, np.int64)
+        # the number of the first word with the leading bits of its hash, and all hashes by number
+        self.slots, self.hash_of = np.full(1 << SLOT_BITS, -1, np.int32), np.zeros(1, np.uint64)
+        # by number: where a word's ids and its code points stand
+        self.at, self.len, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.code_at, self.code_len, self.codes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranks of pairs (NONE where there is no merge) and the ids they become."""
-        k = a << 20 | b
+        k = a.astype(np.int64) << 20 | b
         i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
         hit = (self.keys[i] == k) & (a >= 0) & (b >= 0)
         return np.where(hit, self.ranks[i], NONE), self.made[i]
@@ -110,13 +170,15 @@ class Encoder:
         """(ids of all words, one after the other; their numbers), words of similar length."""
         n = np.array([len(w) for w in words], np.int64)
         width = int(n.max())
-        part = np.full((len(words), width + 1), -1, np.int64)
+        part = np.full((len(words), width + 1), -1, np.int32)
         filled = np.arange(width)[None, :] < n[:, None]
-        part[:, :width][filled] = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        letters = np.zeros((len(words), width + 1), np.int32)
+        letters[:, :width][filled] = np.frombuffer(b"".join(words), np.uint8)
+        part[:, :width][filled] = self.single[letters[:, :width][filled]]
         out = part.copy()
         rows, count = np.arange(len(words)), n.copy()
-        rank, made = self._pair(part[:, :-1].ravel(), part[:, 1:].ravel())
-        rank, made = rank.reshape(len(words), width), made.reshape(len(words), width)
+        two = letters[:, :-1] << 8 | letters[:, 1:]
+        rank, made = np.where(part[:, 1:] >= 0, self.first[0][two], NONE), self.first[1][two]
         live = rows
         while len(live):
             best = rank.argmin(axis=1)
@@ -178,72 +240,120 @@ class Encoder:
                 push(before[i])
         return np.array([p for p in part if p >= 0], np.int64)
 
-    def _learn(self, new: list[str]) -> None:
-        raw = [w.encode("utf-8") for w in new]
-        order = sorted(range(len(raw)), key=lambda i: len(raw[i]))
-        base, ids, counts, names = len(self.at), [], [], []
+    def _learn(self, raw: list[bytes]) -> None:
+        """Remembers the ids of new words."""
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        order = np.argsort(size, kind="stable")
+        ids, counts = [], []
         at = 0
         while at < len(order):
-            first = len(raw[order[at]])
+            first = size[order[at]]
             if first > LONG:
                 got = self._one_long(raw[order[at]])
                 ids.append(got)
                 counts.append(np.array([len(got)], np.int64))
-                names.append(new[order[at]])
                 at += 1
                 continue
-            end = at
-            while end < len(order) and end - at < 20_000 and len(raw[order[end]]) <= min(LONG, first + 3):
-                end += 1
+            end = min(at + 20_000, int(np.searchsorted(size, min(LONG, first + 3), side="right", sorter=order)))
             flat, count = self._short([raw[i] for i in order[at:end]])
             ids.append(flat)
             counts.append(count)
-            names += [new[i] for i in order[at:end]]
             at = end
         count = np.concatenate(counts)
-        self.known.update(zip(names, range(base, base + len(names))))
-        self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(count) - count])
-        self.len = np.concatenate([self.len, count])
-        self.flat = np.concatenate([self.flat, *ids])
+        place = np.empty(len(raw), np.int64)
+        place[order] = np.arange(len(raw))
+        self.at = np.concatenate([self.at, (len(self.flat) + np.cumsum(count) - count)[place]])
+        self.len = np.concatenate([self.len, count[place]])
+        self.flat = np.concatenate([self.flat, *ids]).astype(np.int32)
+
+    def _hashes(self, codes: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """A hash of every word: its code points times random factors by position, summed."""
+        longest = int(n.max())
+        if longest > len(self.factors):
+            self.factors = np.random.default_rng(self.seed).integers(1, 2**64, max(longest, 64), np.uint64)
+        at = np.arange(len(codes)) - np.repeat(starts, n)
+        return np.add.reduceat((codes.astype(np.uint64) + np.uint64(1)) * self.factors[at], starts)
+
+    def _numbers(self, text: str, codes: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray | None:
+        """The numbers of the words, new ones learnt; None if different words have one hash."""
+        h = self._hashes(codes, starts, n)
+        slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        out = self.slots[slot].astype(np.int64)
+        miss = np.flatnonzero((out < 0) | (self.hash_of[out] != h))
+        if len(self.hashes):
+            i = np.minimum(np.searchsorted(self.hashes, h[miss]), len(self.hashes) - 1)
+            out[miss] = self.number[i]
+            miss = miss[self.hashes[i] != h[miss]]
+        if len(miss):
+            new, first, of = np.unique(h[miss], return_index=True, return_inverse=True)
+            word, base = miss[first], len(self.at)
+            a, size = starts[word], n[word]
+            self._learn([text[b:e].encode() for b, e in zip(a.tolist(), (a + size).tolist())])
+            self.code_at = np.concatenate([self.code_at, len(self.codes) + np.cumsum(size) - size])
+            self.code_len = np.concatenate([self.code_len, size])
+            self.codes = np.concatenate([self.codes, codes[spans(a, size)]])
+            where = np.searchsorted(self.hashes, new)
+            self.hashes = np.insert(self.hashes, where, new)
+            self.number = np.insert(self.number, where, base + np.arange(len(new)))
+            self.hash_of = np.concatenate([self.hash_of[:base], new])
+            free = self.slots[slot[word]] < 0
+            self.slots[slot[word][free]] = base + np.flatnonzero(free)
+            out[miss] = base + of
+        same = (self.code_len[out] == n).all() and (self.codes[spans(self.code_at[out], n)] == codes).all()
+        return out if same else None
+
+    def _block(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, one after the other; their numbers)."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(size)
+        text = "".join(pieces)
+        if not text:
+            return np.zeros(0, np.int32), np.zeros(len(pieces), np.int64)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        starts = _word_starts(codes, self.classes[codes], (ends - size)[size > 0])
+        n = np.diff(starts, append=len(codes))
+        while (word := self._numbers(text, codes, starts, n)) is None:
+            self._clear(self.seed + 1)
+        count = self.len[word]
+        total = np.concatenate([[0], np.cumsum(count)])
+        return self.flat[spans(self.at[word], count)], np.diff(total[np.searchsorted(starts, ends)], prepend=0)
+
+    def _parts(self, piece: str) -> Iterator[str]:
+        """A long piece cut before white space behind other characters, where a word ends in any case."""
+        while len(piece) > BLOCK and (seam := self.seam(piece, BLOCK)):
+            yield piece[:seam.start()]
+            piece = piece[seam.start():]
+        yield piece
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after the other; the end of each text's ids)."""
-        if len(self.known) > CACHE_WORDS:
-            self._clear()
-        words: list[str] = []
+        if len(self.hashes) > CACHE_WORDS:
+            self._clear(self.seed)
+        pieces: list[str] = []
         ends = np.zeros(len(texts), np.int64)
-        marks: list[tuple[int, int]] = []  # a special token stands before this word
+        marks: list[tuple[int, int]] = []  # this piece is a special token
         for i, t in enumerate(texts):
             if t:
                 if self.split and any(s in t for s in self.special):
                     for k, piece in enumerate(self.split(t)):
                         if k % 2:
-                            marks.append((len(words), self.special[piece]))
-                            words.append("")
+                            marks.append((len(pieces), self.special[piece]))
+                            pieces.append("")
                         else:
-                            words += self.words(piece)
+                            pieces += self._parts(piece)
                 else:
-                    words += self.words(t)
-            ends[i] = len(words)
-        new = set(words).difference(self.known)
-        new.discard("")
-        if new:
-            self._learn(list(new))
-        known = self.known
-        if marks:
-            known = known | {"": 0}
-        if not words:
-            return np.zeros(0, np.int64), ends
-        index = np.fromiter(map(known.__getitem__, words), np.int64, len(words)) if len(self.at) else np.zeros(len(words), np.int64)
-        at, n = (self.at[index], self.len[index]) if len(self.at) else (index.copy(), np.ones(len(words), np.int64))
-        flat = self.flat
+                    pieces += self._parts(t)
+            ends[i] = len(pieces)
+        size = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        cuts = [0, *(np.flatnonzero(np.diff(size // BLOCK)) + 1).tolist(), len(pieces)]
+        done = [self._block(pieces[a:z]) for a, z in zip(cuts, cuts[1:]) if a < z]
+        ids = np.concatenate([np.zeros(0, np.int32), *(d[0] for d in done)]).astype(np.int64)
+        count = np.concatenate([np.zeros(0, np.int64), *(d[1] for d in done)])
         if marks:
             where = np.array([m[0] for m in marks])
-            at[where], n[where] = len(flat) + np.arange(len(marks)), 1
-            flat = np.concatenate([flat, np.array([m[1] for m in marks], np.int64)])
-        ids = flat[spans(at, n)]
-        total = np.concatenate([[0], np.cumsum(n)])
-        return ids, total[ends]
+            ids = np.insert(ids, (np.cumsum(count) - count)[where], [m[1] for m in marks])
+            count[where] = 1
+        return ids, np.concatenate([[0], np.cumsum(count)])[ends]
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all texts, one after the other; the end of each text's bytes)."""

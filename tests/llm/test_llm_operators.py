@@ -529,3 +529,39 @@ def test_decontamination_hashes_windows_in_compiled_rows(spark):
     assert max(sum(r["pos"] == p for r in rows) for p in range(n - D.WINDOW + 1)) <= len(D.VARIANTS) + 1
     swapped = docs.select("id", "text_hash", F.regexp_replace("text", "Berg", "Holm").alias("text"))
     assert {r["h"] for r in rows if r["pos"] == 0} & {r["h"] for r in D._window_hashes(swapped, [D.WINDOW]).where("pos = 0").collect()}
+
+
+def test_words_are_cut_like_the_expression(spark):
+    import random
+
+    import regex
+    r, find = random.Random(4), regex.compile(bpe.PATTERN).findall
+    letters = "'''stmdrevlaLES  \n\t\xa0　 1٣½é中!<.’\x1c\x85​😀"
+    for _ in range(3000):
+        texts = [t for t in ("".join(r.choice(letters) for _ in range(r.randrange(12))) for _ in range(5)) if t] or ["x"]
+        size = np.array([len(t) for t in texts])
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        starts = bpe._word_starts(codes, bpe.character_classes()[codes], np.cumsum(size) - size).tolist()
+        whole = "".join(texts)
+        assert [whole[a:z] for a, z in zip(starts, [*starts[1:], None])] == [w for t in texts for w in find(t)]
+
+
+def test_words_with_one_hash_and_texts_over_many_blocks(spark, docs, monkeypatch):
+    from tokenizers import Tokenizer
+    tk = Tokenizer.from_file(queries.VOCABULARY)
+    texts = [*STRANGE, "it's 'so' \n\n far<|endoftext|>  we'll\n" * 60, *(t for _, t, _ in docs[:60])]
+    want = [tk.encode(t or "", add_special_tokens=False).ids for t in texts]
+    vocabulary = bpe.load_vocabulary(spark, queries.VOCABULARY)
+    hashes = bpe.Encoder._hashes
+
+    def poor(self, codes, starts, n):
+        h = hashes(self, codes, starts, n)
+        return h % np.uint64(5) if self.seed == 0 else h
+
+    monkeypatch.setattr(bpe, "BLOCK", 50)
+    monkeypatch.setattr(bpe.Encoder, "_hashes", poor)
+    e = bpe.Encoder(vocabulary)
+    for _ in range(2):
+        ids, ends = e.encode(texts)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == want
+    assert e.seed == 1
