@@ -244,3 +244,15 @@ def test_residuals_shuffle_the_ratings_twice(spark):
         g = sum((np.float32(u[user] @ v[m]) - s) * v[m] for m, s in own) / len(own) + FA.ALS_REG_PARAM * u[user]
         assert r["n_ratings"] == len(own) and abs(r["residual"] - np.abs(g).max()) < 1e-5
     assert set(got) == {a for a, _, _ in rows}
+
+
+def test_factor_blocks_follow_the_ratings(spark, monkeypatch):
+    """One block per core put all ratings into as many tasks as there are cores, however many ratings there were."""
+    r = TD.ratings(spark, SF_SMALL).persist()
+    monkeypatch.setattr(FA, "BLOCK_RATINGS", r.count() // 100)
+    model = FA.train_als(r)
+    assert model.model.userFactors.rdd.getNumPartitions() >= 100
+    assert model.model.itemFactors.rdd.getNumPartitions() >= 100
+    left = FA.normal_equation_residuals(model, r)
+    assert left.count() == r.select("userId").distinct().count()
+    assert left.where("residual is null or residual > 1e-4").count() == 0
