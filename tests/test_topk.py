@@ -116,3 +116,30 @@ def test_users_drop_out_where_norms_fall():
         if not s.take(np.arange(at, at + 64), v[at:at + 64], float(np.linalg.norm(v[at]))):
             break
     assert 0 < s.scored < 32  # of 64 blocks
+
+
+def test_blocks_go_only_to_groups_that_need_them(spark, monkeypatch):
+    """Every block went to as many groups as a shuffle has partitions."""
+    def received(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"user": pa.array([b.num_rows - b.column(1).null_count], pa.int64()),
+                                              "item": pa.array([0], pa.int64()), "score": pa.array([0.0], pa.float32())})
+    monkeypatch.setattr(K, "_search", received)
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(8192, 6))
+    v *= (np.geomspace(10, 0.01, 8192) / np.linalg.norm(v, axis=1))[:, None]
+    u = rng.normal(size=(50, 6))
+    users, items = _frame(spark, "user", u, top=[5] * 50), _frame(spark, "item", v)
+    blocks = K.item_blocks(items, "falling norms")
+    assert blocks.count() >= 8
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    try:
+        found = K.best_products(users, items, blocks)
+        assert found.rdd.getNumPartitions() < 97 or spark.sparkContext.defaultParallelism >= 97
+        sent = found.agg(F.sum("user")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    packs = -(-50 // K.PACK_USERS) * users.rdd.getNumPartitions()
+    assert 0 < sent <= packs * 4  # a group without a pack gets none, the others no block that none of its users needs
