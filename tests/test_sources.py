@@ -129,3 +129,19 @@ def test_materialize_raises_what_the_write_raises(spark, monkeypatch, tmp_path):
     assert good.count() == 5 and list((tmp_path / "marquee-tables").rglob("*.parquet"))
     tables.release(spark, "good")
     assert not list((tmp_path / "marquee-tables").rglob("*.parquet"))
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark, tmp_path):
+    """Shuffle files of a finished write stayed until the driver collected garbage, beside those of later steps."""
+    from marquee.sources.tables import CLEANUP_CONF, materialize, release
+    shuffles = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    set_before = spark.conf.get(CLEANUP_CONF, None)
+
+    def files():
+        blocks = shuffles.getAllBlocks()
+        return {b for b in (blocks.apply(i).name() for i in range(blocks.size())) if b.startswith("shuffle_")}
+    before = files()
+    table = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "no shuffle files")
+    assert not files() - before
+    assert table.count() == 7 and spark.conf.get(CLEANUP_CONF, None) == set_before
+    release(spark, "no shuffle files")
